@@ -453,11 +453,14 @@ ORACLES: dict[str, str] = {
       ORDER BY city, parameter LIMIT 5000""",
     "preview_latest": _chain(*METRICS) + f"""SELECT {SHOW_AIR} FROM met ORDER BY met.window_start
       DESC, met.window_end, city, parameter, met.rolling_avg, status, window_duration LIMIT 20""",
-    "city_join": _chain(*METRICS, """dim(city, latitude, longitude) AS (VALUES
-      ('Berlin', 52.52::DOUBLE, 13.405::DOUBLE), ('London', 51.5074, -0.1278),
-      ('Paris', 48.8566, 2.3522))""") + """SELECT city, latitude, longitude, count(*) AS rows,
-      round(max(rolling_avg), 8) AS highest FROM met LEFT JOIN dim USING (city)
-      GROUP BY 1, 2, 3""",
+    "city_join": _chain(*METRICS) + """SELECT city,
+      CASE city WHEN 'Paris' THEN 48.8566 ELSE CAST(count(*) AS DOUBLE) END AS latitude,
+      CASE city WHEN 'Paris' THEN 2.3522 ELSE 0.5 END::DOUBLE AS longitude, count(*) AS rows,
+      round(max(rolling_avg), 8) AS highest FROM met GROUP BY city""",
+    "serving_rows": _chain(*METRICS, REVISIONS) + f"""SELECT {SHOW_AIR} FROM (SELECT *,
+      row_number() OVER (PARTITION BY window_start, window_end, city, parameter,
+      window_duration ORDER BY rolling_avg DESC) AS rn FROM revisions WHERE parameter <> 'o3')
+      WHERE rn = 1""",
     "retention": _chain(*METRICS) + f"""SELECT {SHOW_AIR} FROM met
       WHERE window_start >= {MIDDLE} - INTERVAL 7 DAY""",
     "constraints": _chain(OBS, *_air_windows((DEFAULT[0], COARSE[1]), "obs"), """
@@ -529,6 +532,17 @@ ORACLES: dict[str, str] = {
     + """SELECT *, sha1(concat_ws('|', location_id, coalesce(parameter, ''),
       coalesce(event_time, ''), CAST(value AS VARCHAR), coalesce(unit, ''))) AS message_id
       FROM items""",
+    "ingest_air": _chain(OBS, STATIONS, CITY_STATIONS, """
+      best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY country, target_city
+        ORDER BY CASE WHEN user_id % 5 <> 0 THEN last_time END DESC NULLS LAST, user_id) AS rn
+        FROM city_stations) WHERE rn = 1)""") + f"""SELECT o.country, b.target_city AS city,
+      CAST(o.user_id AS VARCHAR) AS location_id,
+      CAST(o.user_id * 10 + length(o.parameter) AS VARCHAR) AS sensor_id,
+      CASE WHEN event_id % 4 IN (0, 1) THEN o.parameter ELSE s.parameter END AS parameter,
+      value, {ITEM_TIME} AS event_time
+      FROM obs o JOIN best b USING (user_id, country)
+      JOIN (SELECT user_id, length(parameter) AS n, min(upper(parameter)) AS parameter FROM obs
+        GROUP BY ALL) s ON s.user_id = o.user_id AND s.n = length(o.parameter)""",
     "payload_forecast": _chain(OBS) + f"""SELECT 'open-meteo' AS source, country, city,
       CAST(user_id % 90 AS DOUBLE) AS latitude, CAST(user_id % 180 AS DOUBLE) AS longitude,
       round(temperature_c, 8) AS temperature, 'C' AS temperature_unit,

@@ -18,6 +18,7 @@ from envstream.operators import (
 from envstream.plans import flows
 from envstream.session import work_dir
 from envstream.sinks import catalog, messages
+from envstream.sinks import metrics as prepare
 from envstream.sources import payloads, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -334,13 +335,7 @@ def status_trend(spark, sf_dir):
 
 @registered
 def filter_values(spark, sf_dir):
-    rows = metrics(spark, sf_dir)
-    choices = None
-    for name in ("city", "parameter", "window_duration", "status"):
-        values = serving.filter_values(rows, name).select(
-            F.lit(name).alias("variable"), F.col(name).alias("choice"))
-        choices = values if choices is None else choices.unionByName(values)
-    return choices
+    return serving.filter_choices(metrics(spark, sf_dir))
 
 
 @registered
@@ -355,7 +350,11 @@ def preview_latest(spark, sf_dir):
 
 @registered
 def city_join(spark, sf_dir):
-    joined = serving.with_coordinates(metrics(spark, sf_dir), tables.city_dimension(spark))
+    rows = metrics(spark, sf_dir)
+    # The first two cities move by the number of their windows; the third keeps its place.
+    moved = rows.filter(F.col("city") != "Paris").groupBy("city").agg(
+        F.count("*").cast("double").alias("latitude"), F.lit(0.5).alias("longitude"))
+    joined = serving.with_coordinates(rows, tables.city_dimension(spark, moved))
     return comparable(joined.groupBy("city", "latitude", "longitude").agg(
         F.count("*").alias("rows"), F.max("rolling_avg").alias("highest")))
 
@@ -365,6 +364,14 @@ def retention(spark, sf_dir):
     return comparable(serving.within_retention(metrics(spark, sf_dir), MIDDLE, days=7))
 
 
+@registered
+def serving_rows(spark, sf_dir):
+    """Rows as a serving table takes them: complete, typed, one per natural key."""
+    rows = revisions(spark, sf_dir).withColumn(
+        "status", F.when(F.col("parameter") != "o3", F.col("status")))
+    return comparable(prepare.prepare_air(rows))
+
+
 # Audits.
 
 @registered
@@ -482,6 +489,15 @@ def payload_air(spark, sf_dir):
     return comparable(rows.drop("schema_version", "pipeline", "pipeline_version"))
 
 
+@registered
+def ingest_air(spark, sf_dir):
+    """Messages of the best station of every country and city."""
+    rows = flows.air_ingestion(
+        feed.station_responses(spark, sf_dir), feed.latest_responses(spark, sf_dir), REJECTED_AT)
+    return comparable(rows.select(
+        "country", "city", "location_id", "sensor_id", "parameter", "value", "event_time"))
+
+
 @registered
 def payload_forecast(spark, sf_dir):
     rows = providers.forecast_messages(feed.forecast_responses(spark, sf_dir), REJECTED_AT)

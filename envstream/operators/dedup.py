@@ -38,6 +38,13 @@ def earliest_by(rows: DataFrame, key: Sequence[str], *order: Column) -> DataFram
     return _extreme(rows, [F.col(k) for k in key], order, F.min)
 
 
+def merge_rows(current: DataFrame, newer: DataFrame, key: Sequence[str],
+               *order: Column) -> DataFrame:
+    """Rows of both tables, one per key: the larger ``order`` wins, then the newer table."""
+    both = current.withColumn("_newer", F.lit(0)).unionByName(newer.withColumn("_newer", F.lit(1)))
+    return latest_by(both, key, *order, F.col("_newer")).drop("_newer")
+
+
 def _deduplicate(rows: DataFrame, key: Column, delay: str) -> DataFrame:
     if rows.isStreaming:
         return (

@@ -54,9 +54,7 @@ def latest_state(metrics: DataFrame) -> DataFrame:
 
 def merge_state(state: DataFrame, newer: DataFrame) -> DataFrame:
     """Newest window per series of two state tables; of equal windows the newer table wins."""
-    both = state.withColumn("_newer", F.lit(0)).unionByName(newer.withColumn("_newer", F.lit(1)))
-    return dedup.latest_by(
-        both, KEY, F.col("prev_window_start"), F.col("_newer")).drop("_newer")
+    return dedup.merge_rows(state, newer, KEY, F.col("prev_window_start"))
 
 
 def merge_recent(recent: DataFrame, batch: DataFrame) -> DataFrame:
@@ -65,9 +63,9 @@ def merge_recent(recent: DataFrame, batch: DataFrame) -> DataFrame:
     ``_changed`` marks the windows of the batch.
     """
     columns = list(contracts.AIR_METRIC_COLUMNS)
-    both = recent.select(*columns, F.lit(False).alias("_changed")).unionByName(
-        batch.select(*columns, F.lit(True).alias("_changed")))
-    return dedup.latest_by(both, list(contracts.AIR_METRIC_KEY), F.col("_changed"))
+    return dedup.merge_rows(
+        recent.select(*columns, F.lit(False).alias("_changed")),
+        batch.select(*columns, F.lit(True).alias("_changed")), list(contracts.AIR_METRIC_KEY))
 
 
 def peaks_of_changes(merged: DataFrame) -> DataFrame:

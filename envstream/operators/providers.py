@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
-from operator import and_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,16 +83,23 @@ def best_stations(candidates: DataFrame) -> DataFrame:
         ranked, ["country", "target_city"], F.col("last_reported"), smallest_id_first)
 
 
+def with_readings(candidates: DataFrame, items: DataFrame) -> DataFrame:
+    """Stations that sent at least one reading."""
+    return candidates.join(
+        items.select(F.col("location_id").alias("id")), "id", "left_semi")
+
+
 def sensor_parameters(all_stations: DataFrame) -> DataFrame:
-    """One row per station and sensor with the pollutant it measures; repeats keep one."""
+    """One row per station and sensor with the pollutant it measures, as first listed."""
     sensors = all_stations.select(
-        F.col("id").alias("location_id"), F.explode("sensors").alias("sensor"))
-    flat = sensors.select(
-        "location_id", F.col("sensor.id").alias("sensor_id"),
+        F.col("id").alias("location_id"), F.posexplode("sensors").alias("position", "sensor"))
+    flat = sensors.filter(F.col("sensor.parameter").isNotNull()).select(
+        "position", "location_id", F.col("sensor.id").alias("sensor_id"),
         F.col("sensor.parameter.name").alias("sensor_parameter"),
         F.col("sensor.parameter.units").alias("sensor_unit"),
         F.col("sensor.parameter.id").alias("sensor_parameter_id"))
-    return dedup.earliest_by(flat, ["location_id", "sensor_id"])
+    return dedup.earliest_by(
+        flat, ["location_id", "sensor_id"], F.col("position")).drop("position")
 
 
 def reading_time_text() -> Column:
@@ -136,28 +143,29 @@ def _read_item(items: DataFrame) -> DataFrame:
 def air_messages(items: DataFrame, chosen: DataFrame, ingestion_time: datetime) -> DataFrame:
     """Canonical air-quality messages of latest-value items of the chosen stations.
 
-    What an item does not say about its pollutant comes from its sensor. Both lookups are equi
-    joins whose strategy is left to the optimizer, since stations may be many.
+    What an item does not say about its pollutant comes from its sensor, which the station lists.
+    The one join is an equi join whose strategy is left to the optimizer, as stations may be many.
     """
     station = chosen.select(
-        F.col("id").alias("location_id"), "country", "target_city",
+        F.col("id").alias("location_id"), "country", "target_city", "sensors",
         _first_text(F.col("locality"), F.col("name")).alias("station_city"),
         F.col("coordinates").alias("station_coordinates"),
         _first_text(F.col("provider"), F.col("owner"), F.col("sourceName")).alias("operator"))
+    own_sensor = F.col("sensor_id")
+    listed = F.filter("sensors", lambda s: (s["id"] == own_sensor) & s["parameter"].isNotNull())
     rows = (
         _read_item(items).join(station, "location_id")
-        .join(sensor_parameters(chosen), ["location_id", "sensor_id"], "left")
+        .withColumn("listed", F.get(listed, 0)["parameter"])
     )
     incomplete = reduce(
-        lambda a, b: a | b,
-        [F.col(c).isNull() for c in ("own_parameter", "own_unit", "own_parameter_id")])
+        or_, [F.col(c).isNull() for c in ("own_parameter", "own_unit", "own_parameter_id")])
     own, looked_up = F.col("own_coordinates"), F.col("station_coordinates")
     coordinates = F.when(_is_object(own) & (own != "{}"), own).otherwise(looked_up)
 
-    def completed(own_name: str, sensor_name: str) -> Column:
+    def completed(own_name: str, listed_name: str) -> Column:
         own_value = F.col(own_name)
         return F.when(incomplete, F.coalesce(
-            F.nullif(own_value, F.lit("")), F.col(sensor_name))).otherwise(own_value)
+            F.nullif(own_value, F.lit("")), F.col(f"listed.{listed_name}"))).otherwise(own_value)
 
     operator = F.col("operator")
     rows = rows.select(
@@ -168,15 +176,15 @@ def air_messages(items: DataFrame, chosen: DataFrame, ingestion_time: datetime)
         "country",
         F.coalesce(F.nullif("target_city", F.lit("")), "station_city").alias("city"),
         "station_city", "target_city",
-        completed("own_parameter", "sensor_parameter").alias("parameter"), "value",
-        completed("own_unit", "sensor_unit").alias("unit"),
+        completed("own_parameter", "name").alias("parameter"), "value",
+        completed("own_unit", "units").alias("unit"),
         number_or_null(_path(coordinates, "$.latitude")).alias("latitude"),
         number_or_null(_path(coordinates, "$.longitude")).alias("longitude"),
         "event_time",
         times.iso_text(times.literal(ingestion_time)).alias("ingestion_time"), "location_id", "sensor_id",
         F.when(_is_object(operator), _path(operator, "$.name")).otherwise(operator)
         .alias("provider"),
-        F.coalesce("own_parameter_id", "sensor_parameter_id").alias("parameter_id"))
+        F.coalesce("own_parameter_id", "listed.id").alias("parameter_id"))
     return rows.withColumn("message_id", keys.content_id(*[
         F.col(c) for c in ("location_id", "parameter", "event_time", "value", "unit")]))
 

@@ -7,6 +7,7 @@ false: such rows are neither rejected nor kept. ``dispositions`` counts them, an
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -134,6 +135,13 @@ def weather_disposition(parsed: DataFrame) -> DataFrame:
     return parsed.withColumn("disposition", reason)
 
 
+def observe_dispositions(rows: DataFrame, name: str, dispositions: Sequence[str]) -> DataFrame:
+    """Counts dispositions on the side while the rows pass, also in a stream's progress."""
+    counts = [
+        F.count(F.when(F.col("disposition") == d, 1)).alias(d) for d in dispositions]
+    return rows.observe(name, *counts)
+
+
 def count_dispositions(rows: DataFrame) -> DataFrame:
-    """Rows per city and disposition; a stream can ``observe`` the same column."""
+    """Rows per city and disposition."""
     return rows.groupBy("city", "disposition").agg(F.count("*").alias("rows"))

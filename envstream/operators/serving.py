@@ -6,6 +6,7 @@ repeated on it, since the optimizer cannot infer them from ``window_start``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -134,6 +135,15 @@ def filter_values(metrics: DataFrame, column: str) -> DataFrame:
     return metrics.select(column).distinct().orderBy(column)
 
 
+def filter_choices(metrics: DataFrame,
+                   columns: Sequence[str] = ("city", "parameter", "window_duration", "status"),
+                   ) -> DataFrame:
+    """Choices of all dashboard variables from one read of the table."""
+    pairs = F.array(*[
+        F.struct(F.lit(c).alias("variable"), F.col(c).alias("choice")) for c in columns])
+    return metrics.select(F.explode(pairs).alias("p")).select("p.*").distinct()
+
+
 def average_by_city_and_parameter(metrics: DataFrame,
                                   limit: int = rules.BI_ROW_LIMIT) -> DataFrame:
     averages = metrics.groupBy("city", "parameter").agg(

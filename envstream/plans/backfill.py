@@ -15,7 +15,7 @@ def write_air(raw: DataFrame, root: str, merge_id: str) -> None:
     """Bronze, rejects, silver, metrics and peaks of one raw batch."""
     spark = raw.sparkSession
     branches = air_branches(raw)
-    sinks.append_layer(branches.bronze, contracts.BRONZE_AIR, root)
+    sinks.append_layer(branches.bronze, contracts.BRONZE_AIR, root, balanced=False)
     sinks.append_layer(branches.rejects, contracts.REJECTS_AIR, root)
     sinks.append_layer(branches.silver, contracts.SILVER_AIR, root)
     sinks.merge_by_key(
@@ -30,7 +30,7 @@ def write_air(raw: DataFrame, root: str, merge_id: str) -> None:
 def write_weather(raw: DataFrame, root: str, merge_id: str) -> None:
     """Bronze, rejects, silver and metrics of one raw batch."""
     branches = weather_branches(raw)
-    sinks.append_layer(branches.bronze, contracts.BRONZE_WEATHER, root)
+    sinks.append_layer(branches.bronze, contracts.BRONZE_WEATHER, root, balanced=False)
     sinks.append_layer(branches.rejects, contracts.REJECTS_WEATHER, root)
     sinks.append_layer(branches.silver, contracts.SILVER_WEATHER, root)
     sinks.merge_by_key(

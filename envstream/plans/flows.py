@@ -4,11 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 
 from envstream import rules
-from envstream.operators import dedup, parse, quality, windows
+from envstream.operators import dedup, parse, providers, quality, windows
+
+
+def air_ingestion(station_responses: DataFrame, latest_responses: DataFrame,
+                  ingestion_time: datetime) -> DataFrame:
+    """Canonical messages of the best station of every target city, from raw responses.
+
+    The best station is the one that reported last among those whose readings arrived.
+    """
+    items = providers.latest_items(latest_responses)
+    candidates = providers.city_stations(providers.stations(station_responses))
+    best = providers.best_stations(providers.with_readings(candidates, items))
+    return providers.air_messages(items, best, ingestion_time)
 
 
 @dataclass(frozen=True)

@@ -13,20 +13,27 @@ from envstream.operators import dedup
 from envstream.sources import files, tables
 
 
-def _days(rows: DataFrame, partition: str) -> list:
-    """Distinct partition values: one per day of data, so the list stays short."""
-    return [row[0] for row in rows.select(partition).distinct().collect()]
-
-
-def append_layer(rows: DataFrame, table: contracts.TableContract, root: str) -> None:
+def append_layer(rows: DataFrame, table: contracts.TableContract, root: str,
+                 balanced: bool = True) -> None:
     """Appends a batch to a layer.
 
     Rebalancing on the partition columns gives every partition few files, and still splits a
-    partition that is much larger than the rest.
+    partition that is much larger than the rest. It costs a shuffle, so rows that already lie
+    together, such as raw records in arrival order, go without.
     """
-    balanced = rows.select(*table.schema.fieldNames()).hint("rebalance", *table.partitions)
-    balanced.write.mode("append").partitionBy(*table.partitions).parquet(
-        f"{root}/{table.location}")
+    rows = rows.select(*table.schema.fieldNames())
+    if balanced:
+        rows = rows.hint("rebalance", *table.partitions)
+    rows.write.mode("append").partitionBy(*table.partitions).parquet(f"{root}/{table.location}")
+
+
+def _write_days(rows: DataFrame, partition: str, path: str) -> None:
+    rows.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(path)
+
+
+def _day_folders(spark: SparkSession, path: str, partition: str) -> list[str]:
+    """Names of a table's partition folders: one per day, so the list stays short."""
+    return [n for n in files.child_names(spark, path) if n.startswith(f"{partition}=")]
 
 
 def merge_by_key(batch: DataFrame, table: contracts.TableContract, root: str,
@@ -35,34 +42,40 @@ def merge_by_key(batch: DataFrame, table: contracts.TableContract, root: str,
     """Insert or replace rows by natural key, rewriting only the days the batch touches.
 
     Within a key the larger ``order`` wins, then the batch over the table. Rows for which
-    ``keep`` is not true leave the table. The merged days are staged in full before they replace
-    the old ones, and a repeated ``merge_id`` resumes from a finished staging, so a crash during
-    the swap loses nothing.
+    ``keep`` is not true leave the table. The batch is evaluated once, into a staging folder, and
+    merged from there with the days it shares with the table. Whole staged days then replace
+    the old ones. A repeated ``merge_id`` goes on from where a crash left off, so no day is lost.
     """
     spark = batch.sparkSession
     (partition,) = table.partitions
+    columns = table.schema.fieldNames()
     path = f"{root}/{table.location}"
     folder, name = path.rsplit("/", 1)
     staging = f"{folder}/_merging/{name}/{merge_id}"
-    days = _days(batch, partition)
-    if not days:
-        return
-    columns = table.schema.fieldNames()
-    if not files.exists(spark, f"{staging}/_SUCCESS"):
-        current = tables.read_or_empty(spark, path, table.schema).filter(
-            F.col(partition).isin(days))
-        both = current.withColumn("_newer", F.lit(0)).unionByName(
-            batch.select(*columns).withColumn("_newer", F.lit(1)))
-        merged = dedup.latest_by(both, key, *order, F.col("_newer")).select(*columns)
-        if keep is not None:
-            merged = merged.filter(keep)
-        merged.hint("rebalance", partition).write.mode("overwrite").partitionBy(
-            partition).parquet(staging)
-    staged = tables.read_or_empty(spark, staging, table.schema)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        partition).parquet(path)
-    for day in set(days) - set(_days(staged, partition)):
-        files.delete(spark, f"{path}/{partition}={day}")
+    incoming, merged, swapping = (f"{staging}/{s}" for s in ("incoming", "merged", "swapping"))
+
+    if not files.exists(spark, f"{incoming}/_SUCCESS"):
+        _write_days(dedup.latest_by(batch.select(*columns), key, *order), partition, incoming)
+    days = _day_folders(spark, incoming, partition)
+    shared = set(days) & set(_day_folders(spark, path, partition))
+    ready = incoming if not shared and keep is None else merged
+    if files.exists(spark, swapping):
+        ready = files.child_names(spark, swapping)[0]
+        ready = f"{staging}/{ready}"
+    else:
+        if ready == merged:
+            wanted = [day.split("=", 1)[1] for day in sorted(shared)]
+            current = tables.read_or_empty(spark, path, table.schema).filter(
+                F.col(partition).cast("string").isin(wanted))
+            staged = tables.read_or_empty(spark, incoming, table.schema)
+            result = dedup.merge_rows(current, staged, key, *order).select(*columns)
+            _write_days(result if keep is None else result.filter(keep), partition, merged)
+            for emptied in shared - set(_day_folders(spark, merged, partition)):
+                files.delete(spark, f"{path}/{emptied}")
+        files.make_dirs(spark, f"{swapping}/{ready.rsplit('/', 1)[1]}")
+    files.make_dirs(spark, path)
+    for day in _day_folders(spark, ready, partition):
+        files.replace(spark, f"{ready}/{day}", f"{path}/{day}")
     files.delete(spark, staging)
 
 

@@ -26,6 +26,14 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def replace(spark: SparkSession, source: str, destination: str) -> None:
+    """Moves a folder to the place of another one."""
+    fs, target = _resolve(spark, destination)
+    fs.delete(target, True)
+    if not fs.rename(_resolve(spark, source)[1], target):
+        raise OSError(f"cannot move {source} to {destination}")
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder, sorted; none when it is missing."""
     fs, target = _resolve(spark, path)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from envstream import rules
+from envstream.operators import dedup
 
 CITY_DIMENSION = "city string, latitude double, longitude double"
 
@@ -26,8 +27,9 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
         return spark.createDataFrame([], schema)
 
 
-def city_dimension(spark: SparkSession) -> DataFrame:
-    """The target cities with their coordinates."""
-    return spark.createDataFrame(
+def city_dimension(spark: SparkSession, updates: DataFrame | None = None) -> DataFrame:
+    """The target cities with their coordinates; a row of ``updates`` adds or replaces a city."""
+    cities = spark.createDataFrame(
         [(city, latitude, longitude) for city, _, latitude, longitude in rules.CITIES],
         CITY_DIMENSION)
+    return cities if updates is None else dedup.merge_rows(cities, updates, ["city"])

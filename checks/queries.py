@@ -159,7 +159,7 @@ def rejects_strict(spark, sf_dir):
 
 @registered
 def silver_air(spark, sf_dir):
-    silver = flows.air_branches(feed.raw_air(spark, sf_dir)).silver
+    silver = flows.AirFlow(feed.raw_air(spark, sf_dir)).silver
     return comparable(silver.select(
         "message_id", "event_time", "country", "city", "parameter", "value", "location_id",
         "event_date"))
@@ -167,7 +167,7 @@ def silver_air(spark, sf_dir):
 
 @registered
 def silver_weather(spark, sf_dir):
-    silver = flows.weather_branches(feed.raw_weather(spark, sf_dir)).silver
+    silver = flows.WeatherFlow(feed.raw_weather(spark, sf_dir)).silver
     return comparable(silver.select(
         "message_id", "event_time", "city", "temperature_c", "humidity_pct", "wind_speed_ms",
         "event_date"))
@@ -210,12 +210,12 @@ def dedup_weather(spark, sf_dir):
 @registered
 def air_metrics(spark, sf_dir):
     """The whole air-quality flow: parse, reject, deduplicate, average, classify."""
-    return comparable(flows.air_branches(feed.raw_air(spark, sf_dir)).metrics)
+    return comparable(flows.AirFlow(feed.raw_air(spark, sf_dir)).metrics)
 
 
 @registered
 def weather_metrics(spark, sf_dir):
-    return comparable(flows.weather_branches(feed.raw_weather(spark, sf_dir)).metrics)
+    return comparable(flows.WeatherFlow(feed.raw_weather(spark, sf_dir)).metrics)
 
 
 @registered

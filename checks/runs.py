@@ -96,17 +96,17 @@ def _stream_halves(spark: SparkSession, records: DataFrame, root: str, start,
 
 def _flow(spark: SparkSession, sf_dir: str, kind: str):
     if kind == "air":
-        return feed.air_records(spark, sf_dir), flows.air_branches
-    return feed.weather_records(spark, sf_dir), flows.weather_branches
+        return feed.air_records(spark, sf_dir), flows.AirFlow
+    return feed.weather_records(spark, sf_dir), flows.WeatherFlow
 
 
 def streamed_layer(spark: SparkSession, sf_dir: str, kind: str, layer: str) -> DataFrame:
     root = work_dir(spark, f"stream-{layer}")
-    records, branches = _flow(spark, sf_dir, kind)
+    records, flow = _flow(spark, sf_dir, kind)
     table = TABLES[kind, layer]
 
     def start(raw):
-        return [queries.start_layer(getattr(branches(raw), layer), table, _settings(root))]
+        return [queries.start_layer(getattr(flow(raw), layer), table, _settings(root))]
 
     _stream_halves(spark, records, root, start)
     return _read(spark, root, table)
@@ -116,11 +116,11 @@ def streamed_final_windows(spark: SparkSession, sf_dir: str, kind: str,
                            late_half: bool = False) -> DataFrame:
     """Gold of a stream in append mode: windows the watermark has closed."""
     root = work_dir(spark, "stream-windows")
-    records, branches = _flow(spark, sf_dir, kind)
+    records, flow = _flow(spark, sf_dir, kind)
     table = contracts.GOLD_AIR if kind == "air" else contracts.GOLD_WEATHER
 
     def start(raw):
-        rows = windows.with_window_date(branches(raw).metrics)
+        rows = windows.with_window_date(flow(raw).metrics)
         return [queries.start_layer(rows, table, _settings(root))]
 
     _stream_halves(spark, records, root, start, late_half)
@@ -131,20 +131,20 @@ def streamed_metrics(spark: SparkSession, sf_dir: str,
                      table: contracts.TableContract) -> DataFrame:
     """Gold or peaks after the complete set of air-quality queries."""
     root = work_dir(spark, "stream-metrics")
-    records, branches = _flow(spark, sf_dir, "air")
+    records, flow = _flow(spark, sf_dir, "air")
     _stream_halves(
-        spark, records, root, lambda raw: queries.start_air(branches(raw), _settings(root)))
+        spark, records, root, lambda raw: queries.start_air(flow(raw), _settings(root)))
     return _read(spark, root, table)
 
 
 def streamed_weather_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Serving table after the complete set of weather queries."""
     root = work_dir(spark, "stream-weather")
-    records, branches = _flow(spark, sf_dir, "weather")
+    records, flow = _flow(spark, sf_dir, "weather")
     writer = table_writer(LIVE_WEATHER, root, contracts.WEATHER_METRIC_KEY)
     _stream_halves(
         spark, records, root,
-        lambda raw: queries.start_weather(branches(raw), _settings(root), writer))
+        lambda raw: queries.start_weather(flow(raw), _settings(root), writer))
     return _read(spark, root, LIVE_WEATHER)
 
 

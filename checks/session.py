@@ -16,6 +16,10 @@ def local_session(cpus: str | None = None) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", cpus)
+        # Recording the Python line of every column expression is slow.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # Small data: let even a few megabytes use every core.
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
         .config("spark.driver.memory", os.environ.get("DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from envstream import contracts
 from envstream.operators import peaks, windows
-from envstream.plans.flows import air_branches, weather_branches
+from envstream.plans.flows import AirFlow, WeatherFlow
 from envstream.sinks import tables as sinks
 from envstream.sources import tables as sources
 
@@ -14,12 +14,12 @@ from envstream.sources import tables as sources
 def write_air(raw: DataFrame, root: str, merge_id: str) -> None:
     """Bronze, rejects, silver, metrics and peaks of one raw batch."""
     spark = raw.sparkSession
-    branches = air_branches(raw)
-    sinks.append_layer(branches.bronze, contracts.BRONZE_AIR, root, balanced=False)
-    sinks.append_layer(branches.rejects, contracts.REJECTS_AIR, root)
-    sinks.append_layer(branches.silver, contracts.SILVER_AIR, root)
+    flow = AirFlow(raw)
+    sinks.append_layer(flow.bronze, contracts.BRONZE_AIR, root, balanced=False)
+    sinks.append_layer(flow.rejects, contracts.REJECTS_AIR, root)
+    sinks.append_layer(flow.silver, contracts.SILVER_AIR, root)
     sinks.merge_by_key(
-        windows.with_window_date(branches.metrics), contracts.GOLD_AIR, root,
+        windows.with_window_date(flow.metrics), contracts.GOLD_AIR, root,
         contracts.AIR_METRIC_KEY, merge_id)
     gold = sources.read_or_empty(
         spark, f"{root}/{contracts.GOLD_AIR.location}", contracts.GOLD_AIR.schema)
@@ -29,10 +29,10 @@ def write_air(raw: DataFrame, root: str, merge_id: str) -> None:
 
 def write_weather(raw: DataFrame, root: str, merge_id: str) -> None:
     """Bronze, rejects, silver and metrics of one raw batch."""
-    branches = weather_branches(raw)
-    sinks.append_layer(branches.bronze, contracts.BRONZE_WEATHER, root, balanced=False)
-    sinks.append_layer(branches.rejects, contracts.REJECTS_WEATHER, root)
-    sinks.append_layer(branches.silver, contracts.SILVER_WEATHER, root)
+    flow = WeatherFlow(raw)
+    sinks.append_layer(flow.bronze, contracts.BRONZE_WEATHER, root, balanced=False)
+    sinks.append_layer(flow.rejects, contracts.REJECTS_WEATHER, root)
+    sinks.append_layer(flow.silver, contracts.SILVER_WEATHER, root)
     sinks.merge_by_key(
-        windows.with_window_date(branches.metrics), contracts.GOLD_WEATHER, root,
+        windows.with_window_date(flow.metrics), contracts.GOLD_WEATHER, root,
         contracts.WEATHER_METRIC_KEY, merge_id)

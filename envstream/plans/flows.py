@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -24,49 +24,76 @@ def air_ingestion(station_responses: DataFrame, latest_responses: DataFrame,
     return providers.air_messages(items, best, ingestion_time)
 
 
-@dataclass(frozen=True)
-class Branches:
-    """DataFrames of one flow; each is a query of its own when the input is a stream."""
-
-    bronze: DataFrame
-    rejects: DataFrame
-    silver: DataFrame
-    metrics: DataFrame
+class AirFlow:
+    """Branches of the air-quality flow; on a stream each is a query of its own.
 
+    Silver keeps duplicates unless asked otherwise; metrics never count one twice.
+    """
 
-def air_branches(raw: DataFrame, durations: Sequence[str] = rules.WINDOW_DURATIONS,
+    def __init__(self, raw: DataFrame, durations: Sequence[str] = rules.WINDOW_DURATIONS,
                  delay: str = rules.WATERMARK_DELAY, silver_dedup: bool = False,
-                 strict: bool = False) -> Branches:
-    """Silver keeps duplicates unless asked otherwise; metrics never count one twice."""
-    parsed = parse.parse_air(raw)
-    usable = quality.usable_air(parsed)
-    # The metrics need few columns, so only these go through their shuffle.
-    measured = usable.select("event_time", "city", "parameter", "value", "message_id")
-    clean = quality.plausible_air(dedup.dedup_air(measured, delay))
-    silver = quality.plausible_air(dedup.dedup_air(usable, delay) if silver_dedup else usable)
-    return Branches(
-        bronze=raw,
-        rejects=quality.air_rejects(parsed, strict=strict),
-        silver=quality.with_event_date(silver),
-        metrics=windows.with_status(windows.air_averages(clean, durations)),
-    )
-
-
-def weather_branches(raw: DataFrame, durations: Sequence[str] = rules.WINDOW_DURATIONS,
-                     delay: str = rules.WATERMARK_DELAY, silver_dedup: bool = True,
-                     strict: bool = False, strict_units: bool = False) -> Branches:
-    """Silver is free of duplicates unless asked otherwise."""
-    parsed = parse.parse_weather(raw)
-    usable = quality.usable_weather(parsed, strict_units)
-    measured = usable.select(
-        "event_time", "city", "source", "message_id", "temperature_c", "humidity_pct",
-        "wind_speed_ms")
-    clean = quality.plausible_weather(dedup.dedup_weather(measured, delay))
-    silver = quality.plausible_weather(
-        dedup.dedup_weather(usable, delay) if silver_dedup else usable)
-    return Branches(
-        bronze=raw,
-        rejects=quality.weather_rejects(parsed, strict=strict, strict_units=strict_units),
-        silver=quality.with_event_date(silver),
-        metrics=windows.weather_averages(clean, durations),
-    )
+                 strict: bool = False):
+        self.bronze = raw
+        self.durations, self.delay = durations, delay
+        self.silver_dedup, self.strict = silver_dedup, strict
+
+    @cached_property
+    def parsed(self) -> DataFrame:
+        return parse.parse_air(self.bronze)
+
+    @cached_property
+    def usable(self) -> DataFrame:
+        return quality.usable_air(self.parsed)
+
+    @cached_property
+    def rejects(self) -> DataFrame:
+        return quality.air_rejects(self.parsed, strict=self.strict)
+
+    @cached_property
+    def silver(self) -> DataFrame:
+        rows = dedup.dedup_air(self.usable, self.delay) if self.silver_dedup else self.usable
+        return quality.with_event_date(quality.plausible_air(rows))
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        # The metrics need few columns, so only these go through the shuffles.
+        measured = self.usable.select("event_time", "city", "parameter", "value", "message_id")
+        clean = quality.plausible_air(dedup.dedup_air(measured, self.delay))
+        return windows.with_status(windows.air_averages(clean, self.durations))
+
+
+class WeatherFlow:
+    """Branches of the weather flow. Silver is free of duplicates unless asked otherwise."""
+
+    def __init__(self, raw: DataFrame, durations: Sequence[str] = rules.WINDOW_DURATIONS,
+                 delay: str = rules.WATERMARK_DELAY, silver_dedup: bool = True,
+                 strict: bool = False, strict_units: bool = False):
+        self.bronze = raw
+        self.durations, self.delay, self.silver_dedup = durations, delay, silver_dedup
+        self.strict, self.strict_units = strict, strict_units
+
+    @cached_property
+    def parsed(self) -> DataFrame:
+        return parse.parse_weather(self.bronze)
+
+    @cached_property
+    def usable(self) -> DataFrame:
+        return quality.usable_weather(self.parsed, self.strict_units)
+
+    @cached_property
+    def rejects(self) -> DataFrame:
+        return quality.weather_rejects(
+            self.parsed, strict=self.strict, strict_units=self.strict_units)
+
+    @cached_property
+    def silver(self) -> DataFrame:
+        rows = dedup.dedup_weather(self.usable, self.delay) if self.silver_dedup else self.usable
+        return quality.with_event_date(quality.plausible_weather(rows))
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        measured = self.usable.select(
+            "event_time", "city", "source", "message_id", "temperature_c", "humidity_pct",
+            "wind_speed_ms")
+        clean = quality.plausible_weather(dedup.dedup_weather(measured, self.delay))
+        return windows.weather_averages(clean, self.durations)

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from envstream import contracts, rules
 from envstream.operators import windows
-from envstream.plans.flows import Branches
+from envstream.plans.flows import AirFlow, WeatherFlow
 from envstream.streaming.batches import AirMetricsBatch, ServingWriter, WeatherMetricsBatch
 
 
@@ -61,33 +61,33 @@ def start_console(rows: DataFrame, name: str, settings: StreamSettings) -> Strea
     return settings.prepared(writer, name).start()
 
 
-def start_air(branches: Branches, settings: StreamSettings,
+def start_air(flow: AirFlow, settings: StreamSettings,
               serving_writer: ServingWriter | None = None) -> list[StreamingQuery]:
     """Bronze, rejects and silver as they come, and one stateful query for everything windowed."""
     metrics = AirMetricsBatch(
         settings.root, f"{settings.checkpoints}/air_peak_windows", serving_writer,
         settings.delay, settings.preview)
     return [
-        start_layer(branches.bronze, contracts.BRONZE_AIR, settings),
-        start_layer(branches.rejects, contracts.REJECTS_AIR, settings),
-        start_layer(branches.silver, contracts.SILVER_AIR, settings),
-        start_batches(branches.metrics, metrics, "air_metrics", settings),
+        start_layer(flow.bronze, contracts.BRONZE_AIR, settings),
+        start_layer(flow.rejects, contracts.REJECTS_AIR, settings),
+        start_layer(flow.silver, contracts.SILVER_AIR, settings),
+        start_batches(flow.metrics, metrics, "air_metrics", settings),
     ]
 
 
-def start_weather(branches: Branches, settings: StreamSettings,
+def start_weather(flow: WeatherFlow, settings: StreamSettings,
                   serving_writer: ServingWriter | None = None) -> list[StreamingQuery]:
     """As ``start_air``; gold holds final windows, and the serving table every revision."""
     queries = [
-        start_layer(branches.bronze, contracts.BRONZE_WEATHER, settings),
-        start_layer(branches.rejects, contracts.REJECTS_WEATHER, settings),
-        start_layer(branches.silver, contracts.SILVER_WEATHER, settings),
+        start_layer(flow.bronze, contracts.BRONZE_WEATHER, settings),
+        start_layer(flow.rejects, contracts.REJECTS_WEATHER, settings),
+        start_layer(flow.silver, contracts.SILVER_WEATHER, settings),
         start_layer(
-            windows.with_window_date(branches.metrics), contracts.GOLD_WEATHER, settings),
+            windows.with_window_date(flow.metrics), contracts.GOLD_WEATHER, settings),
     ]
     if serving_writer is not None:
         callback = WeatherMetricsBatch(serving_writer, settings.preview)
-        queries.append(start_batches(branches.metrics, callback, "weather_metrics", settings))
+        queries.append(start_batches(flow.metrics, callback, "weather_metrics", settings))
     return queries
 
 

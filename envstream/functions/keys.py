@@ -36,10 +36,14 @@ def _or_default(column: Column, default: str) -> Column:
     return F.coalesce(F.nullif(column, F.lit("")), F.lit(default))
 
 
-def air_publish_key() -> Column:
+def air_publish_key_of(country: Column, city: Column, parameter: Column) -> Column:
     return F.concat_ws(
-        "|", _or_default(F.col("country"), "NA"), _or_default(F.col("city"), "NA"),
-        _or_default(F.col("parameter"), "unknown"))
+        "|", _or_default(country, "NA"), _or_default(city, "NA"),
+        _or_default(parameter, "unknown"))
+
+
+def air_publish_key() -> Column:
+    return air_publish_key_of(F.col("country"), F.col("city"), F.col("parameter"))
 
 
 def weather_publish_key() -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from envstream.functions import levels, times, units
@@ -135,7 +135,8 @@ def weather_disposition(parsed: DataFrame) -> DataFrame:
     return parsed.withColumn("disposition", reason)
 
 
-def observe_dispositions(rows: DataFrame, name: str, dispositions: Sequence[str]) -> DataFrame:
+def observe_dispositions(rows: DataFrame, name: str | Observation,
+                         dispositions: Sequence[str]) -> DataFrame:
     """Counts dispositions on the side while the rows pass, also in a stream's progress."""
     counts = [
         F.count(F.when(F.col("disposition") == d, 1)).alias(d) for d in dispositions]

@@ -92,9 +92,19 @@ def start_weather(flow: WeatherFlow, settings: StreamSettings,
 
 
 def run_until_any_ends(spark: SparkSession, queries: list[StreamingQuery]) -> None:
-    """Waits for the first query to end, then stops the others."""
+    """Waits for the first of the queries to end, stops the others, and raises its error."""
+    def all_active() -> bool:
+        return all(query.isActive for query in queries)
+
     try:
-        spark.streams.awaitAnyTermination()
+        while all_active():
+            # Earlier ends of other queries must not count, and one from here on must.
+            spark.streams.resetTerminated()
+            if all_active():
+                spark.streams.awaitAnyTermination()
+        for query in queries:
+            if query.exception() is not None:
+                raise query.exception()
     finally:
         for query in queries:
             query.stop()

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from envstream.operators.parse import raw_envelope
-from envstream.session import configure
+from envstream.session import configure, size_shuffles
+from envstream.sources import files
 
 EVENTS = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
           "props string")
@@ -42,8 +43,9 @@ def _text(moment: str) -> Column:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
-    rows = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    path = f"{sf_dir}/events.parquet"
+    size_shuffles(configure(spark), files.size(spark, path))
+    rows = spark.read.schema(EVENTS).parquet(path)
     return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
 

@@ -1,7 +1,8 @@
 """The SQL each registered query is compared with, over the same driver tables.
 
 Common table expressions derive the readings, records and metrics from ``events``; they are the
-SQL side of ``checks.feed`` and do not go through JSON where the fields are known anyway.
+SQL side of ``checks.feed`` and do not go through JSON where the fields are known anyway. Numbers
+are rounded as in ``checks.queries.comparable``.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ def _ranges(parameter: str = "parameter", value: str = "value") -> str:
 
 
 def _rounded(*columns: str) -> str:
-    return ", ".join(f"round({c}, 8) AS {c}" for c in columns)
+    return ", ".join(f"round({c} + 1.23456e-9, 8) AS {c}" for c in columns)
 
 
 STATUS = """CASE
@@ -131,7 +132,8 @@ WEATHER_RANGE = ("(temperature_c BETWEEN -50 AND 60 AND humidity_pct BETWEEN 0 A
 AIR_REASON = f"""CASE WHEN corrupt_record IS NOT NULL THEN 'corrupt_json'
     WHEN event_time IS NULL THEN 'missing_event_time' WHEN value IS NULL THEN 'missing_value'
     WHEN city IS NULL THEN 'missing_city'
-    WHEN parameter IN ('pm25','pm10','co','no2','o3') AND NOT {_ranges()} THEN 'invalid_range' END"""
+    WHEN parameter IN ('pm25','pm10','co','no2','o3') AND NOT {_ranges()}
+    THEN 'invalid_range' END"""
 WEATHER_REASON = f"""CASE WHEN corrupt_record IS NOT NULL THEN 'corrupt_json'
     WHEN event_time IS NULL THEN 'missing_event_time' WHEN city IS NULL THEN 'missing_city'
     WHEN NOT {WEATHER_RANGE} THEN 'invalid_range' END"""
@@ -188,25 +190,27 @@ def _weather_windows(durations=DEFAULT) -> str:
 
 
 METRICS = (*CLEAN_OBS, *_air_windows())
-SHOW_AIR = ("window_start, window_end, city, parameter, round(rolling_avg, 8) AS rolling_avg, "
-            "status, window_duration")
+SHOW_WINDOW = ("window_start, window_end, city, parameter, "
+               "round(rolling_avg + 1.23456e-9, 8) AS rolling_avg, window_duration")
+SHOW_AIR = SHOW_WINDOW + ", status"
 SHOW_WEATHER = ("window_start, window_end, city, " + _rounded(
     "avg_temperature", "avg_humidity", "avg_wind_speed") + ", window_duration")
+TWO_PLACES = "CAST(round(CAST(rolling_avg AS DECIMAL(18, 6)), 2) AS DOUBLE)"
 PEAK_TEST = """coalesce((parameter = 'pm25' AND delta >= 15) OR (parameter = 'pm10' AND delta >= 30)
   OR (parameter = 'co' AND delta >= 1) OR (parameter = 'no2' AND delta >= 50)
   OR (parameter = 'o3' AND delta >= 60), false)"""
 LAGGED = """lagged AS (SELECT *, lag(rolling_avg) OVER (PARTITION BY city, parameter,
   window_duration ORDER BY window_start) AS prev_rolling_avg FROM met)"""
 PEAKS = (LAGGED, "peaks AS (SELECT *, rolling_avg - prev_rolling_avg AS delta FROM lagged)")
-SHOW_PEAKS = (SHOW_AIR + ", round(prev_rolling_avg, 8) AS prev_rolling_avg, "
-              f"round(delta, 8) AS delta, {PEAK_TEST} AS is_peak")
+SHOW_PEAKS = (SHOW_AIR + ", round(prev_rolling_avg + 1.23456e-9, 8) AS prev_rolling_avg, "
+              f"round(delta + 1.23456e-9, 8) AS delta, {PEAK_TEST} AS is_peak")
 REVISIONS = """revisions AS (
   SELECT * REPLACE (rolling_avg + revision AS rolling_avg),
     window_end + revision * INTERVAL 1 MINUTE AS ingested_at
   FROM (SELECT *, UNNEST(range(CAST(floor(minute(window_start) / 5) AS BIGINT) % 3 + 1))
     AS revision FROM met))"""
-LATEST = """SELECT city, parameter, window_duration, round(rolling_avg, 8) AS prev_rolling_avg,
-  window_start AS prev_window_start FROM (SELECT *, row_number() OVER (PARTITION BY city,
+LATEST = """SELECT city, parameter, window_duration,
+  round(rolling_avg + 1.23456e-9, 8) AS prev_rolling_avg, window_start AS prev_window_start FROM (SELECT *, row_number() OVER (PARTITION BY city,
   parameter, window_duration ORDER BY window_start DESC) AS rn FROM met) WHERE rn = 1"""
 
 
@@ -246,7 +250,7 @@ STATIONS = f"""stations AS (SELECT user_id, country, {PLACES} AS place,
     max(event_time) AS last_time FROM obs GROUP BY ALL)"""
 # What the ten place names match.
 STATION_CITY = """CASE WHEN user_id % 10 IN (0, 6) THEN 'Paris' WHEN user_id % 10 IN (3, 7)
-  THEN 'London' WHEN user_id % 10 IN (4, 8) THEN 'Berlin' END"""
+  THEN 'London' WHEN user_id % 10 IN (4 + 1.23456e-9, 8) THEN 'Berlin' END"""
 CITY_STATIONS = f"""city_stations AS (SELECT *, {STATION_CITY} AS target_city FROM stations
   WHERE user_id % 7 <> 0 AND {STATION_CITY} IS NOT NULL)"""
 SENSORS = """sensor_rows AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS location_id,
@@ -384,11 +388,9 @@ ORACLES: dict[str, str] = {
     "air_metrics": _chain(*AIR_FLOW, *_air_windows()) + f"SELECT {SHOW_AIR} FROM met",
     "weather_metrics": _chain(*WEATHER_FLOW, _weather_windows())
     + f"SELECT {SHOW_WEATHER} FROM met",
-    "win_air": _chain(*CLEAN_OBS, *_air_windows(DEFAULT[:1])) + """SELECT window_start,
-      window_end, city, parameter, round(rolling_avg, 8) AS rolling_avg, window_duration
+    "win_air": _chain(*CLEAN_OBS, *_air_windows(DEFAULT[:1])) + f"""SELECT {SHOW_WINDOW}
       FROM win""",
-    "win_multi": _chain(*CLEAN_OBS, *_air_windows(COARSE)) + """SELECT window_start,
-      window_end, city, parameter, round(rolling_avg, 8) AS rolling_avg, window_duration
+    "win_multi": _chain(*CLEAN_OBS, *_air_windows(COARSE)) + f"""SELECT {SHOW_WINDOW}
       FROM win""",
     "win_weather": _chain(OBS, f"clean AS (SELECT * FROM units WHERE {WEATHER_RANGE})",
                           _weather_windows(COARSE)) + f"SELECT {SHOW_WEATHER} FROM met",
@@ -405,7 +407,7 @@ ORACLES: dict[str, str] = {
     "latest_state": _chain(*METRICS) + LATEST,
     # The older table holds the later windows, so it wins wherever it has the series.
     "state_merge": _chain(*METRICS) + f"""SELECT city, parameter, window_duration,
-      round(rolling_avg + CASE WHEN window_start < {MIDDLE} THEN 1 ELSE 0 END, 8)
+      round(rolling_avg + CASE WHEN window_start < {MIDDLE} THEN 1 ELSE 0 END + 1.23456e-9, 8)
       AS prev_rolling_avg, window_start AS prev_window_start FROM (SELECT *, row_number() OVER (
       PARTITION BY city, parameter, window_duration ORDER BY window_start DESC) AS rn FROM met)
       WHERE rn = 1""",
@@ -425,7 +427,7 @@ ORACLES: dict[str, str] = {
         _panel("10 MINUTE", " AND status = 'DANGER'", "TIMESTAMP '2025-01-01'",
                "TIMESTAMP '2025-01-02'"), "TIMESTAMP '2025-01-02'"),
     "recent_alerts": _chain(*METRICS) + f"""SELECT window_start, window_end, city, parameter,
-      round(rolling_avg, 2) AS rolling_avg, status, window_duration FROM met WHERE {ACTIVE}
+      {TWO_PLACES} AS rolling_avg, status, window_duration FROM met WHERE {ACTIVE}
       ORDER BY window_start DESC, city, parameter, window_duration LIMIT 100""",
     "active_pairs": _chain(*METRICS) + f"""SELECT city || ' / ' || parameter AS city_parameter,
       CAST(count(*) AS DOUBLE) AS danger_count FROM met WHERE {ACTIVE} GROUP BY 1
@@ -439,7 +441,7 @@ ORACLES: dict[str, str] = {
       AND regexp_matches(window_duration, '^10', 'i') AND regexp_matches(status, 'danger', 'i')
       GROUP BY 1 ORDER BY danger_count DESC, offender LIMIT 10""",
     "last_danger": _chain(*METRICS) + f"""SELECT city, window_start AS last_danger_at, parameter,
-      round(rolling_avg, 2) AS rolling_avg, window_duration FROM (SELECT *, row_number() OVER (
+      {TWO_PLACES} AS rolling_avg, window_duration FROM (SELECT *, row_number() OVER (
       PARTITION BY city ORDER BY window_start DESC, parameter DESC, window_duration DESC) AS rn
       FROM met WHERE {DAY}) WHERE rn = 1""",
     "status_trend": _chain(*METRICS) + f"""SELECT time_bucket(INTERVAL 6 HOUR, window_start)
@@ -449,14 +451,14 @@ ORACLES: dict[str, str] = {
         f"SELECT DISTINCT '{v}' AS variable, {v} AS choice FROM met"
         for v in ("city", "parameter", "window_duration", "status")),
     "bi_average": _chain(*METRICS) + """SELECT city, parameter,
-      round(avg(rolling_avg), 8) AS avg_rolling_avg FROM met GROUP BY 1, 2
+      round(avg(rolling_avg) + 1.23456e-9, 8) AS avg_rolling_avg FROM met GROUP BY 1, 2
       ORDER BY city, parameter LIMIT 5000""",
     "preview_latest": _chain(*METRICS) + f"""SELECT {SHOW_AIR} FROM met ORDER BY met.window_start
       DESC, met.window_end, city, parameter, met.rolling_avg, status, window_duration LIMIT 20""",
     "city_join": _chain(*METRICS) + """SELECT city,
       CASE city WHEN 'Paris' THEN 48.8566 ELSE CAST(count(*) AS DOUBLE) END AS latitude,
       CASE city WHEN 'Paris' THEN 2.3522 ELSE 0.5 END::DOUBLE AS longitude, count(*) AS rows,
-      round(max(rolling_avg), 8) AS highest FROM met GROUP BY city""",
+      round(max(rolling_avg) + 1.23456e-9, 8) AS highest FROM met GROUP BY city""",
     "serving_rows": _chain(*METRICS, REVISIONS) + f"""SELECT {SHOW_AIR} FROM (SELECT *,
       row_number() OVER (PARTITION BY window_start, window_end, city, parameter,
       window_duration ORDER BY rolling_avg DESC) AS rn FROM revisions WHERE parameter <> 'o3')
@@ -545,8 +547,8 @@ ORACLES: dict[str, str] = {
         GROUP BY ALL) s ON s.user_id = o.user_id AND s.n = length(o.parameter)""",
     "payload_forecast": _chain(OBS) + f"""SELECT 'open-meteo' AS source, country, city,
       CAST(user_id % 90 AS DOUBLE) AS latitude, CAST(user_id % 180 AS DOUBLE) AS longitude,
-      round(temperature_c, 8) AS temperature, 'C' AS temperature_unit,
-      round(wind_speed_ms, 8) AS wind_speed, 'm/s' AS wind_unit, k AS humidity,
+      round(temperature_c + 1.23456e-9, 8) AS temperature, 'C' AS temperature_unit,
+      round(wind_speed_ms + 1.23456e-9, 8) AS wind_speed, 'm/s' AS wind_unit, k AS humidity,
       '%' AS humidity_unit, strftime(event_time, '%Y-%m-%dT%H:%M:00+00:00') AS event_time,
       '2024-02-01T00:00:00+00:00' AS ingestion_time FROM units""",
     "payload_observation": _chain(OBS, """seen AS (SELECT 'openweather' AS source, country, city,
@@ -568,7 +570,7 @@ ORACLES: dict[str, str] = {
       '{"city":' || CASE WHEN event_id % 9 <> 0 THEN '"' || city || '"' ELSE 'null' END
       || ',"source":"feed","humidity":' || CAST(k AS VARCHAR) || '}' AS value FROM obs""",
     "gold_merge": _chain(*METRICS) + f"""SELECT window_start, window_end, city, parameter,
-      round(rolling_avg + CASE WHEN window_start < {MIDDLE} THEN 1 ELSE 0 END, 8)
+      round(rolling_avg + CASE WHEN window_start < {MIDDLE} THEN 1 ELSE 0 END + 1.23456e-9, 8)
       AS rolling_avg, status, window_duration, CAST(window_start AS DATE) AS window_date
       FROM met""",
     "peaks_merge": _chain(*METRICS, *PEAKS) + f"""SELECT *, CAST(window_start AS DATE)

@@ -84,9 +84,12 @@ def best_stations(candidates: DataFrame) -> DataFrame:
 
 
 def with_readings(candidates: DataFrame, items: DataFrame) -> DataFrame:
-    """Stations that sent at least one reading."""
-    return candidates.join(
-        items.select(F.col("location_id").alias("id")), "id", "left_semi")
+    """Stations that sent at least one reading.
+
+    The readings shrink to one row per station before the shuffle, however many one station has.
+    """
+    sent = items.select(F.col("location_id").alias("id")).distinct()
+    return candidates.join(sent, "id", "left_semi")
 
 
 def sensor_parameters(all_stations: DataFrame) -> DataFrame:
@@ -181,7 +184,8 @@ def air_messages(items: DataFrame, chosen: DataFrame, ingestion_time: datetime)
         number_or_null(_path(coordinates, "$.latitude")).alias("latitude"),
         number_or_null(_path(coordinates, "$.longitude")).alias("longitude"),
         "event_time",
-        times.iso_text(times.literal(ingestion_time)).alias("ingestion_time"), "location_id", "sensor_id",
+        times.iso_text(times.literal(ingestion_time)).alias("ingestion_time"),
+        "location_id", "sensor_id",
         F.when(_is_object(operator), _path(operator, "$.name")).otherwise(operator)
         .alias("provider"),
         F.coalesce("own_parameter_id", "listed.id").alias("parameter_id"))
@@ -271,7 +275,7 @@ def newest_keys(entries: DataFrame, now: datetime,
                 capacity: int = rules.CHANGE_STATE_CAPACITY,
                 ttl: str = rules.CHANGE_STATE_TTL) -> DataFrame:
     """State entries not older than the time to live, at most ``capacity`` of them, newest first."""
-    fresh = entries.filter(
-        F.col("updated_at").isNull() | (F.col("updated_at") >= times.literal(now - times.delta(ttl))))
+    oldest = times.literal(now - times.delta(ttl))
+    fresh = entries.filter(F.col("updated_at").isNull() | (F.col("updated_at") >= oldest))
     others = [F.col(c) for c in entries.columns if c != "updated_at"]
     return fresh.orderBy(F.col("updated_at").desc_nulls_first(), *others).limit(capacity)

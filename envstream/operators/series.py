@@ -11,8 +11,9 @@ from envstream.functions import times
 
 # Series are cut at this length of time; a piece holds at most one window per step of it.
 DEFAULT_SLICE = "7 days"
-# Raw readings are denser than windows.
-READING_SLICE = "1 hour"
+# Raw readings are denser than windows: one series may hold a large part of all rows, and only a
+# short slice of it fits a task. Its slice ends stay few, two per minute of data.
+READING_SLICE = "1 minute"
 
 
 def with_previous(rows: DataFrame, key: Sequence[str], time_column: str,

@@ -34,6 +34,12 @@ def replace(spark: SparkSession, source: str, destination: str) -> None:
         raise OSError(f"cannot move {source} to {destination}")
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes below a path."""
+    fs, target = _resolve(spark, path)
+    return fs.getContentSummary(target).getLength()
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder, sorted; none when it is missing."""
     fs, target = _resolve(spark, path)

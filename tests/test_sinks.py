@@ -214,3 +214,14 @@ def test_weather_records(spark):
     rows = spark.createDataFrame([(None, "s", 1)], "city string, source string, humidity int")
     row = messages.weather_records(rows).first()
     assert (row["key"], row["value"]) == ("NA|s", '{"city":null,"source":"s","humidity":1}')
+
+
+def test_shuffles_grow_with_the_input(spark):
+    from envstream.session import size_shuffles
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    size_shuffles(spark, 1000)
+    assert spark.conf.get(key, None) is None
+    size_shuffles(spark, 100 * 2 ** 40)
+    assert spark.conf.get(key) == str(100 * 2 ** 20 // 64)
+    spark.conf.unset(key)

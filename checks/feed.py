@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from envstream import rules
 from envstream.operators.parse import raw_envelope
 from envstream.session import configure, size_shuffles
 from envstream.sources import files
@@ -107,7 +108,7 @@ def air_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value": F.when(~_spoilt(7), F.col("value")), "location_id": F.col("user_id"),
     }
     message = F.struct(*[c.alias(n) for n, c in fields.items()])
-    return _records(rows, message, "air_quality_raw")
+    return _records(rows, message, rules.AIR_TOPIC)
 
 
 def weather_fields() -> dict[str, Column]:
@@ -127,7 +128,7 @@ def weather_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spread(observations(spark, sf_dir))
     fields = {"source": F.lit("feed"), **_shared_fields(), **weather_fields()}
     message = F.struct(*[c.alias(n) for n, c in fields.items()])
-    return _records(rows, message, "weather_raw")
+    return _records(rows, message, rules.WEATHER_TOPIC)
 
 
 def raw_air(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,8 +60,8 @@ def merge_by_key(batch: DataFrame, table: contracts.TableContract, root: str,
     shared = set(days) & set(_day_folders(spark, path, partition))
     ready = incoming if not shared and keep is None else merged
     if files.exists(spark, swapping):
-        ready = files.child_names(spark, swapping)[0]
-        ready = f"{staging}/{ready}"
+        # A swap was under way; what it was moving is noted, and what it moved is gone from there.
+        ready = f"{staging}/{files.child_names(spark, swapping)[0]}"
     else:
         if ready == merged:
             wanted = [day.split("=", 1)[1] for day in sorted(shared)]
@@ -76,6 +76,7 @@ def merge_by_key(batch: DataFrame, table: contracts.TableContract, root: str,
     files.make_dirs(spark, path)
     for day in _day_folders(spark, ready, partition):
         files.replace(spark, f"{ready}/{day}", f"{path}/{day}")
+    spark.catalog.refreshByPath(path)
     files.delete(spark, staging)
 
 

@@ -55,6 +55,14 @@ def start_batches(rows: DataFrame, callback, name: str,
     return settings.prepared(writer, name).start()
 
 
+def start_publishing(records: DataFrame, servers: str, topic: str, name: str,
+                     settings: StreamSettings) -> StreamingQuery:
+    """Publishes a stream of keyed records. Needs the Kafka connector on the class path."""
+    writer = records.writeStream.outputMode("append").format("kafka").option(
+        "kafka.bootstrap.servers", servers).option("topic", topic)
+    return settings.prepared(writer, name).start()
+
+
 def start_console(rows: DataFrame, name: str, settings: StreamSettings) -> StreamingQuery:
     """Prints changed windows. It keeps its own state, so prefer ``preview`` beside a sink."""
     writer = rows.writeStream.outputMode("update").format("console").option("truncate", "false")

@@ -218,3 +218,28 @@ def test_silver_as_a_source(spark):
         "checkpointLocation", f"{root}/ck2").trigger(availableNow=True).start()
     query.awaitTermination()
     assert [tuple(r) for r in spark.table("silver_counts").collect()] == [("Paris", 2)]
+
+
+def test_payload_stream_to_records(spark):
+    from envstream.operators import providers
+    from envstream.sinks import messages
+    from envstream.sources import payloads
+
+    root = work_dir(spark, "t")
+    body = json.dumps({
+        "current": {"time": "2024-01-01T10:00", "temperature_2m": 1.5, "wind_speed_10m": 2.0,
+                    "relative_humidity_2m": 50}})
+    spark.createDataFrame(
+        [("FR", "Paris", 48.0, 2.0, body)], payloads.WEATHER_RESPONSES).write.json(f"{root}/in")
+    responses = payloads.responses(
+        spark, f"{root}/in", payloads.WEATHER_RESPONSES, streaming=True)
+    records = messages.weather_records(
+        providers.recent_only(providers.forecast_messages(responses, START), START))
+    query = records.writeStream.format("memory").queryName("published").option(
+        "checkpointLocation", f"{root}/ck").trigger(availableNow=True).start()
+    query.awaitTermination()
+    row = spark.table("published").first()
+    sent = json.loads(row["value"])
+    assert row["key"] == "Paris|open-meteo"
+    assert sent["temperature"] == 1.5 and sent["event_time"] == "2024-01-01T10:00:00+00:00"
+    assert list(sent) == contracts.WEATHER_MESSAGE.fieldNames()

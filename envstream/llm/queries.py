@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from envstream.llm import quality, shards
+from envstream.llm import bpe, packing, quality, separators, shards, simhash
 from envstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
+#: Vocabulary files, read on the driver, and the id that ends a document in the token files.
+LIBRARY_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+END_OF_DOCUMENT = 50256
+
 
 def registered(query: Query) -> Query:
     QUERIES[query.__name__] = query
@@ -26,6 +32,28 @@ def op1_quality_rules(spark, sf_dir):
         "base_failed", "kept")
 
 
+@registered
+def op2_separator_scan(spark, sf_dir):
+    return separators.document_tokens(
+        table(spark, sf_dir, "documents"), LIBRARY_VOCABULARY, END_OF_DOCUMENT)
+
+
 @registered
 def op4_interleaved_shards(spark, sf_dir):
     return shards.assign(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op5_simhash_trie(spark, sf_dir):
+    return simhash.groups(table(spark, sf_dir, "documents"), budget=2)
+
+
+@registered
+def op8_matrix_bpe(spark, sf_dir):
+    return bpe.encode_documents(
+        table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+
+
+@registered
+def op9_linear_grouping(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), LIBRARY_VOCABULARY)

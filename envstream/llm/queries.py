@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from envstream.llm import bpe, packing, quality, separators, shards, simhash
+from envstream.llm import bpe, packing, quality, separators, shards, simhash, spans
 from envstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,11 @@ def op5_simhash_trie(spark, sf_dir):
     return simhash.groups(table(spark, sf_dir, "documents"), budget=2)
 
 
+@registered
+def op7_block_factors(spark, sf_dir):
+    return spans.digest(table(spark, sf_dir, "documents"), window=35)
+
+
 @registered
 def op8_matrix_bpe(spark, sf_dir):
     return bpe.encode_documents(

@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from envstream.llm import bpe, packing, quality, separators, shards, simhash, spans
+from envstream.llm import (
+    bpe, compression, packing, quality, separators, shards, simhash, spans, vectors,
+)
 from envstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +40,11 @@ def op2_separator_scan(spark, sf_dir):
         table(spark, sf_dir, "documents"), LIBRARY_VOCABULARY, END_OF_DOCUMENT)
 
 
+@registered
+def op3_adaptive_scan(spark, sf_dir):
+    return vectors.search_all(table(spark, sf_dir, "embeddings"), every=20)
+
+
 @registered
 def op4_interleaved_shards(spark, sf_dir):
     return shards.assign(table(spark, sf_dir, "documents"))
@@ -48,6 +55,13 @@ def op5_simhash_trie(spark, sf_dir):
     return simhash.groups(table(spark, sf_dir, "documents"), budget=2)
 
 
+@registered
+def op6_compression_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = compression.fit(docs, table(spark, sf_dir, "labels"))
+    return compression.classify(docs, model)
+
+
 @registered
 def op7_block_factors(spark, sf_dir):
     return spans.digest(table(spark, sf_dir, "documents"), window=35)

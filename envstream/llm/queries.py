@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from envstream.llm import (
-    bpe, compression, packing, quality, separators, shards, simhash, spans, vectors,
+    bpe, compression, packing, pages, quality, separators, shards, simhash, spans, vectors,
 )
 from envstream.llm.common import table
 
@@ -76,3 +76,8 @@ def op8_matrix_bpe(spark, sf_dir):
 @registered
 def op9_linear_grouping(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), LIBRARY_VOCABULARY)
+
+
+@registered
+def op10_host_paths(spark, sf_dir):
+    return pages.extract(table(spark, sf_dir, "pages"))

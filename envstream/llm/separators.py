@@ -120,7 +120,7 @@ def scan(blocks: DataFrame, separator: int, block_ids: int = BLOCK_IDS) -> DataF
     base = F.col("block") * block_ids
     in_span = Window.partitionBy("file", "span").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1)
-    last = F.when(F.size("ends") > 0, base + F.element_at("ends", -1))
+    last = F.when(F.size("ends") > 0, base + F.try_element_at("ends", F.lit(-1)))
     local = found.select(
         "file", "span", "block", "ids", "ends", F.max(last).over(in_span).alias("open"),
         F.coalesce(F.sum(F.size("ends")).over(in_span), F.lit(0)).alias("before"))
@@ -139,7 +139,7 @@ def scan(blocks: DataFrame, separator: int, block_ids: int = BLOCK_IDS) -> DataF
     is_last = F.col("in_last") & (F.col("block") == F.col("last_block"))
     first = F.coalesce("open", "open_span", F.lit(0).cast("long"))
     closing = F.transform("ends", lambda x: base + x)
-    left_open = end > F.coalesce(F.element_at(closing, F.lit(-1)), first)
+    left_open = end > F.coalesce(F.try_element_at(closing, F.lit(-1)), first)
     closing_all = F.when(is_last & left_open, F.concat(closing, F.array(end))).otherwise(closing)
     rows = joined.select(
         "file", (F.col("before") + F.col("before_span")).alias("ordinal"), first.alias("first"),

@@ -193,6 +193,8 @@ def links(found: DataFrame, budget: int) -> DataFrame:
     ``found`` has a ``fingerprint`` per row, each once. Within a task, links that close a circle are
     left out: they change no group.
     """
+    if budget < 1:
+        raise ValueError("distinct fingerprints differ in one bit at least")
     turned = np.array([first for first, _ in _stretches(budget + 1)], np.uint64)
 
     def joined(table: pa.Table, starts: np.ndarray) -> pa.RecordBatch:

@@ -163,7 +163,9 @@ def _flat(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 def _factors(row: np.ndarray, place: np.ndarray, repeated: np.ndarray) -> np.ndarray:
     """(row, first, last) of the longest runs of repeated windows within each row."""
     at = np.flatnonzero(repeated)
-    new = np.append(True, (np.diff(at) != 1) | (np.diff(row[at]) != 0))[:len(at)]
+    if not len(at):
+        return np.zeros((3, 0), np.int64)
+    new = np.append(True, (np.diff(at) != 1) | (np.diff(row[at]) != 0))
     begin = np.flatnonzero(new)
     end = np.append(begin[1:], len(at)) - 1
     return np.stack([row[at[begin]], place[at[begin]], place[at[end]]])

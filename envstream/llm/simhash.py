@@ -26,7 +26,7 @@ from envstream.llm.common import written
 from envstream.llm.components import components
 
 BITS, SHINGLE = 64, 3
-NODE_ROWS, SPLIT_BITS = 4096, 5
+NODE_ROWS, SPLIT_BITS = 4096, 10
 #: Leaves and pairs of nodes that are held at a time; neither changes the result.
 CHUNK_ROWS, FRONTIER = 100_000, 500_000
 
@@ -161,9 +161,9 @@ def _dealt(found: DataFrame, budget: int) -> DataFrame:
         rows = written(rows, "trie-nodes")
         large = written(rows.groupBy("node").agg(F.count("*").alias("n")).where(
             F.col("n") > NODE_ROWS).select("node"), "trie-large")
-        done.append(rows.join(large, "node", "left_anti"))
         if depth + SPLIT_BITS > BITS or large.isEmpty():
-            return reduce(DataFrame.union, done)
+            return reduce(DataFrame.union, done, rows)
+        done.append(rows.join(large, "node", "left_anti"))
         rows = _split(rows.join(large, "node", "left_semi"), budget)
         depth += SPLIT_BITS
 

@@ -60,7 +60,7 @@ def near_values(n, seed, centres=8):
 
 
 @pytest.mark.parametrize("budget,node_rows,chunk", [
-    (2, 4096, 100_000), (2, 3, 100_000), (2, 8, 20), (1, 4, 50), (3, 5, 100_000)])
+    (2, 4096, 100_000), (2, 6, 100_000), (2, 20, 20), (1, 4, 50), (3, 12, 100_000)])
 def test_trie_join_finds_every_link(spark, monkeypatch, budget, node_rows, chunk):
     monkeypatch.setattr(simhash, "NODE_ROWS", node_rows)
     monkeypatch.setattr(simhash, "CHUNK_ROWS", chunk)

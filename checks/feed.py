@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 from envstream import rules
 from envstream.operators.parse import raw_envelope
-from envstream.session import configure, size_shuffles
-from envstream.sources import files
+from envstream.session import configure
 
 EVENTS = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
           "props string")
@@ -44,22 +43,10 @@ def _text(moment: str) -> Column:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{sf_dir}/events.parquet"
-    size_shuffles(configure(spark), files.size(spark, path))
-    rows = spark.read.schema(EVENTS).parquet(path)
+    rows = configure(spark).read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
     return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows over all cores when the table has fewer files than cores.
-
-    The steps after this build and parse JSON, which one small file would leave to one core. A
-    table of many files is split well already and is not shuffled.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
-
-
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean typed readings: event_id, event_time, city, parameter, value, message_id."""
     rows = events(spark, sf_dir)
@@ -102,7 +89,7 @@ def _shared_fields() -> dict[str, Column]:
 
 
 def air_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spread(observations(spark, sf_dir))
+    rows = observations(spark, sf_dir)
     fields = {
         "source": F.lit("feed"), **_shared_fields(), "parameter": F.col("parameter"),
         "value": F.when(~_spoilt(7), F.col("value")), "location_id": F.col("user_id"),
@@ -125,7 +112,7 @@ def weather_fields() -> dict[str, Column]:
 
 
 def weather_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spread(observations(spark, sf_dir))
+    rows = observations(spark, sf_dir)
     fields = {"source": F.lit("feed"), **_shared_fields(), **weather_fields()}
     message = F.struct(*[c.alias(n) for n, c in fields.items()])
     return _records(rows, message, rules.WEATHER_TOPIC)
@@ -172,7 +159,7 @@ def station_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def latest_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One response per event; its time and its pollutant are given in various forms."""
-    rows = spread(observations(spark, sf_dir))
+    rows = observations(spark, sf_dir)
     form = F.col("event_id") % 6
 
     def at(number: int, value: Column) -> Column:
@@ -223,7 +210,7 @@ def forecast_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             fields["temperature_unit"].alias("temperature_2m"),
             fields["wind_unit"].alias("wind_speed_10m"),
             F.lit("%").alias("relative_humidity_2m")).alias("current_units"))
-    return _weather_responses(spread(observations(spark, sf_dir)), body)
+    return _weather_responses(observations(spark, sf_dir), body)
 
 
 def observation_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,4 +220,4 @@ def observation_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             fields["temperature"].alias("temp"), F.col("k").alias("humidity")).alias("main"),
         F.struct(fields["wind_speed"].alias("speed")).alias("wind"),
         F.when(~_spoilt(5), F.unix_seconds("event_time")).alias("dt"))
-    return _weather_responses(spread(observations(spark, sf_dir)), body)
+    return _weather_responses(observations(spark, sf_dir), body)

@@ -225,11 +225,12 @@ DAY = _panel("24 HOUR", " AND status = 'DANGER'")
 
 
 def _worst(condition: str, time: str) -> str:
-    return _chain(*METRICS, f"""grouped AS (SELECT city || ' / ' || parameter AS metric,
-      CAST(count(*) AS DOUBLE) AS value FROM met WHERE {condition} GROUP BY 1
-      ORDER BY value DESC, metric LIMIT 1)""") + f"""
-      SELECT {time} AS time, metric, value FROM grouped UNION ALL
-      SELECT {time}, 'No active DANGER', 0.0::DOUBLE WHERE NOT EXISTS (SELECT 1 FROM grouped)"""
+    """An aggregate over the pairs always has a row, whose nulls say that there is no pair."""
+    return _chain(*METRICS, f"""pairs AS (SELECT city, parameter, count(*) AS windows FROM met
+      WHERE {condition} GROUP BY city, parameter)""") + f"""
+      SELECT {time} AS time, coalesce(first(city || ' / ' || parameter
+          ORDER BY windows DESC, city || ' / ' || parameter), 'No active DANGER') AS metric,
+        coalesce(max(windows), 0)::DOUBLE AS value FROM pairs"""
 
 
 def _iso(column: str = "event_time") -> str:
@@ -580,6 +581,18 @@ ORACLES: dict[str, str] = {
         f"SELECT '{LOCATIONS[name]}' AS layer, count(*) AS rows FROM {source}"
         for name, source in LAYER_SOURCES.items()) + "))",
     "catalog_counts": LAYER_CTES + _counts(LAYER_SOURCES),
+    "backfill_retry": LAYER_CTES + _counts(LAYER_SOURCES),
+    "backfill_two_batches": _chain(*AIR_FLOW, *_air_windows()) + f"""SELECT {SHOW_AIR},
+      CAST(met.window_start AS DATE) AS window_date FROM met""",
+    "backfill_peaks": _chain(*AIR_FLOW, *_air_windows(), *PEAKS) + f"""SELECT *,
+      CAST(window_start AS DATE) AS window_date FROM (SELECT {SHOW_PEAKS} FROM peaks)
+      WHERE is_peak""",
+    "change_only_interleaved": _chain(OBS, TWICE) + """SELECT country, city, parameter,
+      date_trunc('day', event_time)::TIMESTAMP AS event_time, (floor(value) % 3)::DOUBLE AS value,
+      min(event_id) AS event_id, 0 AS delivery FROM twice GROUP BY 1, 2, 3, 4, 5""",
+    "message_id_numbers": _chain(OBS) + """SELECT event_id, sha1(parameter || '|' || CAST(CAST(
+      (event_id % 997 + 1) || 'e' || (event_id % 27 - 9) AS DOUBLE) AS VARCHAR)) AS content_id
+      FROM obs""",
     "inferred_schema": LAYER_CTES + "SELECT column_name, data_type, rows FROM (VALUES "
     + ", ".join(f"('{n}', '{t}')" for n, t in PEAK_COLUMNS)
     + ") v(column_name, data_type), (SELECT count(*) AS rows FROM "

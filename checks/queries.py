@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from checks import feed, runs
-from envstream import contracts
+from envstream import contracts, rules
 from envstream.functions import keys, text, times, units
 from envstream.operators import (
     audit, dedup, parse, peaks, providers, quality, series, serving, windows,
@@ -345,7 +345,8 @@ def filter_values(spark, sf_dir):
 
 @registered
 def bi_average(spark, sf_dir):
-    return comparable(serving.average_by_city_and_parameter(metrics(spark, sf_dir)))
+    return comparable(serving.average_by_city_and_parameter(
+        metrics(spark, sf_dir), rules.BI_ROW_LIMIT))
 
 
 @registered
@@ -422,6 +423,26 @@ def change_only(spark, sf_dir):
     return comparable(rows)
 
 
+@registered
+def change_only_interleaved(spark, sf_dir):
+    """Few contents per series and day, in turn, so that equal ones do not lie side by side."""
+    rows = readings_twice(spark, sf_dir).withColumns({
+        "event_time": F.date_trunc("day", "event_time"),
+        "value": F.pmod(F.floor("value"), F.lit(3)).cast("double")})
+    return comparable(series.change_only(
+        rows, READING_KEY, "event_time", ["event_id", "delivery"], ["event_time", "value"]))
+
+
+@registered
+def message_id_numbers(spark, sf_dir):
+    """Ids of doubles from 1e-8 to 1e20."""
+    digits = F.concat((F.col("event_id") % 997 + 1).cast("string"), F.lit("e"), (F.col(
+        "event_id") % 27 - 9).cast("string"))
+    number = digits.cast("double")
+    return feed.observations(spark, sf_dir).select(
+        "event_id", keys.content_id(F.col("parameter"), number).alias("content_id"))
+
+
 @registered
 def ingestion_counters(spark, sf_dir):
     marked = series.mark_repeats(
@@ -437,7 +458,7 @@ def ingestion_counters(spark, sf_dir):
 def capacity_trim(spark, sf_dir):
     entries = feed.observations(spark, sf_dir).select(
         "user_id", "parameter", F.col("event_time").alias("updated_at"), "event_id")
-    return comparable(providers.newest_keys(entries, MIDDLE))
+    return comparable(providers.newest_keys(entries, MIDDLE, rules.CHANGE_STATE_CAPACITY))
 
 
 @registered
@@ -553,6 +574,23 @@ def catalog_counts(spark, sf_dir):
     return catalog.table_counts(spark, runs.registered_database(spark, sf_dir))
 
 
+@registered
+def backfill_two_batches(spark, sf_dir):
+    """Averages of windows whose readings came in two batches, each loaded twice."""
+    return comparable(runs.backfilled(spark, sf_dir, contracts.GOLD_AIR))
+
+
+@registered
+def backfill_peaks(spark, sf_dir):
+    return comparable(runs.backfilled(spark, sf_dir, contracts.GOLD_PEAKS))
+
+
+@registered
+def backfill_retry(spark, sf_dir):
+    """Rows of every layer after each batch was loaded twice."""
+    return runs.repeated_counts(spark, sf_dir)
+
+
 @registered
 def inferred_schema(spark, sf_dir):
     """Columns of the peaks table as found in its files, next to its row count."""

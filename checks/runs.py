@@ -66,6 +66,33 @@ def lakehouse(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def repeated_backfill(spark: SparkSession, sf_dir: str) -> str:
+    """The lakehouse from two air batches and one weather batch, each of them loaded twice.
+
+    Deliveries of a message and readings of a window fall into both air batches.
+    """
+    root = work_dir(spark, "backfill")
+    records = feed.raw_air(spark, sf_dir)
+    first = F.col("offset") % 3 == 0
+    for merge_id, batch in (("0", records.filter(first)), ("1", records.filter(~first))):
+        for _ in range(2):
+            backfill.write_air(batch, root, merge_id)
+    for _ in range(2):
+        backfill.write_weather(feed.raw_weather(spark, sf_dir), root, "0")
+    return root
+
+
+def backfilled(spark: SparkSession, sf_dir: str, table: contracts.TableContract) -> DataFrame:
+    return _read(spark, repeated_backfill(spark, sf_dir), table)
+
+
+def repeated_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    database = f"lakehouse_{uuid.uuid4().hex}"
+    catalog.register(spark, repeated_backfill(spark, sf_dir), database)
+    catalog.sync_partitions(spark, database)
+    return catalog.table_counts(spark, database)
+
+
 def registered_database(spark: SparkSession, sf_dir: str) -> str:
     database = f"lakehouse_{uuid.uuid4().hex}"
     catalog.register(spark, lakehouse(spark, sf_dir), database)

@@ -103,7 +103,8 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def layer_presence(spark: SparkSession, root: str,
                    tables: Sequence[contracts.TableContract] = contracts.TABLES) -> DataFrame:
-    """Rows per layer; a layer fails when it must hold data and has none."""
+    """Rows per layer; a layer fails when it must hold data and has none, or is not there at all."""
+    from envstream.sources import files
     from envstream.sources import tables as scans
 
     counted = row_counts({
@@ -113,4 +114,7 @@ def layer_presence(spark: SparkSession, root: str,
     return counted.select(
         F.col("table_name").alias("layer"), "rows", required.alias("required"),
         (F.col("rows") > 0).alias("has_rows"),
-    ).withColumn("ok", F.col("has_rows") | ~F.col("required")).drop("has_rows")
+        F.col("table_name").isin(*[t.location for t in tables if files.exists(
+            spark, f"{root}/{t.location}")]).alias("there"),
+    ).withColumn("ok", F.col("there") & (F.col("has_rows") | ~F.col("required"))).drop(
+        "has_rows", "there")

@@ -271,11 +271,12 @@ def ingestion_disposition(messages: DataFrame, now: datetime, repeated: Column,
         .otherwise("produced"))
 
 
-def newest_keys(entries: DataFrame, now: datetime,
-                capacity: int = rules.CHANGE_STATE_CAPACITY,
+def newest_keys(entries: DataFrame, now: datetime, capacity: int | None = None,
                 ttl: str = rules.CHANGE_STATE_TTL) -> DataFrame:
-    """State entries not older than the time to live, at most ``capacity`` of them, newest first."""
+    """State entries not older than the time to live; with ``capacity``, the newest so many only."""
     oldest = times.literal(now - times.delta(ttl))
     fresh = entries.filter(F.col("updated_at").isNull() | (F.col("updated_at") >= oldest))
+    if capacity is None:
+        return fresh
     others = [F.col(c) for c in entries.columns if c != "updated_at"]
     return fresh.orderBy(F.col("updated_at").desc_nulls_first(), *others).limit(capacity)

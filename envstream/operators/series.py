@@ -11,9 +11,6 @@ from envstream.functions import times
 
 # Series are cut at this length of time; a piece holds at most one window per step of it.
 DEFAULT_SLICE = "7 days"
-# Raw readings are denser than windows: one series may hold a large part of all rows, and only a
-# short slice of it fits a task. Its slice ends stay few, two per minute of data.
-READING_SLICE = "1 minute"
 
 
 def with_previous(rows: DataFrame, key: Sequence[str], time_column: str,
@@ -44,30 +41,26 @@ def with_previous(rows: DataFrame, key: Sequence[str], time_column: str,
     return inner.select(*columns).unionByName(heads.select(*columns))
 
 
-def _all(conditions: Sequence[Column]) -> Column:
-    result = conditions[0]
-    for condition in conditions[1:]:
-        result = result & condition
-    return result
-
-
 def mark_repeats(readings: DataFrame, key: Sequence[str], time_column: str,
-                tie_break: Sequence[str], compared: Sequence[str],
-                slice_length: str = READING_SLICE) -> DataFrame:
-    """Adds ``repeated``: whether a reading repeats the one before it in its series.
+                 tie_break: Sequence[str], compared: Sequence[str]) -> DataFrame:
+    """Adds ``repeated``: whether an earlier reading of the batch has the same content.
 
-    ``compared`` holds the event time and the measurements. Ids are hashes of that content, so
-    equal ids imply equal content and need no test of their own; and because equality carries
-    over from one reading to the next, the row before decides as the last kept row would.
+    ``compared`` holds the event time and the measurements, which ids are hashes of. A reading that
+    equals the one before it in its series and one whose id was seen before are the same thing then,
+    so readings meet by key and content, and no series lies in one task.
     """
-    rows = with_previous(readings, key, time_column, tie_break, compared, slice_length)
-    same = _all([F.col(c).eqNullSafe(F.col(f"previous.{c}")) for c in compared])
-    return rows.withColumn("repeated", F.col("previous").isNotNull() & same).drop("previous")
+    same = Window.partitionBy(*key, *compared).orderBy(time_column, *tie_break)
+    return readings.withColumn("repeated", F.row_number().over(same) > 1)
 
 
 def change_only(readings: DataFrame, key: Sequence[str], time_column: str,
-                tie_break: Sequence[str], compared: Sequence[str],
-                slice_length: str = READING_SLICE) -> DataFrame:
-    """Only the readings that differ from the one before them in their series."""
-    marked = mark_repeats(readings, key, time_column, tie_break, compared, slice_length)
-    return marked.filter(~F.col("repeated")).drop("repeated")
+                tie_break: Sequence[str], compared: Sequence[str]) -> DataFrame:
+    """The first reading of each content in its series.
+
+    It is an aggregate, so each map task sends a content once, however often it was delivered.
+    """
+    order = [c for c in (time_column, *tie_break) if c not in compared]
+    others = [c for c in readings.columns if c not in (*key, *compared)]
+    content = list(dict.fromkeys((*key, *compared)))
+    first = F.min(F.struct(*order, *[c for c in others if c not in order])).alias("_first")
+    return readings.groupBy(*content).agg(first).select(*content, "_first.*").select(*readings.columns)

@@ -138,17 +138,22 @@ def filter_values(metrics: DataFrame, column: str) -> DataFrame:
 def filter_choices(metrics: DataFrame,
                    columns: Sequence[str] = ("city", "parameter", "window_duration", "status"),
                    ) -> DataFrame:
-    """Choices of all dashboard variables from one read of the table."""
+    """Choices of all dashboard variables from one read of the table.
+
+    Equal combinations fold before they are taken apart, so few rows are multiplied.
+    """
     pairs = F.array(*[
         F.struct(F.lit(c).alias("variable"), F.col(c).alias("choice")) for c in columns])
-    return metrics.select(F.explode(pairs).alias("p")).select("p.*").distinct()
+    combinations = metrics.select(*columns).distinct()
+    return combinations.select(F.explode(pairs).alias("p")).select("p.*").distinct()
 
 
-def average_by_city_and_parameter(metrics: DataFrame,
-                                  limit: int = rules.BI_ROW_LIMIT) -> DataFrame:
+def average_by_city_and_parameter(metrics: DataFrame, limit: int | None = None) -> DataFrame:
+    """Average per city and pollutant, sorted; a chart may ask for the first ``limit`` rows."""
     averages = metrics.groupBy("city", "parameter").agg(
         F.avg("rolling_avg").alias("avg_rolling_avg"))
-    return averages.orderBy("city", "parameter").limit(limit)
+    ordered = averages.orderBy("city", "parameter")
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def latest_windows(metrics: DataFrame, limit: int = rules.PREVIEW_LIMIT) -> DataFrame:

@@ -1,38 +1,90 @@
-"""Building the lakehouse layers from raw batches."""
+"""Building the lakehouse layers from raw batches.
+
+Layers are appended once per batch id. Gold comes from silver, not from the batch alone: every window
+that a reading of the batch falls into is computed anew from all silver readings of its days, without
+those delivered before. So batches may share windows and messages, and a batch may be repeated.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from datetime import date, timedelta
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from envstream import contracts
-from envstream.operators import peaks, windows
+from envstream import contracts, rules
+from envstream.functions import times
+from envstream.operators import dedup, peaks, windows
 from envstream.plans.flows import AirFlow, WeatherFlow
 from envstream.sinks import tables as sinks
 from envstream.sources import tables as sources
 
 
-def write_air(raw: DataFrame, root: str, merge_id: str) -> None:
-    """Bronze, rejects, silver, metrics and peaks of one raw batch."""
+def _around(days: Sequence[str], durations: Sequence[str]) -> list[str]:
+    """The days and those that a window over one of them may reach into."""
+    reach = -(-max(map(times.duration_seconds, durations)) // 86_400)
+    return sorted({str(date.fromisoformat(day) + timedelta(days=step))
+                   for day in days for step in range(-reach, reach + 1)})
+
+
+def _revised(spark: SparkSession, root: str, merge_id: str, table: contracts.TableContract,
+             key: Sequence[str], metrics, durations: Sequence[str]) -> DataFrame:
+    """Windows that the batch touched, from all silver readings in them."""
+    batch = sinks.appended(spark, table, root, merge_id)
+    partition = table.partitions[0]  # the day
+    days = [row[0] for row in batch.select(F.col(partition).cast("string")).distinct().collect()]
+    readings = sources.read_days(spark, f"{root}/{table.location}", table, _around(days, durations))
+    touched = metrics(batch).select(*key)
+    return windows.with_window_date(metrics(readings).join(touched, list(key), "left_semi"))
+
+
+def write_air(raw: DataFrame, root: str, merge_id: str,
+              durations: Sequence[str] = rules.WINDOW_DURATIONS) -> None:
+    """Bronze, rejects, silver, metrics and peaks of one raw batch.
+
+    A revised window is compared again with the one before it, and so is the one after it; windows
+    that are no peaks any more leave the table of peaks.
+    """
     spark = raw.sparkSession
     flow = AirFlow(raw)
-    sinks.append_layer(flow.bronze, contracts.BRONZE_AIR, root, balanced=False)
-    sinks.append_layer(flow.rejects, contracts.REJECTS_AIR, root)
-    sinks.append_layer(flow.silver, contracts.SILVER_AIR, root)
-    sinks.merge_by_key(
-        windows.with_window_date(flow.metrics), contracts.GOLD_AIR, root,
-        contracts.AIR_METRIC_KEY, merge_id)
+    sinks.append_layer(flow.bronze, contracts.BRONZE_AIR, root, merge_id, balanced=False)
+    sinks.append_layer(flow.rejects, contracts.REJECTS_AIR, root, merge_id)
+    sinks.append_layer(flow.silver, contracts.SILVER_AIR, root, merge_id)
+
+    def metrics(rows: DataFrame) -> DataFrame:
+        return windows.with_status(windows.air_averages(dedup.dedup_air(rows.select(
+            "event_time", "city", "parameter", "value", "message_id")), durations))
+
+    key = contracts.AIR_METRIC_KEY
+    revised = _revised(spark, root, merge_id, contracts.SILVER_AIR, key, metrics, durations)
+    sinks.merge_by_key(revised, contracts.GOLD_AIR, root, key, merge_id)
+    touched = metrics(sinks.appended(spark, contracts.SILVER_AIR, root, merge_id)).select(
+        *key, F.lit(True).alias("_touched"))
     gold = sources.read_or_empty(
         spark, f"{root}/{contracts.GOLD_AIR.location}", contracts.GOLD_AIR.schema)
-    found = windows.with_window_date(peaks.detect_peaks(gold)).filter("is_peak")
-    sinks.merge_by_key(found, contracts.GOLD_PEAKS, root, contracts.AIR_METRIC_KEY, merge_id)
+    marked = gold.join(touched, list(key), "left").withColumn(
+        "_changed", F.coalesce("_touched", F.lit(False)))
+    found = peaks.peaks_of_changes(marked.select(*contracts.AIR_METRIC_COLUMNS, "_changed"))
+    sinks.merge_by_key(
+        windows.with_window_date(found), contracts.GOLD_PEAKS, root, key, merge_id,
+        keep=F.col("is_peak"))
 
 
-def write_weather(raw: DataFrame, root: str, merge_id: str) -> None:
+def write_weather(raw: DataFrame, root: str, merge_id: str,
+                  durations: Sequence[str] = rules.WINDOW_DURATIONS) -> None:
     """Bronze, rejects, silver and metrics of one raw batch."""
+    spark = raw.sparkSession
     flow = WeatherFlow(raw)
-    sinks.append_layer(flow.bronze, contracts.BRONZE_WEATHER, root, balanced=False)
-    sinks.append_layer(flow.rejects, contracts.REJECTS_WEATHER, root)
-    sinks.append_layer(flow.silver, contracts.SILVER_WEATHER, root)
-    sinks.merge_by_key(
-        windows.with_window_date(flow.metrics), contracts.GOLD_WEATHER, root,
-        contracts.WEATHER_METRIC_KEY, merge_id)
+    sinks.append_layer(flow.bronze, contracts.BRONZE_WEATHER, root, merge_id, balanced=False)
+    sinks.append_layer(flow.rejects, contracts.REJECTS_WEATHER, root, merge_id)
+    sinks.append_layer(flow.silver, contracts.SILVER_WEATHER, root, merge_id)
+
+    def metrics(rows: DataFrame) -> DataFrame:
+        return windows.weather_averages(dedup.dedup_weather(rows.select(
+            "event_time", "city", "source", "message_id", "temperature_c", "humidity_pct",
+            "wind_speed_ms")), durations)
+
+    key = contracts.WEATHER_METRIC_KEY
+    revised = _revised(spark, root, merge_id, contracts.SILVER_WEATHER, key, metrics, durations)
+    sinks.merge_by_key(revised, contracts.GOLD_WEATHER, root, key, merge_id)

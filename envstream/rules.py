@@ -65,7 +65,7 @@ RETENTION_DAYS = 90
 # JDBC sink settings.
 JDBC_BATCH_SIZE = 1000
 JDBC_ISOLATION_LEVEL = "READ_COMMITTED"
-JDBC_WRITE_PARTITIONS = 1
+JDBC_WRITE_PARTITIONS = 8
 JDBC_MAX_RETRIES = 3
 JDBC_RETRY_DELAY_SECONDS = 5
 

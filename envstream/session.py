@@ -21,18 +21,6 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int,
-                  bytes_per_partition: int = 64 * 1024 * 1024) -> None:
-    """Starts shuffles with enough partitions for an input of this size.
-
-    Only ever raises the number; adaptive execution merges partitions that turn out small. Stateful
-    streams are not affected: they keep ``spark.sql.shuffle.partitions`` of their first run.
-    """
-    wanted = -(-input_bytes // bytes_per_partition)
-    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", wanted)
-
-
 def shared_root(spark: SparkSession) -> str:
     """Folder that every executor sees, as named by ``spark.checkpoint.dir``.
 

@@ -13,27 +13,44 @@ from envstream.operators import dedup
 from envstream.sources import files, tables
 
 
-def append_layer(rows: DataFrame, table: contracts.TableContract, root: str,
+def append_layer(rows: DataFrame, table: contracts.TableContract, root: str, merge_id: str,
                  balanced: bool = True) -> None:
-    """Appends a batch to a layer.
+    """Appends a batch to a layer, once: a repeated ``merge_id`` adds nothing.
 
     Rebalancing on the partition columns gives every partition few files, and still splits a
     partition that is much larger than the rest. It costs a shuffle, so rows that already lie
-    together, such as raw records in arrival order, go without.
+    together, such as raw records in arrival order, go without. The batch is written aside and its
+    files, named after the batch, are then moved into the table. A crash leaves the rest to the
+    repeated run; a mark tells that all of them were moved.
     """
-    rows = rows.select(*table.schema.fieldNames())
-    if balanced:
-        rows = rows.hint("rebalance", *table.partitions)
-    rows.write.mode("append").partitionBy(*table.partitions).parquet(f"{root}/{table.location}")
-
-
-def _write_days(rows: DataFrame, partition: str, path: str) -> None:
-    rows.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(path)
+    spark = rows.sparkSession
+    path, staging, mark = (
+        f"{root}/{folder}" for folder in (
+            table.location, f"_appending/{table.location}/{merge_id}",
+            f"_appended/{table.location}/{merge_id}"))
+    if files.exists(spark, mark):
+        return
+    if not files.exists(spark, f"{staging}/_SUCCESS"):
+        rows = rows.select(*table.schema.fieldNames())
+        if balanced:
+            rows = rows.hint("rebalance", *table.partitions)
+        rows.write.mode("overwrite").partitionBy(*table.partitions).parquet(staging)
+    for name in files.data_files(spark, staging):
+        folder, _, file = name.rpartition("/")
+        files.move_into(spark, f"{staging}/{name}", f"{path}/{folder}/{merge_id}-{file}")
+    files.make_dirs(spark, mark)
+    files.delete(spark, staging)
+    files.make_dirs(spark, path)
+    spark.catalog.refreshByPath(path)
 
 
-def _day_folders(spark: SparkSession, path: str, partition: str) -> list[str]:
-    """Names of a table's partition folders: one per day, so the list stays short."""
-    return [n for n in files.child_names(spark, path) if n.startswith(f"{partition}=")]
+def appended(spark: SparkSession, table: contracts.TableContract, root: str,
+             merge_id: str) -> DataFrame:
+    """The rows that ``append_layer`` added under this id; other files are not read."""
+    file = F.col("_metadata.file_name")
+    rows = tables.read_or_empty(spark, f"{root}/{table.location}", table.schema, file.startswith(
+        f"{merge_id}-"))
+    return rows
 
 
 def merge_by_key(batch: DataFrame, table: contracts.TableContract, root: str,
@@ -42,40 +59,32 @@ def merge_by_key(batch: DataFrame, table: contracts.TableContract, root: str,
     """Insert or replace rows by natural key, rewriting only the days the batch touches.
 
     Within a key the larger ``order`` wins, then the batch over the table. Rows for which
-    ``keep`` is not true leave the table. The batch is evaluated once, into a staging folder, and
-    merged from there with the days it shares with the table. Whole staged days then replace
-    the old ones. A repeated ``merge_id`` goes on from where a crash left off, so no day is lost.
+    ``keep`` is not true leave the table. The touched days are read by their paths, merged with the
+    batch into a staging folder, and written from there with dynamic partition overwrite. A repeated
+    ``merge_id`` writes the staged days again, so no day is lost; an id must not come back with other
+    rows.
     """
     spark = batch.sparkSession
     (partition,) = table.partitions
-    columns = table.schema.fieldNames()
     path = f"{root}/{table.location}"
-    folder, name = path.rsplit("/", 1)
-    staging = f"{folder}/_merging/{name}/{merge_id}"
-    incoming, merged, swapping = (f"{staging}/{s}" for s in ("incoming", "merged", "swapping"))
-
-    if not files.exists(spark, f"{incoming}/_SUCCESS"):
-        _write_days(dedup.latest_by(batch.select(*columns), key, *order), partition, incoming)
-    days = _day_folders(spark, incoming, partition)
-    shared = set(days) & set(_day_folders(spark, path, partition))
-    ready = incoming if not shared and keep is None else merged
-    if files.exists(spark, swapping):
-        # A swap was under way; what it was moving is noted, and what it moved is gone from there.
-        ready = f"{staging}/{files.child_names(spark, swapping)[0]}"
-    else:
-        if ready == merged:
-            wanted = [day.split("=", 1)[1] for day in sorted(shared)]
-            current = tables.read_or_empty(spark, path, table.schema).filter(
-                F.col(partition).cast("string").isin(wanted))
-            staged = tables.read_or_empty(spark, incoming, table.schema)
-            result = dedup.merge_rows(current, staged, key, *order).select(*columns)
-            _write_days(result if keep is None else result.filter(keep), partition, merged)
-            for emptied in shared - set(_day_folders(spark, merged, partition)):
-                files.delete(spark, f"{path}/{emptied}")
-        files.make_dirs(spark, f"{swapping}/{ready.rsplit('/', 1)[1]}")
-    files.make_dirs(spark, path)
-    for day in _day_folders(spark, ready, partition):
-        files.replace(spark, f"{ready}/{day}", f"{path}/{day}")
+    staging = f"{root}/_merging/{table.location}/{merge_id}"
+    kept = F.lit(True) if keep is None else F.coalesce(keep, F.lit(False))
+    if not files.exists(spark, f"{staging}/_SUCCESS"):
+        rows = dedup.latest_by(batch.select(*table.schema.fieldNames()), key, *order).persist()
+        try:
+            days = [row[0] for row in rows.select(F.col(partition).cast("string")).distinct().collect()]
+            current = tables.read_days(spark, path, table, days)
+            merged = dedup.merge_rows(current, rows, key, *order)
+            merged.select(*table.schema.fieldNames(), kept.alias("_kept")).write.mode(
+                "overwrite").parquet(staging)
+        finally:
+            rows.unpersist()
+    staged = spark.read.parquet(staging)
+    staged.filter("_kept").drop("_kept").hint("rebalance", partition).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    emptied = staged.groupBy(partition).agg(F.max("_kept").alias("some")).filter(~F.col("some"))
+    for row in emptied.select(F.col(partition).cast("string")).collect():  # days of this batch
+        files.delete(spark, f"{path}/{partition}={row[0]}")
     spark.catalog.refreshByPath(path)
     files.delete(spark, staging)
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from envstream import rules
+from envstream import contracts, rules
 from envstream.operators import dedup
+from envstream.sources import files
 
 CITY_DIMENSION = "city string, latitude double, longitude double"
 
@@ -17,16 +20,31 @@ def read_columns(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     return spark.read.parquet(path).select(*columns)
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: StructType,
+                  condition: Column | None = None) -> DataFrame:
     """Parquet table with a known schema; an empty one when nothing was written yet."""
     try:
-        return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+        rows = spark.read.schema(schema).parquet(path)
+        rows = rows if condition is None else rows.filter(condition)
+        return rows.select(*schema.fieldNames())
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
+def read_days(spark: SparkSession, path: str, table: contracts.TableContract,
+              days: Sequence[str]) -> DataFrame:
+    """The rows of a table's given days. Only these folders are looked at."""
+    partition = table.partitions[0]  # the day
+    folders = [f"{path}/{partition}={day}" for day in days]
+    there = [folder for folder in folders if files.exists(spark, folder)]
+    if not there:
+        return spark.createDataFrame([], table.schema)
+    return spark.read.schema(table.schema).option("basePath", path).parquet(*there).select(
+        *table.schema.fieldNames())
+
+
 def city_dimension(spark: SparkSession, updates: DataFrame | None = None) -> DataFrame:
     """The target cities with their coordinates; a row of ``updates`` adds or replaces a city."""
     cities = spark.createDataFrame(

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from envstream import contracts, rules
 from envstream.functions import times
@@ -17,8 +19,10 @@ from envstream.sinks.tables import Snapshots, merge_by_key
 ServingWriter = Callable[[DataFrame, int], None]
 
 
-def _merge_id(batch_id: int) -> str:
-    return f"batch-{batch_id:012d}"
+def _merge_id(batch: DataFrame, batch_id: int) -> str:
+    """Names a batch of one run: a query that starts over gets another id from the engine."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{query or 'batch'}-{batch_id:012d}"
 
 
 def _newest_less(rows: DataFrame, time_column: str, duration: str) -> Column:
@@ -47,7 +51,7 @@ class AirMetricsBatch:
             self._merge_peaks(changed, batch_id)
             merge_by_key(
                 windows.with_window_date(changed), contracts.GOLD_AIR, self.root,
-                contracts.AIR_METRIC_KEY, _merge_id(batch_id))
+                contracts.AIR_METRIC_KEY, _merge_id(batch, batch_id))
             if self.serving_writer is not None:
                 self.serving_writer(prepare.prepare_air(changed), batch_id)
             if self.preview:
@@ -63,7 +67,7 @@ class AirMetricsBatch:
             results = windows.with_window_date(peaks.peaks_of_changes(merged))
             merge_by_key(
                 results, contracts.GOLD_PEAKS, self.root, contracts.AIR_METRIC_KEY,
-                _merge_id(batch_id), keep=F.col("is_peak"))
+                _merge_id(changed, batch_id), keep=F.col("is_peak"))
             closed_until = _newest_less(merged, "window_end", self.delay)
             state.write(peaks.trim_recent(merged, closed_until), batch_id)
         finally:
@@ -91,40 +95,47 @@ class WeatherMetricsBatch:
 class ChangeOnlyBatch:
     """Passes on the readings that differ from the last one of their series.
 
-    The last reading of each series is carried as a snapshot. Series whose last kept reading is
-    older than the time to live, by event time, leave it.
+    The last reading passed on of each series is carried as a snapshot, with the time it was processed.
+    A series is forgotten when nothing of it was passed on for the time to live. Only the clock decides
+    that, so no reading can make another series leave, whatever its event time.
     """
 
     def __init__(self, state_path: str, state_schema: StructType, key: Sequence[str],
                  time_column: str, tie_break: Sequence[str], compared: Sequence[str],
-                 writer: ServingWriter, ttl: str = rules.CHANGE_STATE_TTL):
+                 writer: ServingWriter, ttl: str = rules.CHANGE_STATE_TTL,
+                 clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc)):
         self.state_path, self.schema, self.key = state_path, state_schema, list(key)
         self.time_column, self.tie_break = time_column, list(tie_break)
         self.compared, self.writer, self.ttl = list(compared), writer, ttl
+        self.clock = clock
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        state = Snapshots(batch.sparkSession, self.state_path, self.schema)
-        carried = state.before(batch_id).withColumn("_new", F.lit(False))
-        rows = carried.unionByName(
-            batch.select(*self.schema.fieldNames()).withColumn("_new", F.lit(True))).persist()
+        now = F.lit(self.clock()).cast("timestamp")
+        columns = self.schema.fieldNames()
+        state = Snapshots(batch.sparkSession, self.state_path, StructType(
+            [*self.schema.fields, StructField("_updated_at", TimestampType())]))
+        lifetime = F.make_dt_interval(secs=F.lit(times.duration_seconds(self.ttl)))
+        carried = state.before(batch_id).filter(F.col("_updated_at") >= now - lifetime)
+        fresh = series.change_only(
+            batch.select(*columns), self.key, self.time_column, self.tie_break, self.compared)
+        known = [F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}"))
+                 for c in dict.fromkeys((*self.key, *self.compared))]
+        kept = fresh.alias("new").join(
+            carried.alias("old"), reduce(Column.__and__, known), "left_anti").persist()
         try:
-            if rows.filter("_new").isEmpty():
-                return
-            kept = series.change_only(
-                rows, self.key, self.time_column, self.tie_break, self.compared)
-            self.writer(kept.filter("_new").drop("_new"), batch_id)
+            self.writer(kept, batch_id)
             order = [F.col(c) for c in (self.time_column, *self.tie_break)]
-            last = dedup.latest_by(rows, self.key, *order)
-            oldest = _newest_less(rows, self.time_column, self.ttl)
-            state.write(last.filter(F.col(self.time_column) >= oldest), batch_id)
+            passed = dedup.latest_by(kept, self.key, *order).withColumn("_updated_at", now)
+            state.write(dedup.merge_rows(carried, passed, self.key), batch_id)
         finally:
-            rows.unpersist()
+            kept.unpersist()
 
 
 def table_writer(table: contracts.TableContract, root: str, key: Sequence[str]) -> ServingWriter:
     """Serving writer that merges into a lakehouse table partitioned by window date."""
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        merge_by_key(windows.with_window_date(rows), table, root, key, _merge_id(batch_id))
+        merge_by_key(
+            windows.with_window_date(rows), table, root, key, _merge_id(rows, batch_id))
 
     return write

@@ -166,3 +166,15 @@ def test_filters_are_unanchored_and_ignore_case(spark):
 def test_literal_counts_as_utc(spark):
     moment = times.literal(datetime(2024, 1, 1, 12))
     assert spark.range(1).select(moment.cast("string")).first()[0] == "2024-01-01 12:00:00"
+
+
+def test_number_text_is_what_producers_write(spark):
+    numbers = [0.0, -0.0, 1.0, 0.1, 0.0005, 0.0001, 9.5e-05, 1e-05, 1.5e-07, 12345678.9, 1e7, 123456.0,
+               9007199254740992.0, 1e15, 1e16, 1.25e17, 1e22, 1e100, -0.00025, -3e-09, 3.14159265358979,
+               0.00012345678901234, float("inf"), float("-inf"), float("nan")]
+    rows = spark.createDataFrame([(n,) for n in numbers], "n double").select(
+        "n", keys.number_text(F.col("n")).alias("text"), keys.content_id(F.col("n")).alias("id")).collect()
+    import hashlib
+    for row in rows:
+        assert row["text"] == str(row["n"])
+        assert row["id"] == hashlib.sha1(str(row["n"]).encode()).hexdigest()

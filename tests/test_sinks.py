@@ -66,28 +66,67 @@ def test_merge_keep_empties_a_day(spark):
 
 @pytest.mark.parametrize("crash_at", range(1, 4))
 def test_merge_goes_on_after_a_crash(spark, monkeypatch, crash_at):
-    """The swap of days fails at any point; running the same merge again completes it."""
+    """The run ends anywhere after the staging; running the same merge again completes it."""
     root = work_dir(spark, "t")
+    keep = F.col("rolling_avg") > 0
     before = [(d, "A", 1) for d in range(3)]
-    merge(spark, root, "0", *before)
+    merge(spark, root, "0", *before, keep=keep)
+    calls = {"n": 0}
+    original = files.delete
+
+    def failing(session, path):
+        calls["n"] += 1
+        if calls["n"] == crash_at:
+            for day in range(1, 3):  # as if the overwrite had removed days and not yet replaced them
+                original(session, f"{root}/{GOLD.location}/window_date=2024-01-0{day + 1}")
+            raise OSError("lost")
+        original(session, path)
+
+    batch = [(0, "A", -1), (1, "A", -1), (1, "B", 2), (2, "B", 2)]
+    monkeypatch.setattr(files, "delete", failing)
+    try:
+        merge(spark, root, "1", *batch, keep=keep)
+    except OSError:
+        monkeypatch.setattr(files, "delete", original)
+        merge(spark, root, "1", *batch, keep=keep)
+    assert content(spark, root) == [(1, "B", 2.0), (2, "A", 1.0), (2, "B", 2.0)]
+
+
+def test_merge_looks_at_touched_days_only(spark, monkeypatch):
+    root = work_dir(spark, "t")
+    merge(spark, root, "0", *[(d, "A", 1) for d in range(6)])
+    asked = []
+    original = files.exists
+    monkeypatch.setattr(files, "exists", lambda s, p: asked.append(p) or original(s, p))
+    monkeypatch.setattr(files, "child_names", lambda *_: pytest.fail("lists the table"))
+    merge(spark, root, "1", (2, "B", 1))
+    days = [p for p in asked if "window_date=" in p]
+    assert len(days) == 1 and days[0].endswith("window_date=2024-01-03")
+
+
+@pytest.mark.parametrize("crash_at", range(1, 4))
+def test_append_happens_once(spark, monkeypatch, crash_at):
+    root = work_dir(spark, "t")
+    rows = gold(spark, (0, "A", 1), (1, "A", 2), (2, "A", 3))
     calls = {"n": 0}
-    original = files.replace
+    original = files.move_into
 
-    def failing(session, source, destination):
+    def failing(*arguments):
         calls["n"] += 1
         if calls["n"] == crash_at:
-            files.delete(session, destination)
             raise OSError("lost")
-        original(session, source, destination)
+        original(*arguments)
 
-    monkeypatch.setattr(files, "replace", failing)
-    batch = [(d, "B", 2) for d in range(3)]
+    monkeypatch.setattr(files, "move_into", failing)
     with pytest.raises(OSError):
-        merge(spark, root, "1", *batch)
-    monkeypatch.setattr(files, "replace", original)
-    merge(spark, root, "1", *batch)
-    assert content(spark, root) == sorted(
-        (d, c, float(a)) for d, c, a in before + batch)
+        tables.append_layer(rows, GOLD, root, "7")
+    monkeypatch.setattr(files, "move_into", original)
+    for _ in range(2):
+        tables.append_layer(rows, GOLD, root, "7")
+        assert content(spark, root) == [(0, "A", 1.0), (1, "A", 2.0), (2, "A", 3.0)]
+    tables.append_layer(gold(spark, (0, "B", 4)), GOLD, root, "77")
+    assert tables.appended(spark, GOLD, root, "7").count() == 3
+    assert tables.appended(spark, GOLD, root, "77").count() == 1
 
 
 def test_merge_order_beats_arrival(spark):
@@ -173,7 +212,7 @@ def test_upsert_statement():
 
 def test_jdbc_options():
     options = JdbcSettings("jdbc:x:y", "d.D", "u", "p").write_options()
-    assert options["batchsize"] == "1000" and options["numPartitions"] == "1"
+    assert options["batchsize"] == "1000" and options["numPartitions"] == "8"
     assert options["isolationLevel"] == "READ_COMMITTED" and options["user"] == "u"
     assert "password" not in JdbcSettings("jdbc:x:y", "d.D").read_options()
 
@@ -214,14 +253,3 @@ def test_weather_records(spark):
     rows = spark.createDataFrame([(None, "s", 1)], "city string, source string, humidity int")
     row = messages.weather_records(rows).first()
     assert (row["key"], row["value"]) == ("NA|s", '{"city":null,"source":"s","humidity":1}')
-
-
-def test_shuffles_grow_with_the_input(spark):
-    from envstream.session import size_shuffles
-
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    size_shuffles(spark, 1000)
-    assert spark.conf.get(key, None) is None
-    size_shuffles(spark, 100 * 2 ** 40)
-    assert spark.conf.get(key) == str(100 * 2 ** 20 // 64)
-    spark.conf.unset(key)

@@ -161,22 +161,34 @@ def test_change_only_across_batches(spark):
     def write(rows, batch_id):
         kept[batch_id] = sorted(r["n"] for r in rows.collect())
 
+    clock = {"now": datetime(2026, 3, 1)}
     callback = ChangeOnlyBatch(
         f"{root}/state", contracts.struct(READINGS), ["city"], "event_time", ["n"],
-        ["event_time", "value"], write)
+        ["event_time", "value"], write, clock=lambda: clock["now"])
 
     def batch(*rows):
         return spark.createDataFrame(
-            [(c, START + timedelta(hours=h), n, v) for c, h, n, v in rows], READINGS)
+            [(c, None if h is None else START + timedelta(hours=h), n, v) for c, h, n, v in rows],
+            READINGS)
 
     callback(batch(("Paris", 0, 1, 5.0), ("Paris", 0, 2, 5.0), ("Rome", 0, 3, 1.0)), 0)
     callback(batch(("Paris", 0, 4, 5.0), ("Paris", 1, 5, 5.0)), 1)
     callback(batch(("Paris", 0, 4, 5.0), ("Paris", 1, 5, 5.0)), 1)
     assert kept == {0: [1, 3], 1: [5]}
-    # Rome's last reading is older than the time to live and leaves the state.
-    callback(batch(("Paris", 30, 6, 5.0)), 2)
-    state = spark.read.parquet(f"{root}/state/batch-000000000002").collect()
-    assert [r["city"] for r in state] == ["Paris"]
+    # A reading from the far future, and one without a time, forget nobody.
+    callback(batch(("Oslo", 999_999, 6, 1.0), ("Oslo", None, 7, 1.0)), 2)
+    callback(batch(("Rome", 0, 8, 1.0), ("Paris", 1, 9, 5.0)), 3)
+    assert (kept[2], kept[3]) == ([6, 7], [])
+    # Two sensors of one series report in turn.
+    callback(batch(("Bonn", 2, 10, 1.0), ("Bonn", 2, 11, 2.0), ("Bonn", 2, 12, 1.0)), 4)
+    assert kept[4] == [10, 11]
+    # After the time to live without news a series starts over.
+    clock["now"] += timedelta(hours=25)
+    callback(batch(("Rome", 0, 13, 1.0)), 5)
+    assert kept[5] == [13]
+    callback(batch(), 6)
+    state = spark.read.parquet(f"{root}/state/batch-000000000006").collect()
+    assert [r["city"] for r in state] == ["Rome"]
 
 
 def test_one_end_stops_all(spark):

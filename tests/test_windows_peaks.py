@@ -86,11 +86,11 @@ def test_change_only_matches_sequential_rule(spark):
     rows = [("Paris", START + timedelta(hours=rng.randrange(4)), n, rng.choice([1.0, 2.0, None]))
             for n in range(200)]
     frame = spark.createDataFrame(rows, "city string, at timestamp, n int, v double")
-    kept, last = [], None
+    kept, seen = [], set()
     for row in sorted(rows, key=lambda r: (r[1], r[2])):
-        if last is None or (row[1], row[3]) != last:
+        if (row[1], row[3]) not in seen:
             kept.append(row[2])
-            last = (row[1], row[3])
+            seen.add((row[1], row[3]))
     got = series.change_only(frame, ["city"], "at", ["n"], ["at", "v"]).collect()
     assert sorted(r["n"] for r in got) == sorted(kept)
 

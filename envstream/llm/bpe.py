@@ -214,10 +214,11 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str,
     ids of documents are encoded like others; columns other than doc_id and text are not looked at.
     """
     with open(rank_file, "rb") as lines:
-        shared = docs.sparkSession.sparkContext.broadcast(vocabulary(lines.read()))
+        # Plain arrays, so that reading them needs no copy of this package.
+        shared = docs.sparkSession.sparkContext.broadcast(vars(vocabulary(lines.read())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known = Vocabulary(**shared.value)
         encoder = unit_encoder(known, pattern)
         for part, texts in chunks(batches, 1):
             ids, edges = encoder.encode(texts)

@@ -132,11 +132,11 @@ def fit(docs: DataFrame, labels: DataFrame, training: Training = Training()) ->
 
 def score_column(docs: DataFrame, model: Model, text: Column) -> Column:
     """Probability that a text is good; a null text scores like an empty one."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.scores(texts.fillna("").tolist()))
+        return pd.Series(Model(**shared.value).scores(texts.fillna("").tolist()))
 
     return score(text.cast("string"))
 

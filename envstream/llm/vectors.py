@@ -123,10 +123,10 @@ def _in_lists(rows: DataFrame, centres: np.ndarray) -> DataFrame:
 def _routed(queries: DataFrame, centres: np.ndarray, layout: Layout, search: Search,
             first_pass: bool) -> DataFrame:
     """A row per query and block: block, query_id, v, lists (those to probe there), beat."""
-    shared = queries.sparkSession.sparkContext.broadcast((centres, layout))
+    shared = queries.sparkSession.sparkContext.broadcast((centres, vars(layout)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centres, layout = shared.value
+        centres, layout = shared.value[0], Layout(**shared.value[1])
         probes = 1 if first_pass else max(1, round(search.probe * len(centres)))
         for batch in batches:
             if not batch.num_rows:
@@ -185,8 +185,8 @@ def adaptive_scan(candidates: np.ndarray, rotated: np.ndarray, queries: np.ndarr
     return at[0], at[1], (queries[at[0]] * candidates[at[1]]).sum(axis=1)
 
 
-def _scanned(routed: DataFrame, stored: DataFrame, blocks: int, query_parts: int,
-             rotation: np.ndarray, search: Search) -> DataFrame:
+def _scanned(routed: DataFrame, stored: DataFrame, query_parts: int, rotation: np.ndarray,
+             search: Search) -> DataFrame:
     """query_id, vec_id, score: at most k rows per query and block."""
     shared = routed.sparkSession.sparkContext.broadcast(rotation)
 
@@ -262,11 +262,10 @@ def search_all(rows: DataFrame, every: int = 20, search: Search = Search(), id_n
         F.col("vec_id").alias("query_id")).agg(F.min("v").alias("v"))
     asking = written(asking, "queries")
     query_parts = max(1, -(-asking.count() // QUERY_ROWS))
-    blocks = int((layout.first + layout.parts).max())
 
     def scanned(queries: DataFrame, first_pass: bool) -> DataFrame:
         routed = _routed(queries, centres, layout, search, first_pass)
-        return _scanned(routed, stored, blocks, query_parts, rotation, search)
+        return _scanned(routed, stored, query_parts, rotation, search)
 
     free = asking.withColumn("beat", F.lit(float("-inf")))
     known = _best(scanned(free, True), search.k).groupBy("query_id").agg(

@@ -157,7 +157,7 @@ def test_shards_of_awkward_rows(awkward, documents):
     assert Counter((str(r.doc_id), r.size, r.text_crc32) for r in found) == Counter(
         (str(r.doc_id), len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode()))
         for r in awkward.collect())
-    assert shards.assign(awkward).collect() == found or Counter(shards.assign(awkward).collect()) == Counter(found)
+    assert Counter(shards.assign(awkward).collect()) == Counter(found)
     assert shards.assign(documents([])).count() == 0
     with pytest.raises(ValueError):
         shards.assign(awkward, 0)
@@ -205,8 +205,7 @@ def test_awkward_pages(spark):
         (2, "no url", "<p>z</p>", None, None, None)] * 2 + [(None, "http://a/", "<p>n</p>", "", "", 1)]
     found = pages.extract(page_table(spark, rows)).collect()
     assert Counter(r.text for r in found if r.page_id == 1) == Counter(cases.values())
-    assert [r.text for r in found if r.page_id != 1] == ["z", "z", "n"] or Counter(
-        r.text for r in found if r.page_id != 1) == Counter(["z", "z", "n"])
+    assert Counter(r.text for r in found if r.page_id != 1) == Counter(["z", "z", "n"])
     assert pages.extract(page_table(spark, [])).count() == 0
 
 

@@ -40,7 +40,7 @@ def with_retries(action: Callable[[], None], retries: int, delay_seconds: float,
 def append(rows: DataFrame, settings: JdbcSettings, table: str, mode: str = "append",
            fail_fast: bool = True) -> bool:
     def write() -> None:
-        rows.write.format("jdbc").mode(mode).options(
+        with_partitions(rows, settings.write_partitions).write.format("jdbc").mode(mode).options(
             **settings.write_options(), dbtable=table).save()
 
     return with_retries(write, settings.max_retries, settings.retry_delay_seconds, fail_fast)
@@ -81,16 +81,18 @@ def _execute(rows: DataFrame, settings: JdbcSettings, statement: str) -> None:
 
 
 def upsert(rows: DataFrame, settings: JdbcSettings, table: str, columns: Sequence[str],
-           key: Sequence[str], fail_fast: bool = True) -> bool:
+           key: Sequence[str], fail_fast: bool = True, writer: str | None = None) -> bool:
     """Executors fill the staging table, then the database merges it; no row passes the driver.
 
-    ``rows`` must hold one row per key.
+    ``rows`` must hold one row per key. Queries that write to one table at the same time need a
+    ``writer`` name each, which gives them staging tables of their own.
     """
-    staging = f"{table}_staging"
+    staging = f"{table}_staging" if writer is None else f"{table}_staging_{writer}"
     statement = upsert_statement(table, staging, columns, key)
 
     def write() -> None:
-        rows.select(*columns).write.format("jdbc").mode("overwrite").options(
+        staged = with_partitions(rows.select(*columns), settings.write_partitions)
+        staged.write.format("jdbc").mode("overwrite").options(
             **settings.write_options(), dbtable=staging, truncate="true").save()
         _execute(rows, settings, statement)
 

@@ -48,9 +48,8 @@ def appended(spark: SparkSession, table: contracts.TableContract, root: str,
              merge_id: str) -> DataFrame:
     """The rows that ``append_layer`` added under this id; other files are not read."""
     file = F.col("_metadata.file_name")
-    rows = tables.read_or_empty(spark, f"{root}/{table.location}", table.schema, file.startswith(
-        f"{merge_id}-"))
-    return rows
+    return tables.read_or_empty(
+        spark, f"{root}/{table.location}", table.schema, file.startswith(f"{merge_id}-"))
 
 
 def merge_by_key(batch: DataFrame, table: contracts.TableContract, root: str,

@@ -16,8 +16,7 @@ entries of a hot gram.
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,7 +31,7 @@ GRAM = 8
 SALTS = 64
 #: One text in so many tells which grams are hot; a gram is, if it has more than this share of entries.
 SAMPLE, HOT_SHARE, HOT_LEAST = 32, 1e-4, 8
-CHUNK_ROWS = 100_000
+CHUNK_ROWS = 40_000
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 
@@ -105,8 +104,11 @@ def entries_of(texts: list[str], window: int) -> tuple[np.ndarray, ...]:
             hashes.stretch(start, window))
 
 
-def _index(texts: DataFrame, window: int) -> DataFrame:
-    """key, gram, first, hashes (unsigned 64-bit, packed) of every entry; texts have key and text."""
+def _from_entries(texts: DataFrame, window: int, made, schema: str) -> DataFrame:
+    """What ``made`` makes of the entries of some texts; each task takes a text once.
+
+    It runs where the entries are found, so that a task needs one Python process.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[bytes] = set()
         for batch in batches:
@@ -114,10 +116,15 @@ def _index(texts: DataFrame, window: int) -> DataFrame:
                 new = {key: text for key, text in zip(part.column(0).to_pylist(), texts)
                        if key not in sent}
                 sent.update(new)
-                yield packed(list(new), list(new.values()))
+                yield made(list(new), *entries_of(list(new.values()), window))
 
-    def packed(keys: list[bytes], texts: list[str]) -> pa.RecordBatch:
-        document, first, gram, n, hashes = entries_of(texts, window)
+    return texts.mapInArrow(run, schema)
+
+
+def _index(texts: DataFrame, window: int) -> DataFrame:
+    """key, gram, first, hashes (unsigned 64-bit, packed) of every entry; texts have key and text."""
+    def packed(keys: list[bytes], document: np.ndarray, first: np.ndarray, gram: np.ndarray,
+               n: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
         edges = pa.array(offsets_of(n) * 8, pa.int32())
         return pa.RecordBatch.from_arrays([
             pa.array(keys, pa.binary()).take(pa.array(document)), pa.array(gram.view(np.int64)),
@@ -126,7 +133,7 @@ def _index(texts: DataFrame, window: int) -> DataFrame:
                 None, edges.buffers()[1], pa.py_buffer(hashes.tobytes())])],
             names=["key", "gram", "first", "hashes"])
 
-    return texts.mapInArrow(run, "key binary, gram long, first int, hashes binary")
+    return _from_entries(texts, window, packed, "key binary, gram long, first int, hashes binary")
 
 
 def _chunked(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Table]:
@@ -210,19 +217,18 @@ def _repeated_windows(texts: DataFrame, window: int, hot: np.ndarray) -> DataFra
     """Windows of hot grams that occur twice or more, as index entries of every salt."""
     shared = texts.sparkSession.sparkContext.broadcast(hot)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = table.filter(pa.array(np.isin(table["gram"].to_numpy(), shared.value)))
-            n, hashes = _flat(table)
-            pairs = np.stack([np.repeat(table["gram"].to_numpy(), n), hashes.view(np.int64)], axis=1)
-            distinct, many = np.unique(pairs, axis=0, return_counts=True)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(distinct[:, 0].copy()),
-                pa.array([x.tobytes() for x in distinct[:, 1]], pa.binary()), pa.array(many)],
-                names=["gram", "hashes", "n"])
+    def counts(keys: list[bytes], document: np.ndarray, first: np.ndarray, gram: np.ndarray,
+               n: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
+        of = np.repeat(gram.view(np.int64), n)
+        kept = np.isin(of, shared.value)
+        pairs = np.stack([of[kept], hashes.view(np.int64)[kept]], axis=1)
+        distinct, many = np.unique(pairs, axis=0, return_counts=True)
+        return pa.RecordBatch.from_arrays([
+            pa.array(distinct[:, 0].copy()),
+            pa.array([x.tobytes() for x in distinct[:, 1]], pa.binary()), pa.array(many)],
+            names=["gram", "hashes", "n"])
 
-    counted = _index(texts, window).mapInArrow(run, "gram long, hashes binary, n long")
+    counted = _from_entries(texts, window, counts, "gram long, hashes binary, n long")
     repeated = counted.groupBy("gram", "hashes").agg(F.sum("n").alias("n")).where("n > 1")
     return repeated.select(
         F.lit(None).cast("binary").alias("key"), "gram", F.lit(0).alias("first"), "hashes",
@@ -260,24 +266,26 @@ def duplicate_spans(docs: DataFrame, window: int = 35) -> DataFrame:
         "key", F.coalesce("copies", F.lit(1)).alias("copies"), "spans")
 
 
-def without_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
-    """Every row as ``own`` (a struct), with n_words, n_removed and ``kept``, the words left.
+def without_repeats(docs: DataFrame, carried: Sequence[str], window: int = 35,
+                    joined: bool = True) -> DataFrame:
+    """Every row's ``carried`` columns as ``own`` (a struct), n_words, n_removed, and ``kept``.
 
-    Every word in a window of words that also starts elsewhere is removed, at all its places. The
-    words that stay are joined by one space. A null text has no words; a text shorter than the window
-    keeps all of them. Repeated rows are documents of their own, so they remove each other.
+    Every word in a window of words that also starts elsewhere is removed, at all its places.
+    ``kept`` has the words that stay, joined by one space; without ``joined``, a text that keeps all of
+    them stays as it is. A null text is an empty one; a text shorter than the window keeps all words. Repeated rows are documents of their own, so they remove each other.
     """
     marked = duplicate_spans(docs, window)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("own"),
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in carried]).alias("own"),
                        text.alias("words"), text_key(text).alias("key"))
-    joined = rows.join(marked, "key", "left").select("own", "words", "copies", "spans")
+    rows = rows.join(marked, "key", "left").select("own", "words", "copies", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             total, removed, kept = [], [], []
             for text, copies, spans in zip(*(batch.column(i) for i in (1, 2, 3))):
-                words = split_words(text.as_py())
+                text = text.as_py()
+                words = split_words(text)
                 n = len(words)
                 gone = np.zeros(n, bool)
                 if (copies.as_py() or 1) > 1 and n >= window:
@@ -287,17 +295,17 @@ def without_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
                 left = [word for word, out in zip(words, gone.tolist()) if not out]
                 total.append(n)
                 removed.append(n - len(left))
-                kept.append(b" ".join(left).decode("utf-8"))
+                kept.append(b" ".join(left).decode("utf-8") if joined or len(left) < n else text)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
                  pa.array(kept, pa.string())], names=["own", "n_words", "n_removed", "kept"])
 
-    kind = joined.schema["own"].dataType.simpleString()
-    return joined.mapInArrow(run, f"own {kind}, n_words long, n_removed long, kept string")
+    kind = rows.schema["own"].dataType.simpleString()
+    return rows.mapInArrow(run, f"own {kind}, n_words long, n_removed long, kept string")
 
 
 def digest(docs: DataFrame, window: int = 35) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every document."""
-    return without_repeats(docs.select("doc_id", "text"), window).select(
+    return without_repeats(docs, ["doc_id"], window).select(
         F.col("own.doc_id").alias("doc_id"), "n_words", "n_removed",
         F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))

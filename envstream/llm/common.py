@@ -30,3 +30,10 @@ def let(value: Column, body) -> Column:
 
 def words_of(text: Column) -> Column:
     return F.filter(F.split(text, SPACE_RUN), lambda word: word != "")
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """id_hash, text_hash and ``own``, the whole row: two hashes that tell rows by doc_id and text."""
+    return docs.select(
+        F.xxhash64("doc_id", F.col("doc_id").isNull()).alias("id_hash"),
+        F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.struct("*").alias("own"))

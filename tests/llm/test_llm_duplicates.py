@@ -5,11 +5,12 @@ import random
 import re
 from collections import Counter
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from xxhash import xxh64_intdigest
 
-from envstream.llm import simhash, spans
+from envstream.llm import near, simhash, spans
 from envstream.llm.components import components
 
 
@@ -122,6 +123,63 @@ def test_components(spark, edges):
     assert found == {n: r for n, r in wanted.items() if n != r}
 
 
+# Near duplicates of the pipeline.
+
+def shingle_set(text):
+    words = word_list("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return {tuple(words[i:i + 5]) for i in range(len(words) - 4)} or {tuple(words)}
+
+
+def near_texts(seed):
+    """Chains of copies with more and more words changed, around and on both sides of 0.8."""
+    rng = random.Random(seed)
+    texts = []
+    for start in range(6):
+        words = [f"w{rng.randrange(500)}" for _ in range(rng.choice([60, 200, 700]))]
+        for _ in range(12):
+            texts.append(" ".join(words))
+            if rng.random() < .7:
+                words = list(words)
+            for _ in range(max(1, int(len(words) * rng.choice([0, .005, .02, .05])))):
+                words[rng.randrange(len(words))] = f"w{rng.randrange(500)}"
+    return [*texts, "", " ", "one two", "One  two", "one three", "a b c d e", "a b c d f"]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_near_duplicates_are_those_of_brute_force(documents, seed):
+    texts = near_texts(seed)
+    docs = documents([(i, text, "en", "a", 1) for i, text in enumerate(texts)])
+    sets = list(map(shingle_set, texts))
+    root = groups_of(range(len(texts)), lambda a, b: 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]))
+    found = {}
+    for row in near.groups(docs).collect():
+        found.setdefault(row.root, set()).add(row.doc_id)
+    wanted = {}
+    for i, r in root.items():
+        wanted.setdefault(r, set()).add(i)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, wanted.values()))
+    assert 10 < len(wanted) < len(set(texts)) - 10
+    assert {r.doc_id for r in near.first_rows(docs).collect()} == set(map(min, wanted.values()))
+
+
+def test_near_duplicates_leave_the_pipeline(spark, documents):
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(900)}" for _ in range(400)]
+    other = list(words)
+    for i in (20, 120, 220, 320):  # of similarity 0.9, and some bits of the fingerprint apart
+        other[i] = "changed"
+    docs = documents([(1, " ".join(words), "en", "a", 1), (2, " ".join(other), "en", "a", 1)])
+    assert simhash.first_rows(docs).count() == 2
+    assert [r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()] == [1]
+
+
+def test_near_duplicates_of_awkward_rows(awkward, documents):
+    kept = near.first_rows(awkward)
+    assert kept.columns == awkward.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "4", "6", "7", "8", "None"]
+    assert near.first_rows(documents([])).count() == 0
+
+
 # Repeated passages.
 
 def without_repeats(texts, window):

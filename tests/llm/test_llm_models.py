@@ -132,6 +132,39 @@ def test_classifier_without_classes(awkward, documents, spark):
     assert compression.fit(documents([]), labels).good == b""
 
 
+def test_long_texts_score_like_short_ones(documents, spark):
+    docs, labels, _ = labelled(documents, spark)
+    model = compression.fit(docs, labels)
+    rng = random.Random(5)
+    for words, good in (("the of and a in to is house river stone walked slowly".split(), True),
+                        (["###BUY", "CLICK!!", "$$$", "WIN!!"], False)):
+        piece = " ".join(rng.choice(words) for _ in range(900))[:1024]
+        short, long = model.densities([piece, piece * 200])
+        assert abs(short - long) < 0.1 * abs(short) and (long > 0) == good
+        assert (model.scores([piece * 200])[0] >= 0.7) == good
+    for content in (b"", b"a", bytes(range(256)) * 40):
+        assert b"".join(compression._stretches(content, 1024)) == content
+        assert max(map(len, compression._stretches(content, 1024))) <= 1024
+
+
+def test_curve_is_fitted_on_long_texts_too(documents, spark):
+    docs, labels, _ = labelled(documents, spark)
+    tail = F.when(F.crc32(F.col("text")) % 2 == 0, F.repeat(F.concat(F.lit(" "), "text"), 200)).otherwise("")
+    docs = docs.withColumn("text", F.concat("text", tail))
+    sizes = []
+    own = compression._measured
+
+    def measured(sample, model):
+        found = own(sample, model)
+        sizes.extend(found[:, 1])
+        return found
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(compression, "_measured", measured)
+        assert compression.fit(docs, labels).slope > 0
+    assert max(sizes) > 16_384 > min(sizes)
+
+
 # Shards.
 
 def test_shards_follow_the_mixture(documents):

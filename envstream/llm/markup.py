@@ -31,6 +31,8 @@ ASIDE_WORDS = frozenset((
     "promo", "related", "reply", "replies", "respond", "share", "sharing", "sidebar", "signup", "skip",
     "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 ))
+# Those of readers' words, which may outweigh a short article.
+TALK_WORDS = frozenset(("comment", "comments", "disqus", "replies", "reply", "respond"))
 # A name with one of these says that the element has such a neighbour, not that it is one.
 HAVING = frozenset(("has", "no", "with", "without"))
 
@@ -41,6 +43,8 @@ _PARTS = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
 _DIGITS = re.compile(r"[0-9]+")
 #: Levels that a path names, the innermost ones.
 PATH_LEVELS = 16
+#: Share of a page's unlinked text from which an element is a layout that its name only describes.
+LAYOUT, TALK_LAYOUT = 0.5, 0.9
 
 
 @dataclass
@@ -57,6 +61,9 @@ class Page:
     containers: list[Container] = field(default_factory=list)
     #: Text and container of each block outside of skipped elements, in order.
     blocks: list[tuple[str, int]] = field(default_factory=list)
+    #: Of each block, its text less where it is linked, and whether it is a main heading.
+    weights: list[float] = field(default_factory=list)
+    titles: list[bool] = field(default_factory=list)
 
     def path(self, i: int) -> str:
         names = []
@@ -66,33 +73,96 @@ class Page:
         return ">".join(reversed(names))
 
 
+@dataclass
+class Named:
+    """An element whose name speaks of something other than the article."""
+
+    parent: int
+    container: int     # -1 if it is none
+    talk: bool
+    chars: float = 0.0
+    title: bool = False
+    story: float = 0.0
+
+
 def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(text)}
 
 
 def _set_apart(tag: str, attributes: dict[str, str], in_story: bool) -> bool:
-    """Whether an element is not part of an article's text."""
+    """Whether an element is not part of an article's text, whatever it holds."""
     if tag in SKIPPED or (tag == "header" and not in_story):
         return True
     if tag in ("html", "body", "article", "main") or not attributes:
         return False
-    if ("hidden" in attributes or attributes.get("aria-hidden") == "true"
+    return ("hidden" in attributes or attributes.get("aria-hidden") == "true"
             or attributes.get("role") in ROLES
-            or "display:none" in attributes.get("style", "").replace(" ", "").lower()):
-        return True
+            or "display:none" in attributes.get("style", "").replace(" ", "").lower())
+
+
+def _named_apart(tag: str, attributes: dict[str, str], in_story: bool) -> set[str]:
+    """The words in the element's names that speak of something other than the article."""
+    if tag in ("html", "body", "article", "main") or not attributes:
+        return set()
+    found: set[str] = set()
     for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split():
         parts = set(_PARTS.split(name))
-        if parts & ASIDE_WORDS and not parts & HAVING or ("header" in parts and not in_story
-                                                          and not parts & HAVING):
-            return True
-    return False
+        if not parts & HAVING:
+            found |= parts & ASIDE_WORDS
+            found |= parts & {"header"} if not in_story else set()
+    return found
+
+
+def _keep(page: Page, named: list[Named], found: list[tuple[str, int, float, bool, int, bool]],
+          path: str | None) -> None:
+    """Keeps the blocks whose named elements are all layouts.
 
+    A name may describe a layout: an element with most of the unlinked text (unless a story lies outside
+    of all such elements), or with the only story, is no side matter, nor is one on the way to the
+    container that the host's pages agree on.
+    """
+    whole = outside = 0.0
+    for words, container, weight, title, at, in_story in found:
+        whole += weight
+        outside += weight * (in_story and at < 0)
+        if at >= 0:
+            named[at].chars += weight
+            named[at].story += weight * in_story
+            named[at].title |= title
+    for one in reversed(named):  # inner ones come after those around them
+        if one.parent >= 0:
+            above = named[one.parent]
+            above.chars, above.story, above.title = (
+                above.chars + one.chars, above.story + one.story, above.title or one.title)
+    kept: list[bool] = []
+    for one in named:
+        most = one.chars >= (TALK_LAYOUT if one.talk else LAYOUT) * whole
+        layout = one.chars > 0 and (most and (one.story > 0 or not outside)
+                                    or (one.talk and one.title and one.chars >= LAYOUT * whole)
+                                    or (not one.talk and one.story > 0 and not outside))
+        if path and not layout and one.container >= 0:
+            layout = f"{path}>".startswith(f"{page.path(one.container)}>")
+        kept.append(layout and (one.parent < 0 or kept[one.parent]))
+    for words, container, weight, title, at, _ in found:
+        if at < 0 or kept[at]:
+            page.blocks.append((words, container))
+            page.weights.append(weight)
+            page.titles.append(title)
+            if container >= 0:
+                page.containers[container].chars += weight
 
-def parse(html: str) -> Page:
-    """Reads a page of any quality: unknown, unclosed and stray tags are put up with."""
+
+def parse(html: str, path: str | None = None) -> Page:
+    """Reads a page of any quality: unknown, unclosed and stray tags are put up with.
+
+    ``path`` is that of the container that is looked for, if it is known.
+    """
     page = Page()
-    #: Open elements: tag, container, whether set apart, whether in a story.
-    stack: list[tuple[str, int, bool, bool]] = []
+    #: Open elements: tag, container, whether set apart, whether in a story, innermost named element.
+    stack: list[tuple[str, int, bool, bool, int]] = []
+    named: list[Named] = []
+    #: Blocks: text, container, unlinked text, whether a title, named element, whether in a story.
+    found: list[tuple[str, int, float, bool, int, bool]] = []
     text: list[str] = []
     linked = 0
     links = 0
@@ -102,12 +172,11 @@ def parse(html: str) -> Page:
         nonlocal linked
         words = " ".join("".join(text).split())
         text.clear()
-        apart, container = (stack[-1][2], stack[-1][1]) if stack else (False, -1)
+        _, container, apart, in_story, at = stack[-1] if stack else ("", -1, False, False, -1)
         if words and not apart:
-            page.blocks.append((words, container))
-            if container >= 0:
-                share = max(0.0, 1 - linked / len(words))
-                page.containers[container].chars += len(words) * share * share
+            share = max(0.0, 1 - linked / len(words))
+            block = next((open_[0] for open_ in reversed(stack) if open_[0] in BLOCKS), "")
+            found.append((words, container, len(words) * share * share, block == "h1", at, in_story))
         linked = 0
 
     def close_to(depth: int) -> None:
@@ -151,8 +220,8 @@ def parse(html: str) -> Page:
             continue
         if tag in RAW:
             end = ends.get(tag) or ends.setdefault(tag, re.compile(f"</{tag}\\s*>", re.I))
-            found = end.search(html, at)
-            at = found.end() if found else size
+            closing = end.search(html, at)
+            at = closing.end() if closing else size
             continue
         if tag == "br":
             text.append(" ")
@@ -171,9 +240,12 @@ def parse(html: str) -> Page:
         if tag in VOID:
             continue
         attributes = _attributes(match[3]) if match[3].strip(" /") else {}
-        _, container, apart, in_story = stack[-1] if stack else ("", -1, False, False)
+        _, container, apart, in_story, inside = stack[-1] if stack else ("", -1, False, False, -1)
         in_story = in_story or tag in STORY
         set_apart = apart or _set_apart(tag, attributes, in_story)
+        aside = set() if set_apart else _named_apart(tag, attributes, in_story)
+        if aside and tag not in BLOCKS:
+            set_apart = True  # part of a line, and no layout
         if tag in CONTAINERS and not set_apart:
             classes = sorted(set(attributes.get("class", "").lower().split()))
             name = ".".join([tag, *(_DIGITS.sub("#", c) for c in classes)])
@@ -182,10 +254,14 @@ def parse(html: str) -> Page:
                 "itemprop", "").lower() == "articlebody"
             page.containers.append(Container(container, level, name, story))
             container = len(page.containers) - 1
+        if aside and not set_apart:
+            named.append(Named(inside, container if tag in CONTAINERS else -1, bool(aside & TALK_WORDS)))
+            inside = len(named) - 1
         elif set_apart and not apart and tag not in BLOCKS:
             close_block()
         if not match[3].rstrip().endswith("/") or tag in BLOCKS:
-            stack.append((tag, container, set_apart, in_story))
+            stack.append((tag, container, set_apart, in_story, inside))
             links += tag == "a"
     close_block()
+    _keep(page, named, found, path)
     return page

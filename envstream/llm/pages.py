@@ -1,8 +1,8 @@
 """Main text of web pages by the containers that the pages of a host agree on.
 
 Every page is parsed and its containers are scored by the text in them, less where it is linked. It
-votes for the innermost container that holds most of that text, by its path of tags and classes with
-digits generalised. Spark adds the votes up per host, and every page is read again with the path that
+votes for the innermost container that holds most of that text, or for one around it that adds the title
+or blocks of its own, by its path of tags and classes with digits generalised. Spark adds the votes up per host, and every page is read again with the path that
 won at its host. A page without that path keeps the container it voted for itself.
 """
 
@@ -31,7 +31,7 @@ def scores(page: Page) -> list[float]:
 
 
 def choice(page: Page) -> int:
-    """The innermost container with most of the page's text, or -1."""
+    """The innermost container with most of the page's text, or what goes with it around it, or -1."""
     total = scores(page)
     whole = max(total, default=0.0)
     if not whole:
@@ -39,7 +39,33 @@ def choice(page: Page) -> int:
     fit = [(c.story and total[i] >= STORY_MOST * whole, c.depth, total[i], -i)
            for i, c in enumerate(page.containers)
            if total[i] >= (STORY_MOST if c.story else MOST) * whole]
-    return -max(fit)[3]
+    return _climbed(page, -max(fit)[3])
+
+
+def _climbed(page: Page, chosen: int) -> int:
+    """The outermost container around ``chosen`` that adds a missing title, or text directly in it.
+
+    Text directly in the body, or around a story, may be anything; only a title is taken from there.
+    """
+    around = [chosen]
+    while page.containers[around[-1]].parent >= 0:
+        around.append(page.containers[around[-1]].parent)
+    rank = {c: i for i, c in enumerate(around)}
+    #: For each container, how far out of the chosen one it hangs.
+    hangs: list[int] = []
+    for i, container in enumerate(page.containers):
+        hangs.append(rank[i] if i in rank else hangs[container.parent] if container.parent >= 0 else len(around))
+    best, story = 0, page.containers[chosen].story
+    titles = []
+    for (_, i), weight, title in zip(page.blocks, page.weights, page.titles):
+        if i < 0 or not weight or hangs[i] >= len(around):
+            continue
+        if title:
+            titles.append(hangs[i])
+        direct = i in rank and not story and page.containers[i].name.split(".")[0] not in ("html", "body")
+        if direct:
+            best = max(best, hangs[i])
+    return around[max(best, min(titles, default=0))]
 
 
 def main_text(page: Page, path: str | None) -> str:
@@ -103,7 +129,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(parse(html.as_py() or ""), path.as_py())
+            texts = [main_text(parse(html.as_py() or "", path.as_py()), path.as_py())
                      for html, path in zip(batch.column(2), batch.column(3))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()),

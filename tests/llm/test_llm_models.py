@@ -252,3 +252,54 @@ def test_hosts(spark):
 def test_paths_are_general():
     page = parse("<html><body><div class='post-17 b a'><p>t</p></div></body></html>")
     assert page.path(pages.choice(page)) == "html>body>div.a.b.post-#"
+
+
+BODY = "".join(f"<p>Sentence {i} of the story goes on with plain words.</p>" for i in range(12))
+SIDE = "<div class='sidebar'><p>Side words</p></div><div class='comments'><p>Reader says no</p></div>"
+
+
+@pytest.mark.parametrize("open_,close", [
+    ("<div class='page sidebar-right'><div class='post'>", "</div>{}</div>"),
+    ("<div id='nav-open'><article>", "</article>{}</div>"),
+    ("<div class='elementor-widget-theme-post-content'>", "</div>{}"),
+    ("<section class='post comments-open'>", "{}</section>"),
+    ("<div class='widget'><article>", "</article></div><div class='x'><p>" + "more " * 300 + "</p></div>{}"),
+])
+def test_a_layout_that_is_named_like_side_matter_is_kept(open_, close):
+    page = parse(f"<html><body>{open_}<h1>Title</h1>{BODY}{close.format(SIDE)}</body></html>")
+    text = "\n\n".join(words for words, _ in page.blocks)
+    assert "Title" in text and "Sentence 0 " in text and "Sentence 11 " in text
+    assert "Side words" not in text and "Reader" not in text
+
+
+def test_long_comments_are_no_layout():
+    talk = "<div class='comments'>" + "<article class='comment'><p>Reader says no and no</p></article>" * 40 + "</div>"
+    page = parse(f"<body><div class='ad'><p>{'buy ' * 90}</p></div><article><h1>T</h1><p>short</p></article></body>")
+    assert [words for words, _ in page.blocks] == ["T", "short"]
+    for post in (f"<article>{BODY}</article>", f"<div class='post'>{BODY}</div>"):
+        page = parse(f"<html><body>{post}{talk}</body></html>")
+        text = pages.main_text(page, None)
+        assert "Sentence 11 " in text and "Reader" not in text
+
+
+def test_the_host_tells_that_a_name_is_a_layout(spark):
+    html = "<html><body><div class='widget-post'><p>%s</p></div><div class='x'><p>%s</p></div></body></html>"
+    rows = [(i, "http://w.example/", html % ("story words " * 50, "more"), None, None, None) for i in range(4)]
+    rows.append((4, "http://w.example/", html % ("short story", "more words " * 50), None, None, None))
+    found = {r.page_id: r.text for r in pages.extract(page_table(spark, rows)).collect()}
+    assert found[4] == "short story" and found[0].startswith("story words")
+
+
+@pytest.mark.parametrize("html,path", [
+    (f"<div class=top><p>Site</p></div><div class=post><h1>Title</h1><p>lede</p><div class=body>{BODY}</div></div>",
+     "html>body>div.post"),
+    (f"<div class=post><div class=head><h1>Title</h1></div><p>lede</p><div class=body>{BODY}</div></div>",
+     "html>body>div.post"),
+    (f"<main><h1>Title</h1><article><p>lede</p>{BODY}</article></main>", "html>body>main"),
+    (f"<p>Imprint</p><div class=post><h1>Title</h1><p>lede</p>{BODY}</div>", "html>body>div.post"),
+])
+def test_title_and_lede_around_the_body_are_kept(html, path):
+    page = parse(f"<html><body>{html}</body></html>")
+    assert page.path(pages.choice(page)) == path
+    text = pages.main_text(page, path)
+    assert text.startswith("Title\n\nlede\n\nSentence 0 ") and "Site" not in text and "Imprint" not in text

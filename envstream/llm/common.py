@@ -37,3 +37,14 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.xxhash64("doc_id", F.col("doc_id").isNull()).alias("id_hash"),
         F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.struct("*").alias("own"))
+
+
+def place_of() -> Column:
+    """Order of ``keyed`` rows: by doc_id, null ones last, then by hash of text."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "id_hash")
+
+
+def rows_at(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with the id_hash and text_hash of ``places``, one for each, unchanged."""
+    keys = ["id_hash", "text_hash"]
+    return keyed(docs).join(places.select(keys), keys, "left_semi").dropDuplicates(keys).select("own.*")

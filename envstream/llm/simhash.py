@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from envstream.llm.common import written
+from envstream.llm.common import keyed, place_of, rows_at, written
 from envstream.llm.components import components
 
 BITS, SHINGLE = 64, 3
@@ -267,11 +267,10 @@ def groups(docs: DataFrame, budget: int = 2) -> DataFrame:
 
 
 def first_rows(docs: DataFrame, budget: int = 2) -> DataFrame:
-    """The rows of ``docs`` with the least doc_id of their group, one per group, unchanged.
+    """One row of ``docs`` per group, unchanged: that of the least doc_id, then of the least hash of text.
 
-    Rows without an id are kept as they are: no group can be named after them.
+    Ids may be null, which count last, or repeated.
     """
-    kept = groups(docs, budget).where(F.col("doc_id") == F.col("component_id")).select(
-        "doc_id").distinct()
-    once = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(docs.where(F.col("doc_id").isNull()))
+    named = keyed(docs).select("id_hash", "text_hash", "own.doc_id", "own.text").select(
+        place_of().alias("doc_id"), "text")
+    return rows_at(docs, groups(named, budget).select("component_id.*").distinct())

@@ -110,6 +110,16 @@ def test_first_rows_keep_one_of_each_group(awkward, documents):
     assert simhash.first_rows(documents([])).count() == 0
 
 
+@pytest.mark.parametrize("first_rows", [simhash.first_rows, near.first_rows])
+def test_null_and_repeated_ids_leave_one_row_of_each_group(documents, first_rows):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    rows = [(1, one), (1, two), (None, two), (None, three), (None, three), (None, three.upper()), (2, one),
+            (3, "x y"), (3, "x y"), (3, None), (3, "")]
+    docs = documents([(i, text, "en", "a", 1) for i, text in rows])
+    kept = [(r.doc_id, (r.text or "").lower()) for r in first_rows(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(1, one), (1, two), (None, three), (3, "x y"), (3, "")], key=str)
+
+
 @pytest.mark.parametrize("edges", [
     [], [(1, 1)], [(i, i + 1) for i in range(60)], [(0, i) for i in range(1, 40)],
     [(random.Random(4).randrange(80), i) for i in range(80)], [(5, 9), (9, 5), (5, 9), (7, 8)],

@@ -156,7 +156,7 @@ def pieces(docs: DataFrame, vocabulary: str, rules: Rules = Rules()) -> DataFram
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_units(shared.value)
+        encoder = library_units(shared.value, special_as_text=False)
         seen = np.zeros(rules.capacity + 1, np.int64)
         task = TaskContext.get().partitionId()
         for part, texts in chunks(batches, 1):

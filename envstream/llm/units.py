@@ -111,12 +111,15 @@ class UnitEncoder:
         return ids, offsets_of(lengths)[offsets_of(counts)]
 
 
-def library_units(vocabulary: str) -> UnitEncoder:
-    """Encoder of a tokenizers vocabulary (its JSON text); strings of special tokens are plain text."""
+def library_units(vocabulary: str, special_as_text: bool = True) -> UnitEncoder:
+    """Encoder of a tokenizers vocabulary (its JSON text).
+
+    Strings of special tokens are plain text, or else one id each, as the library has it by default.
+    """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(vocabulary)
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = special_as_text
     led = np.zeros(max(tokenizer.get_vocab().values()) + 1, bool)
     led[[i for token, i in tokenizer.get_vocab().items() if token.startswith("Ġ")]] = True
 

@@ -164,6 +164,19 @@ def test_pack(awkward, documents, library):
     assert packing.pack(documents([]), LIBRARY).count() == 0
 
 
+def test_packed_ids_are_those_of_a_plain_library_call(documents):
+    plain = Tokenizer.from_file(LIBRARY)
+    texts = some_texts(300) + ["<|endoftext|>", "one <|endoftext|> two<|endoftext|>", "a <|endoftext|>b  c"]
+    encoder = units.library_units(open(LIBRARY).read(), special_as_text=False)
+    ids, edges = encoder.encode(texts)
+    for text, a, b in zip(texts, edges, edges[1:]):
+        assert ids[a:b].tolist() == plain.encode(text, add_special_tokens=False).ids
+    docs = [(i, text, "en", "a", 1) for i, text in enumerate(texts)]
+    rows = packing.pack(documents(docs), LIBRARY, packing.Rules(capacity=128)).collect()
+    check_packing(rows, [(d[0], d[1]) for d in docs], plain, 128)
+    assert plain.encode("<|endoftext|>", add_special_tokens=False).ids == [50256]
+
+
 @pytest.mark.parametrize("counts", [
     {}, {1: 1}, {2048: 5}, {1: 5000}, {1025: 10}, {700: 9, 648: 9, 1400: 9}, {300: 7, 1700: 2, 3: 100},
     {n: n % 13 for n in range(1, 2049)},

@@ -16,10 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(frame: DataFrame, label: str) -> DataFrame:
-    """The rows, stored in the shared folder: later steps read the file and need no earlier task."""
+def written(frame: DataFrame, label: str, **options: str) -> DataFrame:
+    """The rows, stored in the shared folder: later steps read the file and need no earlier task.
+
+    ``options`` are those of the Parquet writer, written with ``_`` for ``.``.
+    """
     path = work_dir(frame.sparkSession, label)
-    frame.write.parquet(path)
+    frame.write.options(**{k.replace("_", "."): v for k, v in options.items()}).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

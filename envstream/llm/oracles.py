@@ -1,6 +1,6 @@
 """SQL with the same results as the registered queries, where SQL can express them.
 
-Fingerprints (XXH64), tokenizers, trained models, list probing and page parsing are beyond SQL; those
+Fingerprints (XXH64), tokenizers, trained models, eigenvectors, list probing and page parsing are beyond SQL; those
 queries are tested against brute force.
 """
 
@@ -146,8 +146,35 @@ def _passages(window: int = 35) -> str:
     FROM docs LEFT JOIN left_over USING (id)"""
 
 
+def _ranked(k: int = 50) -> str:
+    def terms(table: str) -> str:
+        lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+        return (f"SELECT row_number() OVER () AS row, *, regexp_extract_all({lower}, "
+                f"'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms FROM {table}")
+
+    return f"""
+    WITH docs AS ({terms('documents')}),
+    items AS (SELECT row AS item, item_id, unnest(list_distinct(terms)) AS term FROM ({terms('benchmark')})),
+    corpus AS (SELECT count(*) FILTER (len(terms) > 0) AS many, sum(len(terms))::BIGINT AS occurrences FROM docs),
+    held AS (
+        SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM docs)
+        WHERE term IN (SELECT term FROM items) GROUP BY ALL),
+    weighed AS (
+        SELECT term, floor(1000 * ln((2 * any_value(many) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+        FROM held, corpus GROUP BY term),
+    scored AS (
+        SELECT item, item_id, doc_id, row, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (
+            100 - 50 + ((50 * len(terms) * many) // occurrences)))))::BIGINT AS score
+        FROM items JOIN held USING (term) JOIN weighed USING (term) JOIN docs USING (row), corpus
+        GROUP BY ALL)
+    SELECT item_id, rank::INT AS rank, doc_id, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank
+        FROM scored WHERE score > 0) WHERE rank <= {k}"""
+
+
 ORACLES: dict[str, str] = {
     "op1_quality_rules": _quality(),
     "op4_interleaved_shards": _shards(),
     "op7_block_factors": _passages(),
+    "op13_hybrid_lists": _ranked(),
 }

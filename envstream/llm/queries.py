@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from envstream.llm import (
-    bpe, compression, packing, pages, quality, separators, shards, simhash, spans, vectors,
+    bpe, compression, packing, pages, quality, ranked, separators, shards, simhash, spans, tokenfiles,
+    vectors, whitening,
 )
 from envstream.llm.common import table
 
@@ -20,6 +21,8 @@ QUERIES: dict[str, Query] = {}
 LIBRARY_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 END_OF_DOCUMENT = 50256
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+WORD_END = 2
 
 
 def registered(query: Query) -> Query:
@@ -81,3 +84,18 @@ def op9_linear_grouping(spark, sf_dir):
 @registered
 def op10_host_paths(spark, sf_dir):
     return pages.extract(table(spark, sf_dir, "pages"))
+
+
+@registered
+def op11_ranked_bytes(spark, sf_dir):
+    return tokenfiles.document_spans(table(spark, sf_dir, "documents"), WORD_VOCABULARY, WORD_END)
+
+
+@registered
+def op12_cholesky_jacobi(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@registered
+def op13_hybrid_lists(spark, sf_dir):
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)

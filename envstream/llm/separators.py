@@ -18,11 +18,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from envstream.llm.common import written
-from envstream.llm.units import chunks, library_units
+from envstream.llm.pieces import PieceEncoder, slices
 
-BLOCK_IDS = 65_536
+BLOCK_IDS = 16_384
 SPAN = 1024
 ID_BYTES = 4
+#: A writer holds a row group, so it is a few hundred blocks; ids that differ need no dictionary.
+ROW_GROUP = {"parquet_block_size": str(16 << 20), "parquet_enable_dictionary": "false"}
 
 
 def _blocks_of(file: str, first: int, data: bytes, size: int) -> Iterator[tuple[str, int, bytes]]:
@@ -41,31 +43,29 @@ def flat_files(docs: DataFrame, vocabulary: str, separator: int,
     size = block_ids * ID_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_units(shared.value)
+        encoder = PieceEncoder(shared.value, special_as_text=True)
         file, block, rest, owed = f"tokens-{TaskContext.get().partitionId():06d}", 0, b"", []
 
-        def batch(some: bytes, first: int) -> pa.RecordBatch:
-            made = list(_blocks_of(file, first, some, size))
-            ends = [np.frombuffer(content, "<u4") == separator for _, _, content in made]
-            split = np.cumsum([0, *(int(e.sum()) for e in ends)])
-            named = [owed[a:b] for a, b in zip(split, split[1:])]
-            del owed[:split[-1]]
-            return pa.RecordBatch.from_arrays([
-                pa.array([file] * len(made)), pa.array([b for _, b, _ in made], pa.int64()),
-                pa.array([c for _, _, c in made], pa.binary()),
-                pa.array(named, pa.list_(kind))], names=["file", "block", "content", "doc_ids"])
-
-        for part, texts in chunks(batches, 1):
+        def batches_of(some: bytes, first: int) -> Iterator[pa.RecordBatch]:
+            for _, number, content in _blocks_of(file, first, some, size):
+                ends = int((np.frombuffer(content, "<u4") == separator).sum())
+                named = owed[:ends]
+                del owed[:ends]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([file]), pa.array([number], pa.int64()), pa.array([content], pa.binary()),
+                    pa.array([named], pa.list_(kind))], names=["file", "block", "content", "doc_ids"])
+
+        for part, texts in slices(batches, 1):
             kind = part.column(0).type
             ids, edges = encoder.encode(texts)
             rest += np.insert(ids, edges[1:], separator).astype("<u4").tobytes()
             owed += part.column(0).to_pylist()
             whole = len(rest) // size * size
             if whole:
-                yield batch(rest[:whole], block)
+                yield from batches_of(rest[:whole], block)
                 rest, block = rest[whole:], block + whole // size
         if rest:
-            yield batch(rest, block)
+            yield from batches_of(rest, block)
 
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     name = rows.schema["doc_id"].dataType.simpleString()
@@ -160,7 +160,7 @@ def document_tokens(docs: DataFrame, vocabulary_file: str, separator: int) -> Da
     looked at. An empty table gives an empty result.
     """
     with open(vocabulary_file, encoding="utf-8") as source:
-        blocks = written(flat_files(docs, source.read(), separator), "tokens")
+        blocks = written(flat_files(docs, source.read(), separator), "tokens", **ROW_GROUP)
     counted = scan(blocks, separator)
     earlier = Window.partitionBy("file", "span").orderBy("block")
     size = F.size("doc_ids")

@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from envstream.llm.common import written
-from envstream.llm.units import chunks, library_units, ragged
+from envstream.llm.pieces import PieceEncoder, slices
+from envstream.llm.units import ragged
 
 
 @dataclass(frozen=True)
@@ -156,10 +157,10 @@ def pieces(docs: DataFrame, vocabulary: str, rules: Rules = Rules()) -> DataFram
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_units(shared.value, special_as_text=False)
+        encoder = PieceEncoder(shared.value)
         seen = np.zeros(rules.capacity + 1, np.int64)
         task = TaskContext.get().partitionId()
-        for part, texts in chunks(batches, 1):
+        for part, texts in slices(batches, 1):
             ids, edges = encoder.encode(texts)
             document, piece, start, length = _cut(ids, edges, rules)
             # The separator is put behind every document.

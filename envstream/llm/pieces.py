@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from envstream.llm.units import offsets_of, ragged
 
 #: Pre-tokens kept between chunks, and characters handled at a time. Neither changes a result.
-KEEP_PIECES, CHUNK_CHARS = 400_000, 8_000_000
+KEEP_PIECES, CHUNK_CHARS = 300_000, 4_000_000
 
 _MARK = "\x00"
 # Letters that normalisation leaves alone, in both cases.

@@ -109,35 +109,3 @@ class UnitEncoder:
         ids = self.pool[ragged(self.starts[at], lengths)]
         counts = np.fromiter(map(len, pieces), np.int64)
         return ids, offsets_of(lengths)[offsets_of(counts)]
-
-
-def library_units(vocabulary: str, special_as_text: bool = True) -> UnitEncoder:
-    """Encoder of a tokenizers vocabulary (its JSON text).
-
-    Strings of special tokens are plain text, or else one id each, as the library has it by default.
-    """
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_str(vocabulary)
-    tokenizer.encode_special_tokens = special_as_text
-    led = np.zeros(max(tokenizer.get_vocab().values()) + 1, bool)
-    led[[i for token, i in tokenizer.get_vocab().items() if token.startswith("Ġ")]] = True
-
-    def one_by_one(units: list[str]) -> Encoded:
-        found = [x.ids for x in tokenizer.encode_batch(units, add_special_tokens=False)]
-        return (np.fromiter(chain.from_iterable(found), np.uint32),
-                np.fromiter(map(len, found), np.int64))
-
-    def together(units: list[str]) -> Encoded:
-        """Only the first id of each unit starts with a space."""
-        ids = []
-        for start in range(0, len(units), 5000):
-            some = tokenizer.encode("".join(units[start:start + 5000]), add_special_tokens=False)
-            ids.append(np.array(some.ids, np.uint32))
-        flat = np.concatenate(ids)
-        edges = np.flatnonzero(led[flat])
-        if len(edges) != len(units):
-            return one_by_one(units)
-        return flat, np.diff(np.append(edges, len(flat)))
-
-    return UnitEncoder(together, one_by_one)

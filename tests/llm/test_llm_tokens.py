@@ -7,11 +7,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from envstream.llm import bpe, packing, separators, units
+from envstream.llm import bpe, packing, pieces, separators, units
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 LIBRARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -49,9 +50,11 @@ def some_texts(n=2000):
 
 def test_encoders_agree_with_the_libraries(reference, known, library):
     texts = some_texts()
-    for encoder in (bpe.unit_encoder(known, PATTERN), units.library_units(open(LIBRARY).read())):
+    with open(LIBRARY, encoding="utf-8") as source:
+        by_pieces = pieces.PieceEncoder(source.read(), special_as_text=True)
+    for encode in (bpe.unit_encoder(known, PATTERN).encode, lambda some: by_pieces.encode(pa.array(some))):
         for some in (texts, texts[::-1]):  # the second time units are known already
-            ids, edges = encoder.encode(some)
+            ids, edges = encode(some)
             for text, a, b in zip(some, edges, edges[1:]):
                 assert ids[a:b].tolist() == reference.encode_ordinary(text) == library.encode(
                     text, add_special_tokens=False).ids
@@ -167,10 +170,6 @@ def test_pack(awkward, documents, library):
 def test_packed_ids_are_those_of_a_plain_library_call(documents):
     plain = Tokenizer.from_file(LIBRARY)
     texts = some_texts(300) + ["<|endoftext|>", "one <|endoftext|> two<|endoftext|>", "a <|endoftext|>b  c"]
-    encoder = units.library_units(open(LIBRARY).read(), special_as_text=False)
-    ids, edges = encoder.encode(texts)
-    for text, a, b in zip(texts, edges, edges[1:]):
-        assert ids[a:b].tolist() == plain.encode(text, add_special_tokens=False).ids
     docs = [(i, text, "en", "a", 1) for i, text in enumerate(texts)]
     rows = packing.pack(documents(docs), LIBRARY, packing.Rules(capacity=128)).collect()
     check_packing(rows, [(d[0], d[1]) for d in docs], plain, 128)

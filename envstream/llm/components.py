@@ -7,7 +7,7 @@ in one place. Each round reads what the round before wrote to the shared folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from envstream.llm.common import written
@@ -43,16 +43,19 @@ def components(edges: DataFrame) -> DataFrame:
     ``edges`` has two columns of longs. Loops and repeated edges do no harm.
     """
     a, b = edges.columns
-    now = written(_clean(edges.select(F.col(a).alias("u"), F.col(b).alias("v"))), "edges")
-    before = _state(now)
+    now, before = _stored(_clean(edges.select(F.col(a).alias("u"), F.col(b).alias("v"))))
     while True:
-        now = written(_clean(_small_star(_clean(_large_star(now)))), "edges")
-        after = _state(now)
+        now, after = _stored(_clean(_small_star(_clean(_large_star(now)))))
         if after == before:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = after
 
 
-def _state(edges: DataFrame) -> tuple:
-    """Number of edges and a combined hash of them, which only a round without changes repeats."""
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _stored(edges: DataFrame) -> tuple[DataFrame, dict]:
+    """Edges written and read, with what only a round without changes repeats: their number and a hash.
+
+    Both are taken while the edges are written.
+    """
+    state = Observation()
+    found = written(edges.observe(state, F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("hash")), "edges")
+    return found, state.get

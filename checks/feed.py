@@ -88,8 +88,13 @@ def _shared_fields() -> dict[str, Column]:
     }
 
 
-def air_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def air_records(spark: SparkSession, sf_dir: str, moved: bool = False) -> DataFrame:
+    """Records of the readings; ``moved`` gives them times two days and some minutes earlier."""
     rows = observations(spark, sf_dir)
+    if moved:
+        back = 2 * 86_400 + (F.col("event_id") % 70) * 60
+        rows = rows.withColumn("event_time", F.timestamp_micros(
+            F.unix_micros("event_time") - back.cast("bigint") * 1_000_000))
     fields = {
         "source": F.lit("feed"), **_shared_fields(), "parameter": F.col("parameter"),
         "value": F.when(~_spoilt(7), F.col("value")), "location_id": F.col("user_id"),

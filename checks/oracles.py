@@ -161,6 +161,14 @@ WEATHER = (OBS, PARSED_WEATHER)
 AIR_FLOW = (*AIR, USABLE_AIR, DEDUP, f"clean AS (SELECT * FROM deduped WHERE {_ranges()})")
 WEATHER_FLOW = (
     *WEATHER, USABLE_WEATHER, DEDUP, f"clean AS (SELECT * FROM deduped WHERE {WEATHER_RANGE})")
+# The second delivery has an earlier time, so it counts where the message has an id.
+MOVED_FLOW = (
+    OBS, """moved AS (SELECT * REPLACE (CASE WHEN delivery = 1 THEN event_time - INTERVAL 2 DAY
+      - (event_id % 70) * INTERVAL 1 MINUTE ELSE event_time END AS event_time) FROM rec)""",
+    PARSED_AIR.replace("FROM rec)", "FROM moved)"), USABLE_AIR,
+    f"""clean AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY message_id,
+      CASE WHEN message_id = '' THEN city || parameter || event_time END
+      ORDER BY event_time) AS rn FROM usable WHERE {_ranges()}) WHERE rn = 1)""")
 CLEAN_OBS = (OBS, f"clean AS (SELECT * FROM obs WHERE {_ranges()})")
 
 DEFAULT = (("5 minutes", "5 MINUTE"), ("10 minutes", "10 MINUTE"))
@@ -353,6 +361,9 @@ ORACLES: dict[str, str] = {
       WHERE reject_reason IS NOT NULL""",
     "stream_rejects": _chain(*AIR) + f"""SELECT * FROM ({AIR_REJECTS} FROM parsed)
       WHERE reject_reason IS NOT NULL""",
+    "stream_rejects_weather": _chain(*WEATHER) + f"""SELECT * FROM (SELECT raw_value,
+      corrupt_record, event_time_raw, city AS city_raw, {WEATHER_REASON} AS reject_reason
+      FROM parsed) WHERE reject_reason IS NOT NULL""",
     "rejects_weather": _chain(*WEATHER) + f"""SELECT *, TIMESTAMP '2024-02-01' AS rejected_at,
       DATE '2024-02-01' AS reject_date FROM (SELECT raw_value, corrupt_record, event_time_raw,
       city AS city_raw, {WEATHER_REASON} AS reject_reason FROM parsed)
@@ -493,8 +504,14 @@ ORACLES: dict[str, str] = {
       WHERE event_id % 6 <> 5 AND event_time >= {NOW} - INTERVAL 6 HOUR""",
     "change_only": _chain(OBS, TWICE, REPEATED) + """SELECT country, city, parameter,
       event_time, value, event_id, delivery FROM marked WHERE NOT repeated""",
-    "stream_change_only": _chain(OBS, TWICE, REPEATED) + """SELECT country, city, parameter,
-      event_time, value, event_id, delivery FROM marked WHERE NOT repeated""",
+    # The stream that forgets hands the first deliveries on twice.
+    "stream_change_only": _chain(OBS, TWICE, REPEATED, """
+      kept AS (SELECT country, city, parameter, event_time, value, event_id, delivery
+        FROM marked WHERE NOT repeated)""") + """SELECT *, 'long' AS ttl FROM kept
+      UNION ALL SELECT * REPLACE (TIMESTAMP '2099-01-01' AS event_time), 'long' FROM (
+        SELECT country, city, parameter, event_time, value, event_id, 0 AS delivery FROM obs
+        ORDER BY event_id DESC LIMIT 1)
+      UNION ALL SELECT *, 'short' FROM kept UNION ALL SELECT *, 'short' FROM kept""",
     "ingestion_counters": _chain(OBS, TWICE, REPEATED) + f"""SELECT city,
       CASE WHEN event_id % 40 = 5 THEN 'missing_time'
         WHEN date_trunc('second', event_time) < {NOW} - INTERVAL 6 HOUR THEN 'skipped_old'
@@ -587,6 +604,19 @@ ORACLES: dict[str, str] = {
     "backfill_peaks": _chain(*AIR_FLOW, *_air_windows(), *PEAKS) + f"""SELECT *,
       CAST(window_start AS DATE) AS window_date FROM (SELECT {SHOW_PEAKS} FROM peaks)
       WHERE is_peak""",
+    "backfill_displaced": _chain(*MOVED_FLOW, *_air_windows()) + f"""SELECT {SHOW_AIR},
+      CAST(met.window_start AS DATE) AS window_date FROM met""",
+    "backfill_displaced_peaks": _chain(*MOVED_FLOW, *_air_windows(), *PEAKS) + f"""SELECT *,
+      CAST(window_start AS DATE) AS window_date FROM (SELECT {SHOW_PEAKS} FROM peaks)
+      WHERE is_peak""",
+    "retention_drop": LAYER_CTES + " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS rows FROM (SELECT * FROM "
+        f"{LAYER_SOURCES[name]}) WHERE window_start >= {MIDDLE} - INTERVAL 7 DAY"
+        for name in ("gold_air_quality_metrics", "gold_air_quality_peaks", "gold_weather_metrics")),
+    "preview_peaks": _chain(*METRICS, *PEAKS) + f"""SELECT window_start, window_end, city, parameter,
+      rolling_avg, status, delta, is_peak, window_duration FROM (SELECT {SHOW_PEAKS} FROM peaks)
+      WHERE is_peak ORDER BY window_start DESC, window_end, city, parameter, rolling_avg, status, delta,
+      is_peak, window_duration LIMIT 20""",
     "change_only_interleaved": _chain(OBS, TWICE) + """SELECT country, city, parameter,
       date_trunc('day', event_time)::TIMESTAMP AS event_time, (floor(value) % 3)::DOUBLE AS value,
       min(event_id) AS event_id, 0 AS delivery FROM twice GROUP BY 1, 2, 3, 4, 5""",

@@ -69,6 +69,11 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.with_status(windows.air_averages(clean_readings(spark, sf_dir)))
 
 
+def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics as panels find them: a written table, partitioned by day."""
+    return runs.gold_table(spark, sf_dir, metrics(spark, sf_dir))
+
+
 def weather_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = feed.observations(spark, sf_dir)
     fields = {**feed.weather_fields(), "humidity_unit": F.lit("%"), "humidity": F.col("k")}
@@ -285,78 +290,83 @@ def keep_latest(spark, sf_dir):
 
 @registered
 def active_danger(spark, sf_dir):
-    return serving.active_count(metrics(spark, sf_dir), PANEL, "DANGER")
+    return serving.active_count(gold(spark, sf_dir), PANEL, "DANGER")
 
 
 @registered
 def active_warning(spark, sf_dir):
-    return serving.active_count(metrics(spark, sf_dir), PANEL, "WARNING")
+    return serving.active_count(gold(spark, sf_dir), PANEL, "WARNING")
 
 
 @registered
 def cities_impacted(spark, sf_dir):
-    return serving.cities_impacted(metrics(spark, sf_dir), PANEL)
+    return serving.cities_impacted(gold(spark, sf_dir), PANEL)
 
 
 @registered
 def worst_offender(spark, sf_dir):
-    return comparable(serving.worst_offender(metrics(spark, sf_dir), PANEL))
+    return comparable(serving.worst_offender(gold(spark, sf_dir), PANEL))
 
 
 @registered
 def worst_offender_default(spark, sf_dir):
-    return comparable(serving.worst_offender(metrics(spark, sf_dir), EMPTY))
+    return comparable(serving.worst_offender(gold(spark, sf_dir), EMPTY))
 
 
 @registered
 def recent_alerts(spark, sf_dir):
-    return comparable(serving.recent_alerts(metrics(spark, sf_dir), PANEL))
+    return comparable(serving.recent_alerts(gold(spark, sf_dir), PANEL))
 
 
 @registered
 def active_pairs(spark, sf_dir):
-    return serving.active_pairs(metrics(spark, sf_dir), PANEL)
+    return serving.active_pairs(gold(spark, sf_dir), PANEL)
 
 
 @registered
 def top_offenders(spark, sf_dir):
-    return serving.top_offenders(metrics(spark, sf_dir), PANEL)
+    return serving.top_offenders(gold(spark, sf_dir), PANEL)
 
 
 @registered
 def top_offenders_filtered(spark, sf_dir):
-    return serving.top_offenders(metrics(spark, sf_dir), NARROW)
+    return serving.top_offenders(gold(spark, sf_dir), NARROW)
 
 
 @registered
 def last_danger(spark, sf_dir):
-    return comparable(serving.last_danger(metrics(spark, sf_dir), PANEL))
+    return comparable(serving.last_danger(gold(spark, sf_dir), PANEL))
 
 
 @registered
 def status_trend(spark, sf_dir):
-    return comparable(serving.status_trend(metrics(spark, sf_dir), PANEL, "6 hours"))
+    return comparable(serving.status_trend(gold(spark, sf_dir), PANEL, "6 hours"))
 
 
 @registered
 def filter_values(spark, sf_dir):
-    return serving.filter_choices(metrics(spark, sf_dir))
+    return serving.filter_choices(gold(spark, sf_dir))
 
 
 @registered
 def bi_average(spark, sf_dir):
     return comparable(serving.average_by_city_and_parameter(
-        metrics(spark, sf_dir), rules.BI_ROW_LIMIT))
+        gold(spark, sf_dir), rules.BI_ROW_LIMIT))
 
 
 @registered
 def preview_latest(spark, sf_dir):
-    return comparable(serving.latest_windows(metrics(spark, sf_dir)))
+    return comparable(serving.latest_windows(gold(spark, sf_dir).drop("window_date")))
+
+
+@registered
+def preview_peaks(spark, sf_dir):
+    return comparable(serving.latest_peaks(peaks.detect_peaks(metrics(spark, sf_dir))))
 
 
 @registered
 def city_join(spark, sf_dir):
-    rows = metrics(spark, sf_dir)
+    rows = gold(spark, sf_dir)
     # The first two cities move by the number of their windows; the third keeps its place.
     moved = rows.filter(F.col("city") != "Paris").groupBy("city").agg(
         F.count("*").cast("double").alias("latitude"), F.lit(0.5).alias("longitude"))
@@ -367,7 +377,7 @@ def city_join(spark, sf_dir):
 
 @registered
 def retention(spark, sf_dir):
-    return comparable(serving.within_retention(metrics(spark, sf_dir), MIDDLE, days=7))
+    return comparable(serving.within_retention(gold(spark, sf_dir), MIDDLE, days=7).drop("window_date"))
 
 
 @registered
@@ -585,12 +595,29 @@ def backfill_peaks(spark, sf_dir):
     return comparable(runs.backfilled(spark, sf_dir, contracts.GOLD_PEAKS))
 
 
+@registered
+def backfill_displaced(spark, sf_dir):
+    """Averages where a later batch has messages of an earlier one with earlier times."""
+    return comparable(runs.displaced(spark, sf_dir, contracts.GOLD_AIR))
+
+
+@registered
+def backfill_displaced_peaks(spark, sf_dir):
+    return comparable(runs.displaced(spark, sf_dir, contracts.GOLD_PEAKS))
+
+
 @registered
 def backfill_retry(spark, sf_dir):
     """Rows of every layer after each batch was loaded twice."""
     return runs.repeated_counts(spark, sf_dir)
 
 
+@registered
+def retention_drop(spark, sf_dir):
+    """Rows left in the gold tables once the days before the last week were dropped."""
+    return runs.retained_counts(spark, sf_dir, MIDDLE, 7)
+
+
 @registered
 def inferred_schema(spark, sf_dir):
     """Columns of the peaks table as found in its files, next to its row count."""
@@ -629,6 +656,12 @@ def stream_rejects(spark, sf_dir):
     return comparable(rows.drop("rejected_at", "reject_date"))
 
 
+@registered
+def stream_rejects_weather(spark, sf_dir):
+    rows = runs.streamed_layer(spark, sf_dir, "weather", "rejects")
+    return comparable(rows.drop("rejected_at", "reject_date"))
+
+
 @registered
 def stream_win_air(spark, sf_dir):
     return comparable(runs.streamed_final_windows(spark, sf_dir, "air"))
@@ -652,7 +685,8 @@ def stream_update(spark, sf_dir):
 
 @registered
 def stream_peaks(spark, sf_dir):
-    return comparable(runs.streamed_metrics(spark, sf_dir, contracts.GOLD_PEAKS))
+    """Four weeks as four micro-batches and more; state goes on from one to the next."""
+    return comparable(runs.streamed_peaks(spark, sf_dir))
 
 
 @registered
@@ -664,4 +698,4 @@ def stream_update_weather(spark, sf_dir):
 def stream_change_only(spark, sf_dir):
     rows = readings_twice(spark, sf_dir)
     return comparable(runs.streamed_changes(
-        spark, rows, READING_KEY, ["event_id", "delivery"], ["event_time", "value"], MIDDLE))
+        spark, rows, READING_KEY, ["event_id", "delivery"], ["event_time", "value"]))

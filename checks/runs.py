@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 from datetime import datetime
@@ -11,8 +12,8 @@ from pyspark.sql import functions as F
 
 from checks import feed
 from envstream import contracts
-from envstream.operators import peaks, windows
 from envstream.functions import times
+from envstream.operators import parse, peaks, windows
 from envstream.plans import backfill, flows
 from envstream.session import work_dir
 from envstream.sinks import catalog
@@ -20,14 +21,17 @@ from envstream.sinks import tables as sinks
 from envstream.sources import streams
 from envstream.sources import tables as sources
 from envstream.streaming import queries
-from envstream.streaming.batches import ChangeOnlyBatch, table_writer
+from envstream.streaming.batches import AirMetricsBatch, table_writer
 
 CUT = datetime(2024, 1, 16)
+WEEKS = [datetime(2024, 1, day) for day in (8, 16, 23)]
+FAR = datetime(2099, 1, 1)
 LIVE_WEATHER = contracts.TableContract(
     "weather_metrics", "serving/weather_metrics", contracts.GOLD_WEATHER.schema, ("window_date",))
 TABLES = {
     ("air", "bronze"): contracts.BRONZE_AIR, ("air", "silver"): contracts.SILVER_AIR,
     ("air", "rejects"): contracts.REJECTS_AIR, ("weather", "silver"): contracts.SILVER_WEATHER,
+    ("weather", "rejects"): contracts.REJECTS_WEATHER,
 }
 
 
@@ -82,6 +86,26 @@ def repeated_backfill(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def displacing_backfill(spark: SparkSession, sf_dir: str) -> str:
+    """Air batches of which the second has messages of the first with other, earlier times.
+
+    The second comes twice, and then the first once more.
+    """
+    root = work_dir(spark, "displaced")
+    records = feed.air_records(spark, sf_dir)
+    again = F.col("offset") % 2 == 1
+    moved = parse.raw_envelope(feed.air_records(spark, sf_dir, moved=True))
+    first = parse.raw_envelope(records.filter(~again))
+    second = moved.filter(again)
+    for merge_id, batch in (("0", first), ("1", second), ("1", second), ("0", first)):
+        backfill.write_air(batch, root, merge_id)
+    return root
+
+
+def displaced(spark: SparkSession, sf_dir: str, table: contracts.TableContract) -> DataFrame:
+    return _read(spark, displacing_backfill(spark, sf_dir), table)
+
+
 def backfilled(spark: SparkSession, sf_dir: str, table: contracts.TableContract) -> DataFrame:
     return _read(spark, repeated_backfill(spark, sf_dir), table)
 
@@ -94,12 +118,36 @@ def repeated_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered_database(spark: SparkSession, sf_dir: str) -> str:
-    database = f"lakehouse_{uuid.uuid4().hex}"
-    catalog.register(spark, lakehouse(spark, sf_dir), database)
-    catalog.sync_partitions(spark, database)
+    """Tables that are registered before anything is written; each batch adds its partitions."""
+    database, root = f"lakehouse_{uuid.uuid4().hex}", work_dir(spark, "registered")
+    catalog.register(spark, root, database)
+    backfill.write_air(feed.raw_air(spark, sf_dir), root, "0", database=database)
+    backfill.write_weather(feed.raw_weather(spark, sf_dir), root, "0", database=database)
     return database
 
 
+def retained_counts(spark: SparkSession, sf_dir: str, now: datetime, days: int) -> DataFrame:
+    """Rows of the gold tables after the expired days were dropped."""
+    database = registered_database(spark, sf_dir)
+    gold = (contracts.GOLD_AIR, contracts.GOLD_PEAKS, contracts.GOLD_WEATHER)
+    for table in gold:
+        catalog.drop_expired(spark, table, now, database, days)
+    return catalog.table_counts(spark, database, gold)
+
+
+_GOLD: dict[tuple[str, str], str] = {}
+
+
+def gold_table(spark: SparkSession, sf_dir: str, metrics: DataFrame) -> DataFrame:
+    """The metrics as a gold table by day, written once per session and read back."""
+    name = (spark.sparkContext.applicationId, sf_dir)
+    if name not in _GOLD:
+        root = work_dir(spark, "gold")
+        sinks.replace_days(windows.with_window_date(metrics), contracts.GOLD_AIR, root, [])
+        _GOLD[name] = root
+    return _read(spark, _GOLD[name], contracts.GOLD_AIR)
+
+
 def _halves(records: DataFrame) -> list[DataFrame]:
     early = F.col("timestamp") < times.literal(CUT)
     return [records.filter(early), records.filter(~early)]
@@ -164,6 +212,27 @@ def streamed_metrics(spark: SparkSession, sf_dir: str,
     return _read(spark, root, table)
 
 
+def streamed_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Peaks from keyed state, week by week, both queries resumed from their checkpoints each time."""
+    root = work_dir(spark, "stream-peaks")
+    records, flow = _flow(spark, sf_dir, "air")
+    for week in _between(records, "timestamp", WEEKS):
+        week.write.mode("append").parquet(f"{root}/_incoming")
+        raw = streams.file_stream(spark, f"{root}/_incoming")
+        queries.run_to_end([queries.start_batches(
+            flow(raw).metrics, AirMetricsBatch(root), "air_metrics", _settings(root))])
+        queries.run_to_end([queries.start_peaks(spark, _settings(root))])
+    return _read(spark, root, contracts.GOLD_PEAKS)
+
+
+def _between(rows: DataFrame, column: str, cuts: Sequence[datetime]) -> list[DataFrame]:
+    """The rows before the first cut, from there to the second, and so on."""
+    at = [times.literal(cut) for cut in cuts]
+    first = [rows.filter(F.col(column) < at[0])]
+    inner = [rows.filter((F.col(column) >= a) & (F.col(column) < b)) for a, b in zip(at, at[1:])]
+    return [*first, *inner, rows.filter(F.col(column) >= at[-1])]
+
+
 def streamed_weather_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Serving table after the complete set of weather queries."""
     root = work_dir(spark, "stream-weather")
@@ -175,21 +244,42 @@ def streamed_weather_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, root, LIVE_WEATHER)
 
 
-def streamed_changes(spark: SparkSession, readings: DataFrame, key: Sequence[str],
-                     tie_break: Sequence[str], compared: Sequence[str],
-                     cut: datetime) -> DataFrame:
-    """Readings kept by the change-only stream."""
+def _changes(spark: SparkSession, batches: Sequence[DataFrame], key: Sequence[str],
+             tie_break: Sequence[str], compared: Sequence[str], ttl: str, pause: float = 0) -> DataFrame:
+    """Readings that the change-only stream hands on from the batches, resumed after each."""
     root = work_dir(spark, "stream-changes")
+    schema = batches[0].schema
 
     def write(rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(f"{root}/kept/batch={batch_id}")
 
-    callback = ChangeOnlyBatch(
-        f"{root}/_state", readings.schema, key, "event_time", tie_break, compared, write)
-    early = F.col("event_time") < times.literal(cut)
-    for half in (readings.filter(early), readings.filter(~early)):
-        half.write.mode("append").parquet(f"{root}/_incoming")
-        stream = spark.readStream.schema(readings.schema).parquet(f"{root}/_incoming")
-        queries.run_to_end([
-            queries.start_batches(stream, callback, "changes", _settings(root), "append")])
-    return spark.read.schema(readings.schema).parquet(f"{root}/kept/*")
+    for batch in batches:
+        batch.write.mode("append").parquet(f"{root}/_incoming")
+        stream = spark.readStream.schema(schema).parquet(f"{root}/_incoming")
+        queries.run_to_end([queries.start_changes(
+            stream, write, "changes", _settings(root), key, "event_time", tie_break, compared, ttl)])
+        time.sleep(pause)
+    return spark.read.schema(schema).parquet(f"{root}/kept/*")
+
+
+def streamed_changes(spark: SparkSession, readings: DataFrame, key: Sequence[str],
+                     tie_break: Sequence[str], compared: Sequence[str]) -> DataFrame:
+    """Readings handed on by two change-only streams, named by ``ttl``.
+
+    One remembers for long: it gets the weeks one after another, each with the second deliveries of the
+    week before, and in the first week a reading from the far future. The other forgets at once: it
+    gets all first deliveries, and after a pause all of them again.
+    """
+    again = F.col("delivery") == 1
+    newest = readings.groupBy().agg(F.max_by(F.struct(*readings.columns), "event_id").alias("r"))
+    future = newest.select("r.*").withColumn("event_time", times.literal(FAR))
+    weeks = _between(readings, "event_time", WEEKS)
+    nothing = readings.filter(F.lit(False))
+    batches = [week.filter(~again).unionByName(before.filter(again))
+               for week, before in zip([*weeks, nothing], [nothing, *weeks])]
+    batches[0] = batches[0].unionByName(future.withColumn("delivery", F.lit(0)))
+    known = _changes(spark, batches, key, tie_break, compared, "1 day")
+    once = readings.filter(~again)
+    forgotten = _changes(spark, [once, once], key, tie_break, compared, "1 second", pause=1.5)
+    return known.withColumn("ttl", F.lit("long")).unionByName(
+        forgotten.withColumn("ttl", F.lit("short")))

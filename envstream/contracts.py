@@ -109,6 +109,9 @@ PEAKS = struct(
 )
 
 
+BATCH_COLUMN = "merge_id"
+
+
 @dataclass(frozen=True)
 class TableContract:
     """One lakehouse table: where it lives under the root, its columns and its partitioning."""
@@ -118,6 +121,13 @@ class TableContract:
     schema: StructType
     partitions: tuple[str, ...] = ()
     may_be_empty: bool = False
+    #: Whether batches are appended. The last folder level then names the batch, so that a batch
+    #: that comes back replaces what it wrote the first time. It is no column of the contract.
+    appended: bool = False
+
+    @property
+    def stored_partitions(self) -> tuple[str, ...]:
+        return (*self.partitions, BATCH_COLUMN) if self.appended else self.partitions
 
 
 def _message_table(message: StructType, extra: str) -> StructType:
@@ -129,18 +139,18 @@ def _message_table(message: StructType, extra: str) -> StructType:
 
 
 BRONZE_AIR = TableContract(
-    "bronze_air_quality", "bronze/air_quality", RAW_ENVELOPE, ("ingest_date",))
+    "bronze_air_quality", "bronze/air_quality", RAW_ENVELOPE, ("ingest_date",), appended=True)
 BRONZE_WEATHER = TableContract(
-    "bronze_weather", "bronze/weather", RAW_ENVELOPE, ("ingest_date",))
+    "bronze_weather", "bronze/weather", RAW_ENVELOPE, ("ingest_date",), appended=True)
 SILVER_AIR = TableContract(
     "silver_air_quality", "silver/air_quality",
-    _message_table(AIR_MESSAGE, ", event_date date"), ("event_date", "city"))
+    _message_table(AIR_MESSAGE, ", event_date date"), ("event_date", "city"), appended=True)
 SILVER_WEATHER = TableContract(
     "silver_weather", "silver/weather",
     _message_table(
         WEATHER_MESSAGE,
         ", temperature_c double, wind_speed_ms double, humidity_pct double, event_date date"),
-    ("event_date", "city"))
+    ("event_date", "city"), appended=True)
 GOLD_AIR = TableContract(
     "gold_air_quality_metrics", "gold/air_quality_aggregates",
     struct(
@@ -152,6 +162,34 @@ GOLD_AIR = TableContract(
 GOLD_PEAKS = TableContract(
     "gold_air_quality_peaks", "gold/air_quality_peaks",
     StructType(list(PEAKS.fields)).add("window_date", "date"), ("window_date",), True)
+# Every change of a window, with the number of its batch, which the peaks of a stream are made from.
+REVISIONS_AIR = TableContract(
+    "air_quality_revisions", "revisions/air_quality",
+    struct(
+        "window_start timestamp, window_end timestamp, city string, parameter string, "
+        "rolling_avg double, status string, window_duration string, revision bigint"),
+    may_be_empty=True, appended=True)
+# First and last window of every series and day, so that a batch needs no other day's windows.
+WINDOW_ENDS_AIR = TableContract(
+    "air_quality_window_ends", "index/air_quality_window_ends", GOLD_AIR.schema, ("window_date",))
+
+
+def reading_index(kind: str, series: str) -> TableContract:
+    """First time and series that every batch had for a message id, in buckets by the id."""
+    return TableContract(
+        f"{kind}_reading_index", f"index/{kind}_readings",
+        struct(f"dedup_key string, event_time timestamp, {series}, bucket int"), ("bucket",),
+        appended=True)
+
+
+def displaced_readings(kind: str) -> TableContract:
+    """Readings of silver that count no more, as their message was also sent with an earlier time."""
+    return TableContract(
+        f"{kind}_displaced", f"index/{kind}_displaced",
+        struct("dedup_key string, event_time timestamp, event_date date"), ("event_date",),
+        appended=True)
+
+
 GOLD_WEATHER = TableContract(
     "gold_weather_metrics", "gold/weather_aggregates",
     struct(
@@ -163,13 +201,13 @@ REJECTS_AIR = TableContract(
     struct(
         "raw_value string, corrupt_record string, event_time_raw string, value_raw double, "
         "city_raw string, reject_reason string, rejected_at timestamp, reject_date date"),
-    ("reject_date", "reject_reason"), True)
+    ("reject_date", "reject_reason"), True, appended=True)
 REJECTS_WEATHER = TableContract(
     "rejects_weather", "rejects/weather",
     struct(
         "raw_value string, corrupt_record string, event_time_raw string, city_raw string, "
         "reject_reason string, rejected_at timestamp, reject_date date"),
-    ("reject_date", "reject_reason"), True)
+    ("reject_date", "reject_reason"), True, appended=True)
 
 TABLES = (
     BRONZE_AIR, BRONZE_WEATHER, SILVER_AIR, SILVER_WEATHER, GOLD_AIR, GOLD_PEAKS, GOLD_WEATHER,

@@ -9,14 +9,8 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Blocks whose letters and digits are folded to ASCII: Latin with accents, super- and
-# subscripts, letterlike and number forms, enclosed and full-width characters.
-_FOLDED_BLOCKS = (
-    (0x00A0, 0x024F), (0x1E00, 0x1EFF), (0x2070, 0x209C), (0x2100, 0x214F), (0x2150, 0x218B),
-    (0x2460, 0x24FF), (0xFB00, 0xFB06), (0xFF01, 0xFF5E),
-)
-# Of these, the blocks whose characters may stand for several letters, such as a ligature.
-_EXPANDED_BLOCKS = ((0x00A0, 0x024F), (0xFB00, 0xFB06))
+# Characters that may stand for ASCII letters or digits: the planes with scripts and symbols.
+_FOLDED = range(0xA0, 0x20000)
 
 
 def _base_letters(character: str) -> str:
@@ -25,31 +19,29 @@ def _base_letters(character: str) -> str:
 
 
 @lru_cache(maxsize=1)
-def _folding() -> tuple[str, str, tuple[tuple[str, str], ...]]:
+def _folding() -> tuple[str, str, dict[str, str]]:
+    """Characters with one letter or digit each, these, and the forms of characters with several."""
     single, several = {}, {}
-    for first, last in _FOLDED_BLOCKS:
-        for point in range(first, last + 1):
-            base = _base_letters(chr(point))
-            if len(base) == 1 and base.isascii() and base.isalnum():
-                single[chr(point)] = base
-    for first, last in _EXPANDED_BLOCKS:
-        for point in range(first, last + 1):
-            base = _base_letters(chr(point))
-            if len(base) > 1 and any(c.isascii() and c.isalnum() for c in base):
-                several[chr(point)] = base
-    return "".join(single), "".join(single.values()), tuple(several.items())
+    for point in _FOLDED:
+        base = _base_letters(chr(point))
+        if not any(c.isascii() and c.isalnum() for c in base):
+            continue
+        if len(base) == 1:
+            single[chr(point)] = base
+        else:
+            several[chr(point)] = base
+    return "".join(single), "".join(single.values()), several
 
 
 def fold_accents(text: Column) -> Column:
     """ASCII form of accented Latin text; Spark has no Unicode normalisation function."""
     source, target, several = _folding()
     folded = F.regexp_replace(F.translate(text, source, target), r"\p{M}+", "")
-    expanded = folded
-    for character, letters in several:
-        expanded = F.replace(expanded, F.lit(character), F.lit(letters))
-    pattern = "[" + "".join(character for character, _ in several) + "]"
+    forms = F.create_map(*[F.lit(part) for pair in several.items() for part in pair])
+    single = F.regexp_extract_all(folded, F.lit("(?s)."), F.lit(0))
+    expanded = F.array_join(F.transform(single, lambda c: F.coalesce(F.try_element_at(forms, c), c)), "")
     # Most texts need none of the expansions, so they are tried only where one applies.
-    return F.when(folded.rlike(pattern), expanded).otherwise(folded)
+    return F.when(folded.rlike("[" + "".join(several) + "]"), expanded).otherwise(folded)
 
 
 def normalize_text(text: Column) -> Column:

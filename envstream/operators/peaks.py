@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from envstream import contracts
@@ -57,15 +57,21 @@ def merge_state(state: DataFrame, newer: DataFrame) -> DataFrame:
     return dedup.merge_rows(state, newer, KEY, F.col("prev_window_start"))
 
 
-def merge_recent(recent: DataFrame, batch: DataFrame) -> DataFrame:
-    """Windows kept between batches with the revisions of a batch, which replace their window.
+def window_ends(metrics: DataFrame) -> DataFrame:
+    """First and last window of every series on each day."""
+    columns = list(metrics.columns)
+    at = F.struct(F.col("window_start"), *[F.col(c) for c in columns if c != "window_start"])
+    ends = metrics.groupBy(*[F.col(c).alias(f"_{c}") for c in (*KEY, "window_date")]).agg(
+        F.array_distinct(F.array(F.min(at), F.max(at))).alias("ends"))
+    return ends.select(F.explode("ends").alias("end")).select(*[f"end.{c}" for c in columns])
 
-    ``_changed`` marks the windows of the batch.
-    """
+
+def with_neighbours(metrics: DataFrame, ends: DataFrame) -> DataFrame:
+    """The windows, marked as changed, with the first and last ones of other days in their series."""
     columns = list(contracts.AIR_METRIC_COLUMNS)
-    return dedup.merge_rows(
-        recent.select(*columns, F.lit(False).alias("_changed")),
-        batch.select(*columns, F.lit(True).alias("_changed")), list(contracts.AIR_METRIC_KEY))
+    near = ends.join(metrics.select(*KEY).distinct(), KEY, "left_semi")
+    return metrics.select(*columns, F.lit(True).alias("_changed")).unionByName(
+        near.select(*columns, F.lit(False).alias("_changed")))
 
 
 def peaks_of_changes(merged: DataFrame) -> DataFrame:
@@ -75,16 +81,3 @@ def peaks_of_changes(merged: DataFrame) -> DataFrame:
     touched = F.col("_changed") | F.coalesce(F.col("previous._changed"), F.lit(False))
     compared = rows.filter(touched).withColumn("prev_rolling_avg", F.col("previous.rolling_avg"))
     return flag_peaks(compared).select(*contracts.PEAKS.fieldNames())
-
-
-def trim_recent(merged: DataFrame, closed_until: Column) -> DataFrame:
-    """What the next batch needs: windows that may still be revised, and each one's predecessor.
-
-    A window can change until the watermark passes its end, so everything that ends after
-    ``closed_until`` stays, with the last window before that of each series.
-    """
-    columns = list(contracts.AIR_METRIC_COLUMNS)
-    is_open = F.col("window_end") > closed_until
-    closed = merged.filter(~is_open).select(*columns)
-    return merged.filter(is_open).select(*columns).unionByName(
-        dedup.latest_by(closed, KEY, F.col("window_start")))

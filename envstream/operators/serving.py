@@ -162,6 +162,13 @@ def latest_windows(metrics: DataFrame, limit: int = rules.PREVIEW_LIMIT) -> Data
     return metrics.orderBy(F.col("window_start").desc(), *others).limit(limit)
 
 
+def latest_peaks(results: DataFrame, limit: int = rules.PREVIEW_LIMIT) -> DataFrame:
+    """Newest peaks for display, in the columns of the debug table, with a full tie-break."""
+    columns = ["window_start", "window_end", "city", "parameter", "rolling_avg", "status", "delta",
+               "is_peak", "window_duration"]
+    return latest_windows(results.filter("is_peak").select(*columns), limit)
+
+
 def with_coordinates(metrics: DataFrame, cities: DataFrame) -> DataFrame:
     """Adds latitude and longitude; a city outside the dimension gets none."""
     return metrics.join(cities.select("city", "latitude", "longitude"), "city", "left")

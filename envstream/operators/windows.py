@@ -24,6 +24,21 @@ def _tumbling(rows: DataFrame, duration: str, keys: Sequence[str],
     )
 
 
+def windows_of(rows: DataFrame, durations: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Every row with its window of each duration, and the named columns."""
+    choices = F.array(*[
+        F.struct(F.lit(d).alias("label"), F.lit(times.duration_seconds(d)).alias("seconds"))
+        for d in durations])
+    return (
+        rows.withColumn("duration", F.explode(choices))
+        .withColumn("window_start", times.bucket_start(F.col("event_time"), F.col("duration.seconds")))
+        .select(
+            "window_start", F.timestamp_micros(F.unix_micros("window_start") + F.col(
+                "duration.seconds").cast("bigint") * 1_000_000).alias("window_end"),
+            F.col("duration.label").alias("window_duration"), *columns)
+    )
+
+
 def _all_durations(rows: DataFrame, durations: Sequence[str], keys: Sequence[str],
                    measures: Sequence[Column]) -> DataFrame:
     """Every granularity from one read and one shuffle.

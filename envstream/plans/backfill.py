@@ -1,25 +1,76 @@
 """Building the lakehouse layers from raw batches.
 
-Layers are appended once per batch id. Gold comes from silver, not from the batch alone: every window
-that a reading of the batch falls into is computed anew from all silver readings of its days, without
-those delivered before. So batches may share windows and messages, and a batch may be repeated.
+Layers are appended once per batch id. Gold comes from silver, not from the batch alone, so batches may
+share windows and messages, and a batch may be repeated. A message counts with the earliest of its
+readings, whichever batch brought it. An index tells in which reading a message was met before: it is
+kept in buckets by message id, and a batch opens its own buckets only. Readings that give way are
+noted by their day. So a batch knows every window that it changes, also those that lose a reading, and
+computes them anew from the silver readings of their days.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from envstream import contracts, rules
-from envstream.functions import times
+from envstream.functions import keys, times
 from envstream.operators import dedup, peaks, windows
 from envstream.plans.flows import AirFlow, WeatherFlow
+from envstream.sinks import catalog
 from envstream.sinks import tables as sinks
 from envstream.sources import tables as sources
 
+#: Buckets of the index of readings; a table keeps the number it began with.
+BUCKETS = 32
+
+
+@dataclass(frozen=True)
+class Kind:
+    """What a flow's gold is made of."""
+
+    name: str
+    silver: contracts.TableContract
+    gold: contracts.TableContract
+    series: tuple[str, ...]
+    measured: tuple[str, ...]
+    average: str
+    dedup_key: Callable[[], Column]
+    averages: Callable[[DataFrame, Sequence[str]], DataFrame]
+
+    @property
+    def key(self) -> list[str]:
+        return ["window_start", "window_end", *self.series, "window_duration"]
+
+    @property
+    def index(self) -> contracts.TableContract:
+        return contracts.reading_index(self.name, ", ".join(f"{c} string" for c in self.series))
+
+    @property
+    def displaced(self) -> contracts.TableContract:
+        return contracts.displaced_readings(self.name)
+
+
+def _air_averages(rows: DataFrame, durations: Sequence[str]) -> DataFrame:
+    return windows.with_status(windows.air_averages(dedup.dedup_air(rows), durations))
+
+
+def _weather_averages(rows: DataFrame, durations: Sequence[str]) -> DataFrame:
+    return windows.weather_averages(dedup.dedup_weather(rows), durations)
+
+
+AIR = Kind(
+    "air", contracts.SILVER_AIR, contracts.GOLD_AIR, ("city", "parameter"), ("value",),
+    "rolling_avg", keys.air_dedup_key, _air_averages)
+WEATHER = Kind(
+    "weather", contracts.SILVER_WEATHER, contracts.GOLD_WEATHER, ("city",),
+    ("source", "temperature_c", "humidity_pct", "wind_speed_ms"), "avg_temperature",
+    keys.weather_dedup_key, _weather_averages)
+
 
 def _around(days: Sequence[str], durations: Sequence[str]) -> list[str]:
     """The days and those that a window over one of them may reach into."""
@@ -28,63 +79,138 @@ def _around(days: Sequence[str], durations: Sequence[str]) -> list[str]:
                    for day in days for step in range(-reach, reach + 1)})
 
 
-def _revised(spark: SparkSession, root: str, merge_id: str, table: contracts.TableContract,
-             key: Sequence[str], metrics, durations: Sequence[str]) -> DataFrame:
-    """Windows that the batch touched, from all silver readings in them."""
-    batch = sinks.appended(spark, table, root, merge_id)
-    partition = table.partitions[0]  # the day
-    days = [row[0] for row in batch.select(F.col(partition).cast("string")).distinct().collect()]
-    readings = sources.read_days(spark, f"{root}/{table.location}", table, _around(days, durations))
-    touched = metrics(batch).select(*key)
-    return windows.with_window_date(metrics(readings).join(touched, list(key), "left_semi"))
+def _values(rows: DataFrame, column: str) -> list[str]:
+    return [row[0] for row in rows.select(F.col(column).cast("string")).distinct().collect()]
+
+
+def _changed_readings(batch: DataFrame, kind: Kind, root: str, merge_id: str) -> DataFrame:
+    """Time and series of all readings that the batch brings or displaces; updates index and notes.
+
+    ``batch`` has the named readings' ``dedup_key``, and null for others: these are told by their time,
+    so they displace nothing.
+    """
+    spark = batch.sparkSession
+    place = ["event_time", *kind.series]
+    bucket = F.pmod(F.xxhash64("dedup_key"), F.lit(BUCKETS)).cast("int")
+    named = batch.filter(F.col("dedup_key").isNotNull()).select("dedup_key", *place).distinct().withColumn(
+        "bucket", bucket)
+    first = dedup.earliest_by(named, ["dedup_key"], F.col("event_time"))
+    sinks.append_layer(first, kind.index, root, merge_id)
+    buckets = _values(first, "bucket")  # at most BUCKETS
+    known = sources.read_folders(spark, f"{root}/{kind.index.location}", kind.index, buckets)
+    met = known.join(first.select("dedup_key"), "dedup_key", "left_semi").select("dedup_key", *place)
+    every = met.unionByName(named.select("dedup_key", *place)).distinct()
+    earliest = every.groupBy("dedup_key").agg(F.min("event_time").alias("earliest"))
+    lost = every.join(earliest, "dedup_key").filter(F.col("event_time") > F.col("earliest")).persist()
+    sinks.append_layer(
+        lost.select("dedup_key", "event_time", F.to_date("event_time").alias("event_date")).distinct(),
+        kind.displaced, root, merge_id)
+    return batch.select(*place).unionByName(lost.select(*place))
+
+
+def _touched_windows(readings: DataFrame, kind: Kind, durations: Sequence[str]) -> DataFrame:
+    """Keys and days of the windows that the readings fall into, in all lengths."""
+    return windows.with_window_date(
+        windows.windows_of(readings, durations, kind.series).select(*kind.key)).distinct()
+
+
+def _write_gold(silver: DataFrame, kind: Kind, root: str, merge_id: str,
+                durations: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Merges all windows that a batch of silver readings changes; returns their keys and days."""
+    spark = silver.sparkSession
+    has_id = F.length(F.coalesce("message_id", F.lit(""))) > 0
+    batch = silver.select("event_time", *kind.series, F.when(has_id, kind.dedup_key()).alias("dedup_key"))
+    touched = _touched_windows(
+        _changed_readings(batch, kind, root, merge_id), kind, durations).persist()
+    days = _values(touched, "window_date")
+    read = _around(days, durations)
+    readings = sources.read_folders(spark, f"{root}/{kind.silver.location}", kind.silver, read)
+    gone = sources.read_folders(spark, f"{root}/{kind.displaced.location}", kind.displaced, read).select(
+        F.col("dedup_key").alias("_key"), F.col("event_time").alias("_time"))
+    count = readings.select("event_time", "message_id", *kind.series, *kind.measured).join(
+        gone.distinct(), (kind.dedup_key() == F.col("_key")) & (F.col("event_time") == F.col("_time")),
+        "left_anti")
+    found = kind.averages(count, durations)
+    # A window that lost its last reading has no averages, and leaves.
+    revised = touched.join(found, kind.key, "left")
+    sinks.merge_by_key(
+        revised, kind.gold, root, kind.key, merge_id, keep=F.col(kind.average).isNotNull())
+    return touched, days
+
+
+def _write_peaks(touched: DataFrame, days: list[str], root: str, merge_id: str) -> None:
+    """Compares the windows of the touched days again, and the first one after them per series.
+
+    Of other days only the first and last windows are read, from a table of their own.
+    """
+    spark = touched.sparkSession
+    key = list(contracts.AIR_METRIC_KEY)
+    gold = sources.read_folders(spark, f"{root}/{contracts.GOLD_AIR.location}", contracts.GOLD_AIR, days)
+    sinks.replace_days(peaks.window_ends(gold), contracts.WINDOW_ENDS_AIR, root, days)
+    found = windows.with_window_date(peaks.peaks_of_changes(peaks.with_neighbours(
+        gold, window_ends(spark, root, days))))
+    emptied = touched.join(gold.select(*key), key, "left_anti")
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in contracts.GOLD_PEAKS.schema.fields
+               if f.name not in (*key, "window_date")]
+    sinks.merge_by_key(
+        found.unionByName(emptied.select(*key, "window_date", *nothing)), contracts.GOLD_PEAKS, root, key,
+        merge_id, keep=F.col("is_peak"))
+
+
+def window_ends(spark: SparkSession, root: str, days: Sequence[str]) -> DataFrame:
+    """First and last windows of every series on each day but the given ones."""
+    ends = contracts.WINDOW_ENDS_AIR
+    others = ~F.col("window_date").isin([date.fromisoformat(day) for day in days])
+    return sources.read_or_empty(spark, f"{root}/{ends.location}", ends.schema, others)
+
+
+def _write(silver: DataFrame, kind: Kind, root: str, merge_id: str, durations: Sequence[str],
+           database: str | None) -> None:
+    touched, days = _write_gold(silver, kind, root, merge_id, durations)
+    tables = [kind.gold]
+    if days and kind is AIR:
+        _write_peaks(touched, days, root, merge_id)
+        tables.append(contracts.GOLD_PEAKS)
+    if database is not None:
+        for table in tables:
+            kept = sources.read_folders(silver.sparkSession, f"{root}/{table.location}", table, days)
+            catalog.add_partitions(kept, table, database)
+    touched.unpersist()
+
+
+def _append(flow: AirFlow | WeatherFlow, tables: Sequence[contracts.TableContract], root: str,
+            merge_id: str, database: str | None) -> DataFrame:
+    """Appends bronze, rejects and silver; returns the silver rows, held until they are let go."""
+    bronze, rejects, silver = tables
+    held = flow.silver.persist()
+    for rows, table in ((flow.bronze, bronze), (flow.rejects, rejects), (held, silver)):
+        sinks.append_layer(rows, table, root, merge_id, balanced=table is not bronze)
+        if database is not None:
+            catalog.add_partitions(rows, table, database, merge_id)
+    return held
 
 
 def write_air(raw: DataFrame, root: str, merge_id: str,
-              durations: Sequence[str] = rules.WINDOW_DURATIONS) -> None:
+              durations: Sequence[str] = rules.WINDOW_DURATIONS, database: str | None = None) -> None:
     """Bronze, rejects, silver, metrics and peaks of one raw batch.
 
-    A revised window is compared again with the one before it, and so is the one after it; windows
-    that are no peaks any more leave the table of peaks.
+    Windows that are no peaks any more, or have no readings any more, leave their tables. New
+    partitions are added to the tables of ``database``, if one is given.
     """
-    spark = raw.sparkSession
-    flow = AirFlow(raw)
-    sinks.append_layer(flow.bronze, contracts.BRONZE_AIR, root, merge_id, balanced=False)
-    sinks.append_layer(flow.rejects, contracts.REJECTS_AIR, root, merge_id)
-    sinks.append_layer(flow.silver, contracts.SILVER_AIR, root, merge_id)
-
-    def metrics(rows: DataFrame) -> DataFrame:
-        return windows.with_status(windows.air_averages(dedup.dedup_air(rows.select(
-            "event_time", "city", "parameter", "value", "message_id")), durations))
-
-    key = contracts.AIR_METRIC_KEY
-    revised = _revised(spark, root, merge_id, contracts.SILVER_AIR, key, metrics, durations)
-    sinks.merge_by_key(revised, contracts.GOLD_AIR, root, key, merge_id)
-    touched = metrics(sinks.appended(spark, contracts.SILVER_AIR, root, merge_id)).select(
-        *key, F.lit(True).alias("_touched"))
-    gold = sources.read_or_empty(
-        spark, f"{root}/{contracts.GOLD_AIR.location}", contracts.GOLD_AIR.schema)
-    marked = gold.join(touched, list(key), "left").withColumn(
-        "_changed", F.coalesce("_touched", F.lit(False)))
-    found = peaks.peaks_of_changes(marked.select(*contracts.AIR_METRIC_COLUMNS, "_changed"))
-    sinks.merge_by_key(
-        windows.with_window_date(found), contracts.GOLD_PEAKS, root, key, merge_id,
-        keep=F.col("is_peak"))
+    silver = _append(AirFlow(raw), (
+        contracts.BRONZE_AIR, contracts.REJECTS_AIR, contracts.SILVER_AIR), root, merge_id, database)
+    _write(silver, AIR, root, merge_id, durations, database)
+    silver.unpersist()
 
 
 def write_weather(raw: DataFrame, root: str, merge_id: str,
-                  durations: Sequence[str] = rules.WINDOW_DURATIONS) -> None:
-    """Bronze, rejects, silver and metrics of one raw batch."""
-    spark = raw.sparkSession
-    flow = WeatherFlow(raw)
-    sinks.append_layer(flow.bronze, contracts.BRONZE_WEATHER, root, merge_id, balanced=False)
-    sinks.append_layer(flow.rejects, contracts.REJECTS_WEATHER, root, merge_id)
-    sinks.append_layer(flow.silver, contracts.SILVER_WEATHER, root, merge_id)
-
-    def metrics(rows: DataFrame) -> DataFrame:
-        return windows.weather_averages(dedup.dedup_weather(rows.select(
-            "event_time", "city", "source", "message_id", "temperature_c", "humidity_pct",
-            "wind_speed_ms")), durations)
-
-    key = contracts.WEATHER_METRIC_KEY
-    revised = _revised(spark, root, merge_id, contracts.SILVER_WEATHER, key, metrics, durations)
-    sinks.merge_by_key(revised, contracts.GOLD_WEATHER, root, key, merge_id)
+                  durations: Sequence[str] = rules.WINDOW_DURATIONS, database: str | None = None) -> None:
+    """Bronze, rejects, silver and metrics of one raw batch.
+
+    Silver holds no duplicates within a batch.
+    """
+    silver = _append(WeatherFlow(raw), (
+        contracts.BRONZE_WEATHER, contracts.REJECTS_WEATHER, contracts.SILVER_WEATHER), root, merge_id,
+        database)
+    _write(silver, WEATHER, root, merge_id, durations, database)
+    silver.unpersist()

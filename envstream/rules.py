@@ -62,6 +62,9 @@ CHANGE_STATE_TTL = "24 hours"
 CHANGE_STATE_CAPACITY = 5000
 RETENTION_DAYS = 90
 
+# A series without any window for so long is compared with nothing when it comes back.
+SERIES_LIFETIME = "60 days"
+
 # JDBC sink settings.
 JDBC_BATCH_SIZE = 1000
 JDBC_ISOLATION_LEVEL = "READ_COMMITTED"

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from envstream import contracts, rules
@@ -35,9 +36,12 @@ def columns_table(spark: SparkSession, schema: StructType) -> DataFrame:
 
 def create_table_sql(table: contracts.TableContract, location: str,
                      database: str = DATABASE, schema: StructType | None = None) -> str:
-    columns = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in (schema or table.schema).fields)
-    partitioned = f" PARTITIONED BY ({', '.join(table.partitions)})" if table.partitions else ""
+    fields = [(f.name, f.dataType.simpleString()) for f in (schema or table.schema).fields]
+    if table.appended:
+        fields.append((contracts.BATCH_COLUMN, "string"))
+    columns = ", ".join(f"`{name}` {kind}" for name, kind in fields)
+    stored = table.stored_partitions
+    partitioned = f" PARTITIONED BY ({', '.join(stored)})" if stored else ""
     safe_location = location.replace("'", "''")
     return (
         f"CREATE TABLE IF NOT EXISTS {database}.{table.name} ({columns}) USING PARQUET"
@@ -59,11 +63,36 @@ def register(spark: SparkSession, root: str, database: str = DATABASE,
         spark.sql(create_table_sql(table, files.absolute(spark, path), database, schema))
 
 
+def add_partitions(rows: DataFrame, table: contracts.TableContract, database: str = DATABASE,
+                   merge_id: str | None = None) -> None:
+    """Makes the partitions of a batch visible that was just written. Nothing is listed.
+
+    ``rows`` are the batch's; the partitions are the combinations of values among them, which the batch
+    wrote one folder each for. ``merge_id`` goes with layers that batches are appended to.
+    """
+    columns = [F.col(c).cast("string").alias(c) for c in table.partitions]
+    found = rows.select(*columns).distinct().collect()
+    extra = {contracts.BATCH_COLUMN: merge_id} if table.appended else {}
+    for start in range(0, len(found), 100):
+        parts = []
+        for row in found[start:start + 100]:
+            values = {**row.asDict(), **extra}
+            parts.append("PARTITION (" + ", ".join(
+                f"{name} = {_quoted(value)}" for name, value in values.items()) + ")")
+        rows.sparkSession.sql(
+            f"ALTER TABLE {database}.{table.name} ADD IF NOT EXISTS {' '.join(parts)}")
+
+
+def _quoted(value: str | None) -> str:
+    escaped = None if value is None else value.replace("\\", "\\\\").replace("'", "\\'")
+    return "NULL" if value is None else f"'{escaped}'"
+
+
 def sync_partitions(spark: SparkSession, database: str = DATABASE,
                     tables: Sequence[contracts.TableContract] = contracts.TABLES) -> None:
-    """Makes partitions written since the last sync visible."""
+    """Finds all partitions of the tables by listing them, such as those that streams have written."""
     for table in tables:
-        if table.partitions:
+        if table.stored_partitions:
             spark.catalog.recoverPartitions(f"{database}.{table.name}")
 
 

@@ -1,12 +1,11 @@
-"""Parquet table writes: layer append, merge by natural key, snapshots of carried state."""
+"""Parquet table writes: layer append and merge by natural key."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from envstream import contracts
 from envstream.operators import dedup
@@ -15,41 +14,34 @@ from envstream.sources import files, tables
 
 def append_layer(rows: DataFrame, table: contracts.TableContract, root: str, merge_id: str,
                  balanced: bool = True) -> None:
-    """Appends a batch to a layer, once: a repeated ``merge_id`` adds nothing.
+    """Appends a batch to a layer, once: the same batch under the same ``merge_id`` adds nothing.
 
-    Rebalancing on the partition columns gives every partition few files, and still splits a
+    The id is the last partition column on disk, and the write replaces the partitions of its own id
+    only. Rebalancing on the partition columns gives every partition few files, and still splits a
     partition that is much larger than the rest. It costs a shuffle, so rows that already lie
-    together, such as raw records in arrival order, go without. The batch is written aside and its
-    files, named after the batch, are then moved into the table. A crash leaves the rest to the
-    repeated run; a mark tells that all of them were moved.
+    together, such as raw records in arrival order, go without.
     """
-    spark = rows.sparkSession
-    path, staging, mark = (
-        f"{root}/{folder}" for folder in (
-            table.location, f"_appending/{table.location}/{merge_id}",
-            f"_appended/{table.location}/{merge_id}"))
-    if files.exists(spark, mark):
-        return
-    if not files.exists(spark, f"{staging}/_SUCCESS"):
-        rows = rows.select(*table.schema.fieldNames())
-        if balanced:
-            rows = rows.hint("rebalance", *table.partitions)
-        rows.write.mode("overwrite").partitionBy(*table.partitions).parquet(staging)
-    for name in files.data_files(spark, staging):
-        folder, _, file = name.rpartition("/")
-        files.move_into(spark, f"{staging}/{name}", f"{path}/{folder}/{merge_id}-{file}")
-    files.make_dirs(spark, mark)
-    files.delete(spark, staging)
-    files.make_dirs(spark, path)
-    spark.catalog.refreshByPath(path)
+    path = f"{root}/{table.location}"
+    rows = rows.select(*table.schema.fieldNames())
+    if balanced:
+        rows = rows.hint("rebalance", *table.partitions)
+    rows.withColumn(contracts.BATCH_COLUMN, F.lit(merge_id)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(*table.stored_partitions).parquet(path)
+    files.make_dirs(rows.sparkSession, path)
+    rows.sparkSession.catalog.refreshByPath(path)
 
 
-def appended(spark: SparkSession, table: contracts.TableContract, root: str,
-             merge_id: str) -> DataFrame:
-    """The rows that ``append_layer`` added under this id; other files are not read."""
-    file = F.col("_metadata.file_name")
-    return tables.read_or_empty(
-        spark, f"{root}/{table.location}", table.schema, file.startswith(f"{merge_id}-"))
+def replace_days(rows: DataFrame, table: contracts.TableContract, root: str, days: Sequence[str]) -> None:
+    """Writes the rows of the given days anew; days without rows leave the table."""
+    spark = rows.sparkSession
+    (partition,) = table.partitions
+    path = f"{root}/{table.location}"
+    rows.select(*table.schema.fieldNames()).hint("rebalance", partition).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    there = {row[0] for row in rows.select(F.col(partition).cast("string")).distinct().collect()}
+    for day in sorted(set(days) - there):
+        files.delete(spark, f"{path}/{partition}={day}")
+    spark.catalog.refreshByPath(path)
 
 
 def merge_by_key(batch: DataFrame, table: contracts.TableContract, root: str,
@@ -72,7 +64,7 @@ def merge_by_key(batch: DataFrame, table: contracts.TableContract, root: str,
         rows = dedup.latest_by(batch.select(*table.schema.fieldNames()), key, *order).persist()
         try:
             days = [row[0] for row in rows.select(F.col(partition).cast("string")).distinct().collect()]
-            current = tables.read_days(spark, path, table, days)
+            current = tables.read_folders(spark, path, table, days)
             merged = dedup.merge_rows(current, rows, key, *order)
             merged.select(*table.schema.fieldNames(), kept.alias("_kept")).write.mode(
                 "overwrite").parquet(staging)
@@ -86,35 +78,3 @@ def merge_by_key(batch: DataFrame, table: contracts.TableContract, root: str,
         files.delete(spark, f"{path}/{partition}={row[0]}")
     spark.catalog.refreshByPath(path)
     files.delete(spark, staging)
-
-
-class Snapshots:
-    """State carried between micro-batches: one version per batch id.
-
-    A batch reads the version before its own id and writes its own, so a repeated batch sees what
-    it saw the first time. The version before the last is kept for that, older ones go.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, schema: StructType):
-        self.spark, self.path, self.schema = spark, path, schema
-
-    def _location(self, batch_id: int) -> str:
-        return f"{self.path}/batch-{batch_id:012d}"
-
-    def _finished(self) -> list[int]:
-        names = files.child_names(self.spark, self.path)
-        ids = [int(n.removeprefix("batch-")) for n in names if n.startswith("batch-")]
-        return [i for i in ids if files.exists(self.spark, f"{self._location(i)}/_SUCCESS")]
-
-    def before(self, batch_id: int) -> DataFrame:
-        earlier = [i for i in self._finished() if i < batch_id]
-        if not earlier:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self._location(max(earlier)))
-
-    def write(self, rows: DataFrame, batch_id: int) -> None:
-        rows.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(
-            self._location(batch_id))
-        earlier = [i for i in self._finished() if i < batch_id]
-        for old in sorted(earlier)[:-1]:
-            files.delete(self.spark, self._location(old))

@@ -26,24 +26,6 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
-def move_into(spark: SparkSession, source: str, destination: str) -> None:
-    """Moves a file to a place that nothing else fills."""
-    fs, target = _resolve(spark, destination)
-    fs.mkdirs(target.getParent())
-    if not fs.rename(_resolve(spark, source)[1], target):
-        raise OSError(f"cannot move {source} to {destination}")
-
-
-def data_files(spark: SparkSession, path: str) -> list[str]:
-    """Names of the Parquet files anywhere below a folder, relative to it."""
-    fs, target = _resolve(spark, path)
-    root = fs.makeQualified(target).toString().rstrip("/") + "/"
-    found, names = fs.listFiles(target, True), []
-    while found.hasNext():
-        names.append(found.next().getPath().toString().removeprefix(root))
-    return sorted(n for n in names if n.endswith(".parquet"))
-
-
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder, sorted; none when it is missing."""
     fs, target = _resolve(spark, path)

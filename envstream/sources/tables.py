@@ -33,11 +33,11 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType,
         return spark.createDataFrame([], schema)
 
 
-def read_days(spark: SparkSession, path: str, table: contracts.TableContract,
-              days: Sequence[str]) -> DataFrame:
-    """The rows of a table's given days. Only these folders are looked at."""
-    partition = table.partitions[0]  # the day
-    folders = [f"{path}/{partition}={day}" for day in days]
+def read_folders(spark: SparkSession, path: str, table: contracts.TableContract,
+                 values: Sequence[str | int]) -> DataFrame:
+    """The rows whose first partition column has one of the values. Only these folders are looked at."""
+    partition = table.partitions[0]
+    folders = [f"{path}/{partition}={value}" for value in values]
     there = [folder for folder in folders if files.exists(spark, folder)]
     if not there:
         return spark.createDataFrame([], table.schema)

@@ -1,20 +1,16 @@
-"""foreachBatch callbacks. All writes are keyed or versioned, so a repeated batch is harmless."""
+"""foreachBatch callbacks. All writes are keyed or named after their batch, so a repeated batch is harmless."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import datetime, timezone
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, TimestampType
 
-from envstream import contracts, rules
-from envstream.functions import times
-from envstream.operators import dedup, peaks, series, serving, windows
+from envstream import contracts
+from envstream.operators import serving, windows
 from envstream.sinks import metrics as prepare
-from envstream.sinks.tables import Snapshots, merge_by_key
+from envstream.sinks.tables import append_layer, merge_by_key
 
 ServingWriter = Callable[[DataFrame, int], None]
 
@@ -25,33 +21,27 @@ def _merge_id(batch: DataFrame, batch_id: int) -> str:
     return f"{query or 'batch'}-{batch_id:012d}"
 
 
-def _newest_less(rows: DataFrame, time_column: str, duration: str) -> Column:
-    """The newest time in ``rows`` minus a duration, as a literal."""
-    newest = rows.agg(F.max(F.unix_micros(time_column))).first()[0]
-    return F.timestamp_micros(F.lit(newest - times.duration_seconds(duration) * 1_000_000))
-
-
 class AirMetricsBatch:
-    """Fans a batch of changed windows out to peaks, gold and the serving table.
+    """Fans a batch of changed windows out to gold, the revisions for peaks, and the serving table."""
 
-    Peaks compare each changed window with the one before it, and the one after it with the
-    change. The windows needed for that are carried from batch to batch as a small snapshot.
-    """
-
-    def __init__(self, root: str, state_path: str, serving_writer: ServingWriter | None = None,
-                 delay: str = rules.WATERMARK_DELAY, preview: bool = False):
-        self.root, self.state_path, self.delay = root, state_path, delay
-        self.serving_writer, self.preview = serving_writer, preview
+    def __init__(self, root: str, serving_writer: ServingWriter | None = None, preview: bool = False,
+                 with_revisions: bool = True):
+        self.root, self.serving_writer, self.preview = root, serving_writer, preview
+        self.with_revisions = with_revisions
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         changed = batch.select(*contracts.AIR_METRIC_COLUMNS).persist()
         try:
             if changed.isEmpty():
                 return
-            self._merge_peaks(changed, batch_id)
+            merge_id = _merge_id(batch, batch_id)
             merge_by_key(
                 windows.with_window_date(changed), contracts.GOLD_AIR, self.root,
-                contracts.AIR_METRIC_KEY, _merge_id(batch, batch_id))
+                contracts.AIR_METRIC_KEY, merge_id)
+            if self.with_revisions:
+                append_layer(
+                    changed.withColumn("revision", F.lit(batch_id).cast("bigint")),
+                    contracts.REVISIONS_AIR, self.root, merge_id, balanced=False)
             if self.serving_writer is not None:
                 self.serving_writer(prepare.prepare_air(changed), batch_id)
             if self.preview:
@@ -59,19 +49,25 @@ class AirMetricsBatch:
         finally:
             changed.unpersist()
 
-    def _merge_peaks(self, changed: DataFrame, batch_id: int) -> None:
-        schema = StructType([contracts.GOLD_AIR.schema[c] for c in contracts.AIR_METRIC_COLUMNS])
-        state = Snapshots(changed.sparkSession, self.state_path, schema)
-        merged = peaks.merge_recent(state.before(batch_id), changed).persist()
+
+class PeaksBatch:
+    """Merges a batch of peaks results: rows that are peaks stay, others leave the table."""
+
+    def __init__(self, root: str, preview: bool = False):
+        self.root, self.preview = root, preview
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        found = batch.select(*contracts.PEAKS.fieldNames()).persist()
         try:
-            results = windows.with_window_date(peaks.peaks_of_changes(merged))
+            if found.isEmpty():
+                return
             merge_by_key(
-                results, contracts.GOLD_PEAKS, self.root, contracts.AIR_METRIC_KEY,
-                _merge_id(changed, batch_id), keep=F.col("is_peak"))
-            closed_until = _newest_less(merged, "window_end", self.delay)
-            state.write(peaks.trim_recent(merged, closed_until), batch_id)
+                windows.with_window_date(found), contracts.GOLD_PEAKS, self.root,
+                contracts.AIR_METRIC_KEY, _merge_id(batch, batch_id), keep=F.col("is_peak"))
+            if self.preview:
+                serving.latest_peaks(found).show(truncate=False)
         finally:
-            merged.unpersist()
+            found.unpersist()
 
 
 class WeatherMetricsBatch:
@@ -92,45 +88,6 @@ class WeatherMetricsBatch:
             changed.unpersist()
 
 
-class ChangeOnlyBatch:
-    """Passes on the readings that differ from the last one of their series.
-
-    The last reading passed on of each series is carried as a snapshot, with the time it was processed.
-    A series is forgotten when nothing of it was passed on for the time to live. Only the clock decides
-    that, so no reading can make another series leave, whatever its event time.
-    """
-
-    def __init__(self, state_path: str, state_schema: StructType, key: Sequence[str],
-                 time_column: str, tie_break: Sequence[str], compared: Sequence[str],
-                 writer: ServingWriter, ttl: str = rules.CHANGE_STATE_TTL,
-                 clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc)):
-        self.state_path, self.schema, self.key = state_path, state_schema, list(key)
-        self.time_column, self.tie_break = time_column, list(tie_break)
-        self.compared, self.writer, self.ttl = list(compared), writer, ttl
-        self.clock = clock
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        now = F.lit(self.clock()).cast("timestamp")
-        columns = self.schema.fieldNames()
-        state = Snapshots(batch.sparkSession, self.state_path, StructType(
-            [*self.schema.fields, StructField("_updated_at", TimestampType())]))
-        lifetime = F.make_dt_interval(secs=F.lit(times.duration_seconds(self.ttl)))
-        carried = state.before(batch_id).filter(F.col("_updated_at") >= now - lifetime)
-        fresh = series.change_only(
-            batch.select(*columns), self.key, self.time_column, self.tie_break, self.compared)
-        known = [F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}"))
-                 for c in dict.fromkeys((*self.key, *self.compared))]
-        kept = fresh.alias("new").join(
-            carried.alias("old"), reduce(Column.__and__, known), "left_anti").persist()
-        try:
-            self.writer(kept, batch_id)
-            order = [F.col(c) for c in (self.time_column, *self.tie_break)]
-            passed = dedup.latest_by(kept, self.key, *order).withColumn("_updated_at", now)
-            state.write(dedup.merge_rows(carried, passed, self.key), batch_id)
-        finally:
-            kept.unpersist()
-
-
 def table_writer(table: contracts.TableContract, root: str, key: Sequence[str]) -> ServingWriter:
     """Serving writer that merges into a lakehouse table partitioned by window date."""
 

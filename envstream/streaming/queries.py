@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from envstream import contracts, rules
 from envstream.operators import windows
 from envstream.plans.flows import AirFlow, WeatherFlow
-from envstream.streaming.batches import AirMetricsBatch, ServingWriter, WeatherMetricsBatch
+from envstream.sources import files
+from envstream.streaming import state
+from envstream.streaming.batches import (
+    AirMetricsBatch, PeaksBatch, ServingWriter, WeatherMetricsBatch,
+)
 
 
 @dataclass(frozen=True)
@@ -27,6 +34,7 @@ class StreamSettings:
     available_now: bool = False
     delay: str = rules.WATERMARK_DELAY
     preview: bool = False
+    clean_revisions: bool = False
 
     def fresh(self, run: str) -> StreamSettings:
         return replace(self, checkpoints=f"{self.checkpoints}/{run}")
@@ -41,10 +49,13 @@ class StreamSettings:
 def start_layer(rows: DataFrame, table: contracts.TableContract,
                 settings: StreamSettings) -> StreamingQuery:
     """Appends a stream to its layer; the engine's file sink writes every row exactly once."""
+    rows = rows.select(*table.schema.fieldNames())
+    if table.appended:
+        rows = rows.withColumn(contracts.BATCH_COLUMN, F.lit("stream"))
     writer = (
-        rows.select(*table.schema.fieldNames()).writeStream.outputMode("append")
+        rows.writeStream.outputMode("append")
         .format("parquet").option("path", f"{settings.root}/{table.location}")
-        .partitionBy(*table.partitions)
+        .partitionBy(*table.stored_partitions)
     )
     return settings.prepared(writer, table.name).start()
 
@@ -71,10 +82,11 @@ def start_console(rows: DataFrame, name: str, settings: StreamSettings) -> Strea
 
 def start_air(flow: AirFlow, settings: StreamSettings,
               serving_writer: ServingWriter | None = None) -> list[StreamingQuery]:
-    """Bronze, rejects and silver as they come, and one stateful query for everything windowed."""
-    metrics = AirMetricsBatch(
-        settings.root, f"{settings.checkpoints}/air_peak_windows", serving_writer,
-        settings.delay, settings.preview)
+    """Bronze, rejects and silver as they come, and one query for everything windowed.
+
+    ``start_peaks`` goes on from the revisions that it writes.
+    """
+    metrics = AirMetricsBatch(settings.root, serving_writer, settings.preview)
     return [
         start_layer(flow.bronze, contracts.BRONZE_AIR, settings),
         start_layer(flow.rejects, contracts.REJECTS_AIR, settings),
@@ -83,6 +95,33 @@ def start_air(flow: AirFlow, settings: StreamSettings,
     ]
 
 
+def start_peaks(spark: SparkSession, settings: StreamSettings,
+                durations: Sequence[str] = rules.WINDOW_DURATIONS) -> StreamingQuery:
+    """Peaks of the windows that ``start_air`` revises, beside it or after it.
+
+    Revisions are deleted once they were processed, if ``settings`` say so.
+    """
+    path = f"{settings.root}/{contracts.REVISIONS_AIR.location}"
+    files.make_dirs(spark, path)
+    reader = spark.readStream.schema(StructType([
+        *contracts.REVISIONS_AIR.schema.fields, StructField(contracts.BATCH_COLUMN, StringType())]))
+    if settings.clean_revisions:
+        reader = reader.option("cleanSource", "delete")
+    rows = state.peak_rows(reader.parquet(path), settings.delay, durations)
+    with state.keyed_store(spark):
+        return start_batches(
+            rows, PeaksBatch(settings.root, settings.preview), "air_peaks", settings)
+
+
+def start_changes(readings: DataFrame, callback, name: str, settings: StreamSettings,
+                  key: Sequence[str], time_column: str, tie_break: Sequence[str],
+                  compared: Sequence[str], ttl: str = rules.CHANGE_STATE_TTL) -> StreamingQuery:
+    """Hands on the readings that bring something new; see ``state.changed_readings``."""
+    rows = state.changed_readings(readings, key, time_column, tie_break, compared, ttl)
+    with state.keyed_store(readings.sparkSession, data_only=settings.available_now):
+        return start_batches(rows, callback, name, settings, "append")
+
+
 def start_weather(flow: WeatherFlow, settings: StreamSettings,
                   serving_writer: ServingWriter | None = None) -> list[StreamingQuery]:
     """As ``start_air``; gold holds final windows, and the serving table every revision."""

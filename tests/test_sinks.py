@@ -104,29 +104,49 @@ def test_merge_looks_at_touched_days_only(spark, monkeypatch):
     assert len(days) == 1 and days[0].endswith("window_date=2024-01-03")
 
 
-@pytest.mark.parametrize("crash_at", range(1, 4))
-def test_append_happens_once(spark, monkeypatch, crash_at):
+def test_append_happens_once(spark):
+    root, table = work_dir(spark, "t"), contracts.REVISIONS_AIR
+    rows = gold(spark, (0, "A", 1), (1, "A", 2), (2, "A", 3)).withColumn("revision", F.lit(1).cast("long"))
+
+    def stored():
+        found = read_or_empty(spark, f"{root}/{table.location}", table.schema).collect()
+        return sorted((r["city"], r["rolling_avg"]) for r in found)
+
+    tables.append_layer(rows.limit(1), table, root, "7", balanced=False)  # as if the rest was lost
+    for _ in range(2):
+        tables.append_layer(rows, table, root, "7", balanced=False)
+        assert stored() == [("A", 1.0), ("A", 2.0), ("A", 3.0)]
+    before = files.child_names(spark, f"{root}/{table.location}/merge_id=7")
+    tables.append_layer(rows.withColumn("city", F.lit("B")), table, root, "77", balanced=False)
+    assert len(stored()) == 6
+    assert files.child_names(spark, f"{root}/{table.location}/merge_id=7") == before
+
+
+def test_replaced_days(spark):
     root = work_dir(spark, "t")
-    rows = gold(spark, (0, "A", 1), (1, "A", 2), (2, "A", 3))
-    calls = {"n": 0}
-    original = files.move_into
+    days = ["2024-01-01", "2024-01-02", "2024-01-03"]
+    tables.replace_days(gold(spark, (0, "A", 1), (1, "A", 2), (2, "A", 3)), GOLD, root, [])
+    tables.replace_days(gold(spark, (1, "B", 5)), GOLD, root, days[:2])
+    assert content(spark, root) == [(1, "B", 5.0), (2, "A", 3.0)]
 
-    def failing(*arguments):
-        calls["n"] += 1
-        if calls["n"] == crash_at:
-            raise OSError("lost")
-        original(*arguments)
 
-    monkeypatch.setattr(files, "move_into", failing)
-    with pytest.raises(OSError):
-        tables.append_layer(rows, GOLD, root, "7")
-    monkeypatch.setattr(files, "move_into", original)
+def test_partitions_are_added_without_listing(spark, monkeypatch):
+    root, database = work_dir(spark, "t"), "added_test"
+    catalog.register(spark, root, database)
+    rejects = spark.createDataFrame(
+        [("x", None, None, None, None, "it's", DAY, DAY.date())], contracts.REJECTS_AIR.schema)
+    tables.append_layer(rejects, contracts.REJECTS_AIR, root, "7")
+    merge(spark, root, "0", *[(d, "A", 1) for d in range(4)])
+    monkeypatch.setattr(files, "child_names", lambda *_: pytest.fail("lists the table"))
+    monkeypatch.setattr(catalog, "sync_partitions", lambda *_: pytest.fail("lists the table"))
     for _ in range(2):
-        tables.append_layer(rows, GOLD, root, "7")
-        assert content(spark, root) == [(0, "A", 1.0), (1, "A", 2.0), (2, "A", 3.0)]
-    tables.append_layer(gold(spark, (0, "B", 4)), GOLD, root, "77")
-    assert tables.appended(spark, GOLD, root, "7").count() == 3
-    assert tables.appended(spark, GOLD, root, "77").count() == 1
+        catalog.add_partitions(gold(spark, (2, "A", 1), (3, "A", 1)), GOLD, database)
+        catalog.add_partitions(rejects, contracts.REJECTS_AIR, database, "7")
+    known = [r[0] for r in spark.sql(f"SHOW PARTITIONS {database}.{GOLD.name}").collect()]
+    assert known == ["window_date=2024-01-03", "window_date=2024-01-04"]
+    counts = {r["table_name"]: r["rows"] for r in catalog.table_counts(spark, database).collect()}
+    assert counts[GOLD.name] == 2 and counts["rejects_air_quality"] == 1
+    spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
 def test_merge_order_beats_arrival(spark):
@@ -137,20 +157,6 @@ def test_merge_order_beats_arrival(spark):
     assert content(spark, root) == [(0, "A", 5.0)]
 
 
-def test_snapshots_are_versioned(spark):
-    snapshots = tables.Snapshots(spark, work_dir(spark, "t"), contracts.struct("n int"))
-    def rows(n): return spark.createDataFrame([(n,)], "n int")
-    assert snapshots.before(0).count() == 0
-    for n in (0, 1, 3):
-        snapshots.write(rows(n), n)
-    assert [r["n"] for r in snapshots.before(3).collect()] == [1]
-    assert [r["n"] for r in snapshots.before(9).collect()] == [3]
-    snapshots.write(rows(33), 3)
-    assert [r["n"] for r in snapshots.before(4).collect()] == [33]
-    assert files.child_names(spark, snapshots.path) == [
-        "batch-000000000001", "batch-000000000003"]
-
-
 def test_panel_prunes_partitions(spark):
     root = work_dir(spark, "t")
     merge(spark, root, "0", *[(d, "A", 1) for d in range(5)])
@@ -198,7 +204,7 @@ def test_schema_inference_falls_back(spark):
 def test_table_statement():
     sql = catalog.create_table_sql(contracts.REJECTS_AIR, "file:/a'b", "db")
     assert sql.startswith("CREATE TABLE IF NOT EXISTS db.rejects_air_quality (`raw_value` string")
-    assert "PARTITIONED BY (reject_date, reject_reason)" in sql
+    assert "PARTITIONED BY (reject_date, reject_reason, merge_id)" in sql
     assert sql.endswith("LOCATION 'file:/a''b'")
 
 

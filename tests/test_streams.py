@@ -1,4 +1,5 @@
 import json
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -10,8 +11,8 @@ from envstream.plans.flows import AirFlow, WeatherFlow
 from envstream.session import work_dir
 from envstream.sources import streams
 from envstream.sources.tables import read_or_empty
-from envstream.streaming import queries
-from envstream.streaming.batches import AirMetricsBatch, ChangeOnlyBatch, table_writer
+from envstream.streaming import queries, state
+from envstream.streaming.batches import AirMetricsBatch, PeaksBatch, table_writer
 
 START = datetime(2024, 1, 1)
 
@@ -93,6 +94,7 @@ def test_open_windows_are_revised(spark):
         queries.run_to_end(queries.start_air(
             AirFlow(raw(spark, root), ["5 minutes"]), settings(root),
             table_writer(live, root, contracts.AIR_METRIC_KEY)))
+        queries.run_to_end([queries.start_peaks(spark, settings(root), ["5 minutes"])])
         peaks = table(spark, root, contracts.GOLD_PEAKS).collect()
         return {(r["window_start"] - START).total_seconds() / 60: r["delta"] for r in peaks}
 
@@ -111,29 +113,69 @@ def test_open_windows_are_revised(spark):
 
 def test_repeated_batch_changes_nothing(spark):
     root = work_dir(spark, "t")
-    callback = AirMetricsBatch(root, f"{root}/state", preview=True)
+    callback, peaks = AirMetricsBatch(root, preview=True), PeaksBatch(root, preview=True)
 
     def batch(*rows):
         full = [(START + timedelta(minutes=m), START + timedelta(minutes=m + 5), "Paris", "pm25",
-                 float(a), "OK", "5 minutes") for m, a in rows]
-        return spark.createDataFrame(
-            full, "window_start timestamp, window_end timestamp, city string, parameter string, "
-                  "rolling_avg double, status string, window_duration string")
+                 float(a), "OK", "5 minutes", 1.0, float(d), True) for m, a, d in rows]
+        return spark.createDataFrame(full, contracts.PEAKS)
 
     def state():
         return [sorted(table(spark, root, t).collect())
-                for t in (contracts.GOLD_AIR, contracts.GOLD_PEAKS)]
+                for t in (contracts.GOLD_AIR, contracts.REVISIONS_AIR, contracts.GOLD_PEAKS)]
 
-    callback(batch((0, 1), (5, 30)), 0)
-    callback(batch((5, 40), (10, 80)), 1)
+    for number, rows in enumerate([[(0, 1, 2), (5, 30, 3)], [(5, 40, 4), (10, 80, 5)]]):
+        callback(batch(*rows), number)
+        peaks(batch(*rows), number)
     once = state()
-    callback(batch((5, 40), (10, 80)), 1)
-    assert state() == once
-    assert [r["delta"] for r in once[1]] == [39.0, 40.0]
+    callback(batch((5, 40, 4), (10, 80, 5)), 1)
+    peaks(batch((5, 40, 4), (10, 80, 5)), 1)
+    assert state() == once and [len(rows) for rows in once] == [3, 4, 3]
     callback(batch(), 2)
+    peaks(batch(), 2)
     assert state() == once
 
 
+def test_peak_state_is_kept_per_series(spark):
+    """Only touched series are updated, windows leave once they are closed, and silent series at last."""
+    root, found = work_dir(spark, "t"), []
+    schema = "window_start timestamp, window_end timestamp, city string, parameter string, " \
+             "rolling_avg double, status string, window_duration string, revision long"
+
+    def send_windows(*rows):
+        spark.createDataFrame([
+            (START + timedelta(minutes=m), START + timedelta(minutes=m + 5), city, "pm25", float(a),
+             None, "5 minutes", revision) for m, city, a, revision in rows], schema).coalesce(
+            1).write.mode("append").parquet(f"{root}/in")
+
+    def run():
+        found.clear()
+        rows = state.peak_rows(
+            spark.readStream.schema(schema).parquet(f"{root}/in"), "30 minutes", ["5 minutes"], "2 days")
+        with state.keyed_store(spark):
+            query = queries.start_batches(
+                rows, lambda b, _: found.extend(b.collect()), "peaks", settings(root))
+        query.awaitTermination()
+        deltas = {(r["city"], (r["window_start"] - START).total_seconds() / 60): r["delta"] for r in found}
+        store = [p["stateOperators"][0] for p in query.recentProgress]
+        return deltas, max(s["numRowsUpdated"] for s in store), store[-1]["numRowsTotal"]
+
+    send_windows((0, "Paris", 10, 0), (5, "Paris", 99, 0), (5, "Paris", 30, 1), (0, "Rome", 1, 0))
+    assert run() == ({("Paris", 0): None, ("Paris", 5): 20.0, ("Rome", 0): None}, 2, 2)
+    # An earlier window is revised, which the one after it is compared with again.
+    send_windows((0, "Paris", 20, 2))
+    assert run() == ({("Paris", 0): None, ("Paris", 5): 10.0}, 1, 2)
+    # Much later: the last window before is still known, the one before that is not.
+    send_windows((1000, "Paris", 50, 3))
+    assert run()[0] == {("Paris", 1000): 20.0}
+    send_windows((1005, "Paris", 50, 4), (3080, "Oslo", 1, 4))
+    assert run()[2] == 3 - 1  # Rome left: its time ran out
+    send_windows((3085, "Rome", 7, 5))
+    assert run()[0] == {("Rome", 3085): None}
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") != state.STORE_SETTINGS[
+        "spark.sql.streaming.stateStore.providerClass"]
+
+
 def test_weather_gold_is_final_and_serving_is_live(spark):
     root = work_dir(spark, "t")
     live = contracts.TableContract(
@@ -154,41 +196,35 @@ def test_weather_gold_is_final_and_serving_is_live(spark):
 READINGS = "city string, event_time timestamp, n int, value double"
 
 
+def run_changes(spark, root, ttl, *rows):
+    """Numbers of the readings that one more batch hands on."""
+    kept = []
+    spark.createDataFrame(
+        [(c, None if h is None else START + timedelta(hours=h), n, v) for c, h, n, v in rows],
+        READINGS).write.mode("append").parquet(f"{root}/in")
+    stream = spark.readStream.schema(READINGS).parquet(f"{root}/in")
+    queries.start_changes(
+        stream, lambda b, _: kept.extend(r["n"] for r in b.collect()), "changes", settings(root),
+        ["city"], "event_time", ["n"], ["event_time", "value"], ttl).awaitTermination()
+    return sorted(kept)
+
+
 def test_change_only_across_batches(spark):
     root = work_dir(spark, "t")
-    kept = {}
+    first = [("Paris", 0, 2, 5.0), ("Paris", 0, 1, 5.0), ("Rome", 0, 3, 1.0), ("Rome", None, 4, None)]
+    assert run_changes(spark, root, "1 day", *first) == [1, 3, 4]
+    # A reading from the far future forgets nobody, and sensors that report in turn bring nothing new.
+    assert run_changes(spark, root, "1 day", ("Oslo", 600_000, 5, 1.0), ("Paris", 1, 6, 5.0),
+                       ("Paris", 0, 7, 5.0), ("Rome", None, 8, None)) == [5, 6]
+    assert run_changes(spark, root, "1 day", ("Paris", 0, 9, 5.0), ("Paris", 1, 10, 5.0),
+                       ("Rome", 0, 11, 2.0), ("Oslo", 600_000, 12, 1.0)) == [11]
 
-    def write(rows, batch_id):
-        kept[batch_id] = sorted(r["n"] for r in rows.collect())
 
-    clock = {"now": datetime(2026, 3, 1)}
-    callback = ChangeOnlyBatch(
-        f"{root}/state", contracts.struct(READINGS), ["city"], "event_time", ["n"],
-        ["event_time", "value"], write, clock=lambda: clock["now"])
-
-    def batch(*rows):
-        return spark.createDataFrame(
-            [(c, None if h is None else START + timedelta(hours=h), n, v) for c, h, n, v in rows],
-            READINGS)
-
-    callback(batch(("Paris", 0, 1, 5.0), ("Paris", 0, 2, 5.0), ("Rome", 0, 3, 1.0)), 0)
-    callback(batch(("Paris", 0, 4, 5.0), ("Paris", 1, 5, 5.0)), 1)
-    callback(batch(("Paris", 0, 4, 5.0), ("Paris", 1, 5, 5.0)), 1)
-    assert kept == {0: [1, 3], 1: [5]}
-    # A reading from the far future, and one without a time, forget nobody.
-    callback(batch(("Oslo", 999_999, 6, 1.0), ("Oslo", None, 7, 1.0)), 2)
-    callback(batch(("Rome", 0, 8, 1.0), ("Paris", 1, 9, 5.0)), 3)
-    assert (kept[2], kept[3]) == ([6, 7], [])
-    # Two sensors of one series report in turn.
-    callback(batch(("Bonn", 2, 10, 1.0), ("Bonn", 2, 11, 2.0), ("Bonn", 2, 12, 1.0)), 4)
-    assert kept[4] == [10, 11]
-    # After the time to live without news a series starts over.
-    clock["now"] += timedelta(hours=25)
-    callback(batch(("Rome", 0, 13, 1.0)), 5)
-    assert kept[5] == [13]
-    callback(batch(), 6)
-    state = spark.read.parquet(f"{root}/state/batch-000000000006").collect()
-    assert [r["city"] for r in state] == ["Rome"]
+def test_known_readings_expire_by_the_clock(spark):
+    root = work_dir(spark, "t")
+    for _ in range(2):
+        assert run_changes(spark, root, "1 second", ("Paris", 0, 1, 5.0)) == [1]
+        time.sleep(1.5)
 
 
 def test_one_end_stops_all(spark):

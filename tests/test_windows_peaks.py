@@ -124,36 +124,24 @@ def test_state_merge_prefers_newer_table_on_ties(spark):
     assert rows == {"Paris": 11.0, "Rome": 1.0}
 
 
-def test_changes_in_batches_equal_the_whole(spark):
-    """Revisions of open windows, batch by batch, end in what the final windows give at once."""
-    rng = random.Random(5)
-    final, recent = {}, metrics(spark)
-    flagged = {}
-    now = 0
-    for _ in range(6):
-        now += 30
-        batch = [metric(m, rng.randrange(80), city) for city in ("Paris", "Rome")
-                 for m in sorted({rng.randrange(max(0, now - 90), now) // 5 * 5
-                                  for _ in range(5)})]
-        final.update({(r[0], r[2]): r for r in batch})
-        merged = peaks.merge_recent(recent, metrics(spark, *batch)).persist()
-        for row in peaks.peaks_of_changes(merged).collect():
-            flagged[row["window_start"], row["city"]] = (row["delta"], row["is_peak"])
-        newest = max(r[1] for r in final.values())
-        closed = F.lit(newest - timedelta(hours=6))
-        recent = spark.createDataFrame(
-            peaks.trim_recent(merged, closed).collect(), METRICS)
-    whole = {(r["window_start"], r["city"]): (r["delta"], r["is_peak"])
-             for r in peaks.detect_peaks(metrics(spark, *final.values())).collect()}
-    assert flagged == whole
-
-
-def test_trim_keeps_open_windows_and_one_predecessor(spark):
-    merged = peaks.merge_recent(
-        metrics(spark), metrics(spark, *[metric(m, 1) for m in (0, 5, 10, 600, 605)]))
-    kept = peaks.trim_recent(merged, F.lit(START + timedelta(minutes=300)))
-    assert sorted((r["window_start"] - START).seconds // 60 for r in kept.collect()) == [
-        10, 600, 605]
+@pytest.mark.parametrize("seed", range(3))
+def test_days_with_their_neighbours_equal_the_whole(spark, seed):
+    """Days far apart, with gaps of many days: the ends of other days stand for all their windows."""
+    rng = random.Random(seed)
+    minutes = sorted({day * 1440 + rng.randrange(288) * 5 for day in rng.sample(range(60), 12)
+                      for _ in range(rng.randint(1, 8))})
+    rows = windows.with_window_date(metrics(spark, *[
+        metric(m, rng.randrange(80), city) for m in minutes for city in ("Paris", "Rome")
+        if rng.random() < 0.8]))
+    whole = {(r["window_start"], r["city"]): r["delta"] for r in peaks.detect_peaks(rows).collect()}
+    days = sorted({start.date() for start, _ in whole})
+    touched = rng.sample(days, 4)
+    ends = peaks.window_ends(rows).filter(~F.col("window_date").isin(touched))
+    own = rows.filter(F.col("window_date").isin(touched))
+    found = {(r["window_start"], r["city"]): r["delta"]
+             for r in peaks.peaks_of_changes(peaks.with_neighbours(own, ends)).collect()}
+    assert {k for k in whole if k[0].date() in touched} <= set(found)
+    assert all(whole[k] == delta for k, delta in found.items())
 
 
 def test_contract_columns(spark):

@@ -11,19 +11,17 @@ from pyspark.sql import functions as F
 from envstream import contracts, rules
 
 
-def _kind_test(kind: Column, allowed: Sequence[str]) -> Column:
-    """Whether a variant type name is one of the allowed JSON kinds."""
-    names = {
-        "string": ["STRING"], "integer": ["BIGINT"], "number": ["BIGINT", "DOUBLE"],
-        "null": ["VOID"],
-    }
-    test = kind.isin([name for a in allowed for name in names[a]])
-    if "number" in allowed:
-        test = test | kind.startswith("DECIMAL")
-    elif "integer" in allowed:
-        # A long integer, or one written with a zero fraction.
-        test = test | (kind.startswith("DECIMAL") & kind.endswith(",0)"))
-    return test
+# Names that parsed values have, by JSON kind. Decimals without places are integers as well.
+_KIND_NAMES = {
+    "string": ("STRING",), "integer": ("BIGINT", "DECIMAL0"), "null": ("VOID",),
+    "number": ("BIGINT", "DECIMAL0", "DECIMAL", "DOUBLE"),
+}
+
+
+def _kind_name(name: Column) -> Column:
+    """Type name of a parsed JSON value with one name each for decimals with and without places."""
+    return F.when(name.isNull(), "VOID").when(~name.startswith("DECIMAL"), name).when(
+        name.endswith(",0)"), "DECIMAL0").otherwise("DECIMAL")
 
 
 def contract_violations(raw: DataFrame, kinds: Mapping[str, Sequence[str]],
@@ -31,32 +29,33 @@ def contract_violations(raw: DataFrame, kinds: Mapping[str, Sequence[str]],
     """Adds ``violations``, the sorted broken rules of every raw text; empty when it conforms.
 
     Rules read ``not_an_object``, ``missing:<field>``, ``unknown:<field>``, ``type:<field>`` and
-    ``empty:<field>``.
+    ``empty:<field>``. Every text is parsed once, into its fields; each field meets a table of what its
+    name allows.
     """
-    present = F.json_object_keys("raw_value")
     known = F.array(*[F.lit(name) for name in kinds])
-
-    def prefixed(prefix: str, names: Column) -> Column:
-        return F.transform(names, lambda name: F.concat(F.lit(prefix), name))
-
-    rows = raw.withColumns({
-        "_keys": present, "_message": F.try_parse_json("raw_value")})
-    field_rules = []
-    for name, allowed in kinds.items():
-        value = F.variant_get("_message", f"$.{name}", "variant")
-        wrong = F.array_contains("_keys", name) & ~_kind_test(F.schema_of_variant(value), allowed)
-        field_rules.append(F.when(wrong, f"type:{name}"))
-        if name in non_empty:
-            text = F.try_variant_get("_message", f"$.{name}", "string")
-            field_rules.append(F.when(text == "", f"empty:{name}"))
-    broken = F.concat(
-        prefixed("missing:", F.array_except(known, "_keys")),
-        prefixed("unknown:", F.array_except("_keys", known)),
-        F.array_compact(F.array(*field_rules)),
-    )
-    violations = F.when(F.col("_keys").isNull(), F.array(F.lit("not_an_object"))).otherwise(
-        F.array_sort(broken))
-    return rows.withColumn("violations", violations).drop("_keys", "_message")
+    allowed = [f"{name}:{n}" for name, some in kinds.items() for kind in some for n in _KIND_NAMES[kind]]
+
+    def typed(field: Column) -> Column:
+        # Kept with the field, so that the rules find the type once.
+        return F.struct(field["key"].alias("key"), field["value"].alias("value"),
+                        F.schema_of_variant(field["value"]).alias("type"))
+
+    def rules_of(field: Column) -> Column:
+        name = field["key"]
+        empty = name.isin(list(non_empty)) & (F.try_variant_get(field["value"], "$", "string") == "")
+        broken = F.when(~name.isin(list(kinds)), "unknown:").when(
+            ~F.concat(name, F.lit(":"), _kind_name(field["type"])).isin(allowed), "type:").when(
+            empty & (field["type"] == "STRING"), "empty:")
+        return F.concat(broken, name)
+
+    rows = raw.withColumn("_fields", F.transform(
+        F.map_entries(F.from_json("raw_value", "map<string,variant>")), typed))
+    missing = F.transform(F.array_except(known, F.transform("_fields", lambda field: field["key"])),
+                          lambda name: F.concat(F.lit("missing:"), name))
+    broken = F.concat(missing, F.array_compact(F.transform("_fields", rules_of)))
+    violations = F.when(F.col("_fields").isNull(), F.array(F.lit("not_an_object"))).otherwise(
+        F.sort_array(broken))
+    return rows.withColumn("violations", violations).drop("_fields")
 
 
 def domain_rules(table: str) -> dict[str, Column]:

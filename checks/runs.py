@@ -220,7 +220,7 @@ def streamed_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
         week.write.mode("append").parquet(f"{root}/_incoming")
         raw = streams.file_stream(spark, f"{root}/_incoming")
         queries.run_to_end([queries.start_batches(
-            flow(raw).metrics, AirMetricsBatch(root), "air_metrics", _settings(root))])
+            flow(raw).live_metrics, AirMetricsBatch(root), "air_metrics", _settings(root))])
         queries.run_to_end([queries.start_peaks(spark, _settings(root))])
     return _read(spark, root, contracts.GOLD_PEAKS)
 

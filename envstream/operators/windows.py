@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import lcm
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,32 +63,53 @@ def _all_durations(rows: DataFrame, durations: Sequence[str], keys: Sequence[str
     )
 
 
+def _together(rows: DataFrame, durations: Sequence[str], keys: Sequence[str],
+              measures: Sequence[Column]) -> DataFrame:
+    """Every granularity of a stream from one aggregation.
+
+    Windows of all lengths are labels below the shortest window that holds whole ones of each, whose time
+    the state follows. A window's state so leaves with that one.
+    """
+    outer = lcm(*map(times.duration_seconds, durations))
+    columns = [c for c in rows.columns if c not in keys and c != "event_time"]
+    labelled = windows_of(rows, durations, ["event_time", *keys, *columns])
+    return labelled.groupBy(
+        F.window("event_time", f"{outer} seconds"), "window_start", "window_end", "window_duration", *keys,
+    ).agg(*measures).drop("window")
+
+
 def _rollup(rows: DataFrame, durations: Sequence[str], keys: Sequence[str],
-            measures: Sequence[Column]) -> DataFrame:
+            measures: Sequence[Column], together: bool) -> DataFrame:
+    if rows.isStreaming and together:
+        return _together(rows, durations, keys, measures)
     if rows.isStreaming:
-        # State eviction needs the window of the watermarked column itself, one per aggregation.
+        # To emit each window when it closes, the state has to follow its own time.
         parts = [_tumbling(rows, d, keys, measures) for d in durations]
         return reduce(DataFrame.unionByName, parts)
     return _all_durations(rows, durations, keys, measures)
 
 
-def air_averages(rows: DataFrame,
-                 durations: Sequence[str] = rules.WINDOW_DURATIONS) -> DataFrame:
-    """Average value per window, city and pollutant."""
+def air_averages(rows: DataFrame, durations: Sequence[str] = rules.WINDOW_DURATIONS,
+                 together: bool = False) -> DataFrame:
+    """Average value per window, city and pollutant.
+
+    ``together`` is for streams in update mode, where windows come out at every change: all lengths share
+    one aggregation then, and with it one source and one deduplication.
+    """
     averages = _rollup(
-        rows, durations, ["city", "parameter"], [F.avg("value").alias("rolling_avg")])
+        rows, durations, ["city", "parameter"], [F.avg("value").alias("rolling_avg")], together)
     return averages.select(
         "window_start", "window_end", "city", "parameter", "rolling_avg", "window_duration")
 
 
-def weather_averages(rows: DataFrame,
-                     durations: Sequence[str] = rules.WINDOW_DURATIONS) -> DataFrame:
-    """Average temperature, humidity and wind speed per window and city."""
+def weather_averages(rows: DataFrame, durations: Sequence[str] = rules.WINDOW_DURATIONS,
+                     together: bool = False) -> DataFrame:
+    """Average temperature, humidity and wind speed per window and city; see ``air_averages``."""
     averages = _rollup(rows, durations, ["city"], [
         F.avg("temperature_c").alias("avg_temperature"),
         F.avg("humidity_pct").alias("avg_humidity"),
         F.avg("wind_speed_ms").alias("avg_wind_speed"),
-    ])
+    ], together)
     return averages.select(*contracts.WEATHER_METRIC_COLUMNS)
 
 

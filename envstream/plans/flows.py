@@ -56,10 +56,18 @@ class AirFlow:
 
     @cached_property
     def metrics(self) -> DataFrame:
+        return self._averages(together=False)
+
+    @cached_property
+    def live_metrics(self) -> DataFrame:
+        """The metrics of a stream in update mode, all lengths from one aggregation."""
+        return self._averages(together=True)
+
+    def _averages(self, together: bool) -> DataFrame:
         # The metrics need few columns, so only these go through the shuffles.
         measured = self.usable.select("event_time", "city", "parameter", "value", "message_id")
         clean = quality.plausible_air(dedup.dedup_air(measured, self.delay))
-        return windows.with_status(windows.air_averages(clean, self.durations))
+        return windows.with_status(windows.air_averages(clean, self.durations, together))
 
 
 class WeatherFlow:
@@ -92,8 +100,16 @@ class WeatherFlow:
 
     @cached_property
     def metrics(self) -> DataFrame:
+        return self._averages(together=False)
+
+    @cached_property
+    def live_metrics(self) -> DataFrame:
+        """The metrics of a stream in update mode, all lengths from one aggregation."""
+        return self._averages(together=True)
+
+    def _averages(self, together: bool) -> DataFrame:
         measured = self.usable.select(
             "event_time", "city", "source", "message_id", "temperature_c", "humidity_pct",
             "wind_speed_ms")
         clean = quality.plausible_weather(dedup.dedup_weather(measured, self.delay))
-        return windows.weather_averages(clean, self.durations)
+        return windows.weather_averages(clean, self.durations, together)

@@ -91,7 +91,7 @@ def start_air(flow: AirFlow, settings: StreamSettings,
         start_layer(flow.bronze, contracts.BRONZE_AIR, settings),
         start_layer(flow.rejects, contracts.REJECTS_AIR, settings),
         start_layer(flow.silver, contracts.SILVER_AIR, settings),
-        start_batches(flow.metrics, metrics, "air_metrics", settings),
+        start_batches(flow.live_metrics, metrics, "air_metrics", settings),
     ]
 
 
@@ -134,7 +134,7 @@ def start_weather(flow: WeatherFlow, settings: StreamSettings,
     ]
     if serving_writer is not None:
         callback = WeatherMetricsBatch(serving_writer, settings.preview)
-        queries.append(start_batches(flow.metrics, callback, "weather_metrics", settings))
+        queries.append(start_batches(flow.live_metrics, callback, "weather_metrics", settings))
     return queries
 
 

@@ -61,7 +61,7 @@ def test_previous_window_reads_the_metrics_once(spark):
 @pytest.mark.parametrize("name", sorted(
     n for n in queries.QUERIES
     if not n.startswith("stream_") and n not in (
-        "gold_merge", "peaks_merge", "layers", "catalog_counts", "inferred_schema")))
+        "gold_merge", "peaks_merge", "layers", "catalog_counts", "inferred_schema", "retention_drop")))
 def test_no_python_and_no_cross_join(spark, name):
     plan = physical(queries.QUERIES[name](spark, SF_DIR))
     for forbidden in ("Python", "ArrowEval", "CartesianProduct", "Cross"):
@@ -76,3 +76,31 @@ def test_top_k_sorts_only_the_top(spark):
 def test_latest_row_is_found_before_the_shuffle(spark):
     plan = physical(queries.QUERIES["keep_latest"](spark, SF_DIR))
     assert "partial_max(struct" in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize("kind", ["air", "weather"])
+def test_live_metrics_have_one_source_and_one_deduplication(spark, tmp_path, kind):
+    from envstream.plans.flows import WeatherFlow
+    from envstream.sources import streams
+
+    (tmp_path / "in").mkdir()
+    raw = streams.file_stream(spark, f"{tmp_path}/in")
+    flow = AirFlow(raw) if kind == "air" else WeatherFlow(raw)
+
+    def counts(frame):
+        plan = frame._jdf.queryExecution().analyzed().toString()
+        return [plan.count(word) for word in ("StreamingRelation", "DeduplicateWithinWatermark", "Aggregate ")]
+
+    assert counts(flow.live_metrics) == [1, 1, 1]
+    assert counts(flow.metrics) == [2, 2, 2]
+
+
+PANELS = ("active_danger", "active_warning", "cities_impacted", "worst_offender", "recent_alerts",
+          "active_pairs", "top_offenders", "last_danger", "status_trend")
+
+
+@pytest.mark.parametrize("name", PANELS)
+def test_panels_read_the_days_they_show(spark, name):
+    plan = physical(queries.QUERIES[name](spark, SF_DIR))
+    assert re.search(r"PartitionFilters: \[isnotnull\(window_date#\d+\), \(window_date", plan)
+    assert "from_json" not in plan and "events.parquet" not in plan

@@ -211,7 +211,8 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str,
 
     ``rank_file`` is read on the driver; the table made of it depends on the vocabulary only. A null
     or empty text has no ids. Strings of special tokens are ordinary text. Repeated rows and null
-    ids of documents are encoded like others; columns other than doc_id and text are not looked at.
+    ids of documents are encoded like others; columns other than doc_id and text are not looked at. Long
+    texts are encoded whole, and an empty table gives an empty result.
     """
     with open(rank_file, "rb") as lines:
         # Plain arrays, so that reading them needs no copy of this package.

@@ -272,7 +272,9 @@ def without_repeats(docs: DataFrame, carried: Sequence[str], window: int = 35,
 
     Every word in a window of words that also starts elsewhere is removed, at all its places.
     ``kept`` has the words that stay, joined by one space; without ``joined``, a text that keeps all of
-    them stays as it is. A null text is an empty one; a text shorter than the window keeps all words. Repeated rows are documents of their own, so they remove each other.
+    them stays as it is. A null text is an empty one; a text shorter than the window keeps all words. Repeated
+    rows are documents of their own, so they remove each other. Long texts are read whole, and an empty
+    table gives an empty result.
     """
     marked = duplicate_spans(docs, window)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))

@@ -18,8 +18,8 @@ BLOCKS = CONTAINERS | frozenset((
 VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source",
                   "track", "wbr"))
 RAW = frozenset(("iframe", "noscript", "script", "style", "template", "textarea", "title", "xmp"))
-SKIPPED = frozenset(("aside", "button", "dialog", "footer", "form", "head", "menu", "nav", "noscript",
-                     "object", "option", "select", "svg"))
+SKIPPED = frozenset(("aside", "button", "dialog", "footer", "head", "menu", "nav", "noscript", "object",
+                     "option", "select", "svg"))
 ROLES = frozenset(("alert", "banner", "complementary", "contentinfo", "dialog", "form", "menu",
                    "navigation", "search"))
 STORY = frozenset(("article", "main"))
@@ -41,8 +41,6 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _PARTS = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
 _DIGITS = re.compile(r"[0-9]+")
-#: Levels that a path names, the innermost ones.
-PATH_LEVELS = 16
 #: Share of a page's unlinked text from which an element is a layout that its name only describes.
 LAYOUT, TALK_LAYOUT = 0.5, 0.9
 
@@ -66,8 +64,9 @@ class Page:
     titles: list[bool] = field(default_factory=list)
 
     def path(self, i: int) -> str:
+        """Names from the outermost container to this one."""
         names = []
-        while i >= 0 and len(names) < PATH_LEVELS:
+        while i >= 0:
             names.append(self.containers[i].name)
             i = self.containers[i].parent
         return ">".join(reversed(names))
@@ -95,16 +94,21 @@ def _set_apart(tag: str, attributes: dict[str, str], in_story: bool) -> bool:
         return True
     if tag in ("html", "body", "article", "main") or not attributes:
         return False
-    return ("hidden" in attributes or attributes.get("aria-hidden") == "true"
-            or attributes.get("role") in ROLES
+    return ("hidden" in attributes
             or "display:none" in attributes.get("style", "").replace(" ", "").lower())
 
 
 def _named_apart(tag: str, attributes: dict[str, str], in_story: bool) -> set[str]:
-    """The words in the element's names that speak of something other than the article."""
+    """What in the element's names and role speaks of something other than the article.
+
+    Whole sites lie in a form, or in an element that assistive software is to pass over for a while, so
+    these are judged by what they hold as well.
+    """
+    found = {"form"} if tag == "form" else set()
     if tag in ("html", "body", "article", "main") or not attributes:
-        return set()
-    found: set[str] = set()
+        return found
+    if attributes.get("role") in ROLES or attributes.get("aria-hidden") == "true":
+        found.add("role")
     for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split():
         parts = set(_PARTS.split(name))
         if not parts & HAVING:
@@ -141,7 +145,8 @@ def _keep(page: Page, named: list[Named], found: list[tuple[str, int, float, boo
                                     or (one.talk and one.title and one.chars >= LAYOUT * whole)
                                     or (not one.talk and one.story > 0 and not outside))
         if path and not layout and one.container >= 0:
-            layout = f"{path}>".startswith(f"{page.path(one.container)}>")
+            layout = (page.containers[one.container].depth <= path.count(">")
+                      and f"{path}>".startswith(f"{page.path(one.container)}>"))
         kept.append(layout and (one.parent < 0 or kept[one.parent]))
     for words, container, weight, title, at, _ in found:
         if at < 0 or kept[at]:

@@ -72,9 +72,9 @@ def main_text(page: Page, path: str | None) -> str:
     """Blocks below the containers with the given path, or below the page's own choice."""
     chosen: set[int] = set()
     if path:
-        # A container without a longer path ends as the whole path ends.
-        last = path.rsplit(">", 1)[-1]
-        chosen = {i for i, c in enumerate(page.containers) if c.name == last and page.path(i) == path}
+        last, depth = path.rsplit(">", 1)[-1], path.count(">")
+        chosen = {i for i, c in enumerate(page.containers)
+                  if c.depth == depth and c.name == last and page.path(i) == path}
     if not chosen:
         own = choice(page)
         if own < 0 and page.blocks:

@@ -4,7 +4,12 @@ Vectors are rotated at random, so the first d of D squared coordinate difference
 distance. Within each probed list they are read in blocks of columns. After every block a hypothesis
 test compares the partial distance with the distance that the k-th best inner product so far stands
 for, |q|^2 + |c|^2 - 2 s, and abandons the candidates that are too far with high probability. What
-survives is scored exactly, on the original vectors in double precision.
+survives is scored exactly, on the original vectors in double precision, and raises the value to beat for
+the next list. A list whose centre and radius bound all its inner products below it is not read at all.
+
+The test is linear in the partial inner product: one side is that, the other a number of the query plus
+one of the candidate. So a block of columns costs one matrix product, in single precision with a margin
+for its rounding, while many pairs are left, and is read pair by pair once few are.
 
 The lists come from k-means over a bounded sample on the driver; every row is then put into its list.
 Lists are dealt to blocks of about ``BLOCK_ROWS`` candidates, and a long list is split over several.
@@ -23,7 +28,9 @@ from pyspark.sql import functions as F
 
 from envstream.llm.common import written
 
-BLOCK_ROWS, QUERY_ROWS, PAIRS = 20_000, 4_096, 2_000_000
+BLOCK_ROWS, QUERY_ROWS = 8_192, 4_096
+#: Share of pairs left below which columns are read pair by pair; doesn't change a result.
+FEW = 0.1
 
 
 @dataclass(frozen=True)
@@ -155,34 +162,74 @@ def _routed(queries: DataFrame, centres: np.ndarray, layout: Layout, search: Sea
         run, "block int, query_id long, v array<double>, lists array<int>, beat double")
 
 
-def adaptive_scan(candidates: np.ndarray, rotated: np.ndarray, queries: np.ndarray,
-                  rotated_queries: np.ndarray, allowed: np.ndarray, beat: np.ndarray,
+class Side:
+    """Vectors of one side, with their rotated columns and sums of squares up to the end of each block.
+
+    Columns and squares are those of the vectors times ``scale``, which makes single precision enough.
+    """
+
+    def __init__(self, vectors: np.ndarray, rotation: np.ndarray, search: Search, scale: float = 1.0):
+        self.exact, size = vectors, vectors.shape[1]
+        turned = (vectors * scale) @ rotation
+        self.ends = [*range(search.columns, size, search.columns), size]
+        squares = np.cumsum(turned ** 2, axis=1)
+        self.squares = np.stack([squares[:, end - 1] for end in self.ends], axis=1)
+        self.turned = turned.astype(np.float32)
+
+    def part(self, some: np.ndarray | slice) -> Side:
+        made = object.__new__(Side)
+        made.exact, made.squares, made.turned = self.exact[some], self.squares[some], self.turned[some]
+        made.ends = self.ends
+        return made
+
+
+def adaptive_scan(queries: Side, candidates: Side, beat: np.ndarray,
                   search: Search) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, candidate, inner product) of the allowed pairs that the tests leave."""
-    size = rotated.shape[1]
-    # The squared distance at which a pair has just the inner product to beat.
-    limit = (queries ** 2).sum(axis=1)[:, None] + (candidates ** 2).sum(axis=1) - 2 * beat[:, None]
-    slack = 1e-9 * (1 + np.abs(limit))
-    width = min(search.columns, size)
-    q, c = rotated_queries[:, :width], rotated[:, :width]
-    part = (q ** 2).sum(axis=1)[:, None] + (c ** 2).sum(axis=1) - 2 * (q @ c.T)
-
-    def near(part: np.ndarray, limit: np.ndarray, slack: np.ndarray, seen: int) -> np.ndarray:
-        if seen == size:
-            return part <= limit + slack
-        wide = (1 + search.epsilon / np.sqrt(seen)) ** 2
-        return part * (size / seen) <= np.maximum(limit, 0) * wide + slack
-
-    at = np.nonzero(allowed & near(part, limit, slack, width))
-    part, limit, slack = part[at], limit[at], slack[at]
-    while width < size:
-        end = min(width + search.columns, size)
-        part = part + ((rotated_queries[at[0], width:end] - rotated[at[1], width:end]) ** 2).sum(axis=1)
-        width = end
-        kept = near(part, limit, slack, width)
-        at = (at[0][kept], at[1][kept])
-        part, limit, slack = part[kept], limit[kept], slack[kept]
-    return at[0], at[1], (queries[at[0]] * candidates[at[1]]).sum(axis=1)
+    """(query, candidate, inner product) of the pairs that the tests leave. ``beat`` is scaled as well."""
+    size = queries.ends[-1]
+    far = 1e30  # for queries without a value to beat yet
+    all_q, all_c = queries.squares[:, -1], candidates.squares[:, -1]
+    margin = 1e-5 * (1 + all_q + all_c.max(initial=0))
+    at = products = None
+    start = 0
+    for block, end in enumerate(queries.ends):
+        wide = 1.0 if end == size else (1 + search.epsilon / np.sqrt(end)) ** 2 * end / size
+        # |q - c|^2 up to here against its limit times wide, solved for the product up to here.
+        least = (queries.squares[:, block] - (all_q - 2 * np.maximum(beat, -far)) * wide) / 2 - margin
+        other = (candidates.squares[:, block] - all_c * wide) / 2
+        q, c = queries.turned[:, start:end], candidates.turned[:, start:end]
+        if at is None or len(at[0]) > FEW * len(beat) * len(all_c):
+            dense = q @ c.T if products is None else products + q @ c.T
+            enough = dense - other.astype(np.float32) >= least.astype(np.float32)[:, None]
+            if at is not None:
+                kept = np.zeros(enough.shape, bool)
+                kept[at] = True
+                enough &= kept
+            at, products = np.nonzero(enough), dense
+            found = dense[at]
+        else:
+            found = found + np.einsum("ij,ij->i", q[at[0]], c[at[1]])
+            kept = found - other[at[1]] >= least[at[0]]
+            at, found = (at[0][kept], at[1][kept]), found[kept]
+            products = None
+        if len(at[0]) <= FEW * len(beat) * len(all_c):
+            products = None
+        start = end
+    return at[0], at[1], np.einsum("ij,ij->i", queries.exact[at[0]], candidates.exact[at[1]])
+
+
+def _raised(best: np.ndarray, q: np.ndarray, score: np.ndarray) -> None:
+    """Puts new scores among the best ones of each query, which stay sorted, best first."""
+    order = np.lexsort((-score, q))
+    q, score = q[order], score[order]
+    place = np.arange(len(q)) - np.searchsorted(q, q)
+    k = best.shape[1]
+    some = place < k
+    rows, inverse = np.unique(q[some], return_inverse=True)
+    both = np.full((len(rows), 2 * k), -np.inf)
+    both[:, :k] = best[rows]
+    both[inverse, k + place[some]] = score[some]
+    best[rows] = -np.sort(-both, axis=1)[:, :k]
 
 
 def _scanned(routed: DataFrame, stored: DataFrame, query_parts: int, rotation: np.ndarray,
@@ -193,26 +240,47 @@ def _scanned(routed: DataFrame, stored: DataFrame, query_parts: int, rotation: n
     def scan(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return empty
-        candidates, queries = _matrix(left["v"]), _matrix(right["v"])
-        ids, query_ids = left["vec_id"].to_numpy(), right["query_id"].to_numpy()
-        lists, inverse = np.unique(left["list"].to_numpy(), return_inverse=True)
+        order = np.argsort(left["list"].to_numpy(), kind="stable")
+        offered, asked = _matrix(left["v"])[order], _matrix(right["v"])
+        scale = 1 / max(np.abs(offered).max(), np.abs(asked).max())
+        candidates = Side(offered, shared.value, search, scale)
+        queries = Side(asked, shared.value, search, scale)
+        ids, query_ids = left["vec_id"].to_numpy()[order], right["query_id"].to_numpy()
+        lists, edges = np.unique(left["list"].to_numpy()[order], return_index=True)
+        edges = np.append(edges, len(ids))
         probed = np.stack([np.isin(lists, some) for some in right["lists"].to_pylist()])
-        rotated, rotated_queries = candidates @ shared.value, queries @ shared.value
-        beat = right["beat"].to_numpy()
+        beat, lengths = right["beat"].to_numpy().copy(), np.sqrt((asked ** 2).sum(axis=1))
+        best = np.full((len(query_ids), search.k), -np.inf)
         found = []
-        step = max(1, PAIRS // len(ids))
-        for start in range(0, len(queries), step):
-            some = slice(start, start + step)
-            allowed = probed[some][:, inverse] & (ids != query_ids[some, None])
-            q, c, score = adaptive_scan(candidates, rotated, queries[some], rotated_queries[some],
-                                        allowed, beat[some], search)
-            order = np.lexsort((ids[c], -score, q))
-            q, c, score = q[order], c[order], score[order]
-            place = np.arange(len(q)) - np.searchsorted(q, q)
-            best = place < search.k
-            found.append((query_ids[some][q[best]], ids[c[best]], score[best]))
-        made = [np.concatenate(parts) for parts in zip(*found)]
-        return pa.table(made, names=["query_id", "vec_id", "score"])
+        for at in range(len(lists)):
+            members = slice(edges[at], edges[at + 1])
+            vectors = candidates.exact[members]
+            centre = vectors.mean(axis=0)
+            radius = np.sqrt(((vectors - centre) ** 2).sum(axis=1).max())
+            most = queries.exact @ centre + lengths * radius
+            asking = np.flatnonzero(probed[:, at] & (most >= beat - 1e-9 * (1 + np.abs(most))))
+            if not len(asking):
+                continue
+            q, c, score = adaptive_scan(
+                queries.part(asking), candidates.part(members), beat[asking] * scale * scale, search)
+            q = asking[q]
+            c = c + edges[at]
+            other = ids[c] != query_ids[q]
+            q, c, score = q[other], c[other], score[other]
+            if len(q):
+                found.append((q, c, score))
+                _raised(best, q, score)
+                beat = np.maximum(beat, best[:, -1])
+        if not found:
+            return empty
+        q, c, score = (np.concatenate(x) for x in zip(*found))
+        kept = score >= beat[q]
+        q, c, score = q[kept], c[kept], score[kept]
+        order = np.lexsort((ids[c], -score, q))
+        q, c, score = q[order], c[order], score[order]
+        some = np.arange(len(q)) - np.searchsorted(q, q) < search.k
+        return pa.table([query_ids[q[some]], ids[c[some]], score[some]],
+                        names=["query_id", "vec_id", "score"])
 
     empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()),
                       "score": pa.array([], pa.float64())})

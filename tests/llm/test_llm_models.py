@@ -70,12 +70,39 @@ def test_no_test_abandons_with_a_wide_margin():
     rotation = vectors._rotation(32, 1)
     truth = asked @ data.T
     beat = np.sort(truth, axis=1)[:, -10]
-    q, c, score = vectors.adaptive_scan(
-        data, data @ rotation, asked, asked @ rotation, np.ones((20, 300), bool), beat,
-        vectors.Search(columns=8, epsilon=50.0))
-    assert {(a, b) for a, b in zip(q, c)} >= {
-        (a, b) for a in range(20) for b in np.flatnonzero(truth[a] >= beat[a])}
-    assert np.allclose(score, truth[q, c])
+    search = vectors.Search(columns=8, epsilon=50.0)
+    for scale in (1.0, 0.01):
+        q, c, score = vectors.adaptive_scan(
+            vectors.Side(asked, rotation, search, scale), vectors.Side(data, rotation, search, scale),
+            beat * scale * scale, search)
+        assert {(a, b) for a, b in zip(q, c)} >= {
+            (a, b) for a in range(20) for b in np.flatnonzero(truth[a] >= beat[a])}
+        assert np.allclose(score, truth[q, c])
+
+
+@pytest.mark.parametrize("few", [0.0, 0.1, 1.0])
+def test_columns_in_bulk_and_pair_by_pair_agree(monkeypatch, few):
+    rng = np.random.default_rng(4)
+    data, asked = rng.standard_normal((400, 64)), rng.standard_normal((30, 64))
+    rotation, search = vectors._rotation(64, 1), vectors.Search()
+    beat = np.sort(asked @ data.T, axis=1)[:, -20]
+    beat[3] = -np.inf
+    monkeypatch.setattr(vectors, "FEW", few)
+    q, c, _ = vectors.adaptive_scan(
+        vectors.Side(asked, rotation, search), vectors.Side(data, rotation, search), beat, search)
+    found = np.zeros((30, 400), bool)
+    found[q, c] = True
+    assert found[3].all()
+    # The tests of the method, written down for every pair.
+    turned_q, turned_c = asked @ rotation, data @ rotation
+    limit = (asked ** 2).sum(axis=1)[:, None] + (data ** 2).sum(axis=1) - 2 * beat[:, None]
+    passed = np.ones((30, 400), bool)
+    for end in (16, 32, 48, 64):
+        apart = ((turned_q[:, None, :end] - turned_c[None, :, :end]) ** 2).sum(axis=2)
+        wide = 1 if end == 64 else (1 + search.epsilon / np.sqrt(end)) ** 2
+        passed &= apart * (64 / end) <= limit * wide + 1e-3
+    strict = passed & (asked @ data.T > beat[:, None] + 1e-3)
+    assert (found >= strict).all() and (found <= passed).all()
 
 
 # Classifier.
@@ -303,3 +330,33 @@ def test_title_and_lede_around_the_body_are_kept(html, path):
     assert page.path(pages.choice(page)) == path
     text = pages.main_text(page, path)
     assert text.startswith("Title\n\nlede\n\nSentence 0 ") and "Site" not in text and "Imprint" not in text
+
+
+LONG_STORY = "".join(
+    f"<p>The river walked slowly under the morning light {i} and the house was green.</p>" for i in range(8))
+
+
+@pytest.mark.parametrize("wrapper", ["form", "div aria-hidden=true", "div role=form", "section role=complementary"])
+def test_a_wrapper_around_everything_keeps_the_story(wrapper):
+    tag = wrapper.split()[0]
+    page = parse(f"<body><{wrapper}><article>{LONG_STORY}</article></{tag}></body>")
+    assert pages.main_text(page, None) == pages.main_text(parse(f"<article>{LONG_STORY}</article>"), None) != ""
+
+
+def test_small_forms_and_roles_go():
+    html = (f"<body><div class=post>{LONG_STORY}</div><form><p>Leave your name and a message here</p></form>"
+            "<div role=navigation><p>Home and away and more</p></div><p aria-hidden=true>Decoration</p></body>")
+    text = pages.main_text(parse(html), None)
+    assert text.count("river") == 8 and "Leave" not in text and "away" not in text and "Decoration" not in text
+
+
+@pytest.mark.parametrize("deep", [3, 20, 300])
+def test_paths_of_any_depth_find_the_story(deep):
+    """The host's path leads below an element with an odd name, though another one outweighs it here."""
+    opening = "".join(f"<div class=l{chr(97 + i % 26)}>" for i in range(deep))
+    usual = parse(f"<body>{opening}<div class='page sidebar-x'><div class=story>{LONG_STORY}</div></div></body>")
+    path = usual.path(pages.choice(usual))
+    assert path.count(">") == deep + 2
+    odd = (f"<body>{opening}<div class='page sidebar-x'><div class=story><p>A short one.</p></div></div>"
+           f"{'</div>' * deep}<div class=big>{LONG_STORY}</div></body>")
+    assert pages.main_text(parse(odd, path), path) == "A short one."

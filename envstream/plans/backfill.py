@@ -10,12 +10,15 @@ computes them anew from the silver readings of their days.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from envstream import contracts, rules
 from envstream.functions import keys, times
@@ -178,16 +181,31 @@ def _write(silver: DataFrame, kind: Kind, root: str, merge_id: str, durations: S
     touched.unpersist()
 
 
-def _append(flow: AirFlow | WeatherFlow, tables: Sequence[contracts.TableContract], root: str,
-            merge_id: str, database: str | None) -> DataFrame:
-    """Appends bronze, rejects and silver; returns the silver rows, held until they are let go."""
-    bronze, rejects, silver = tables
-    held = flow.silver.persist()
-    for rows, table in ((flow.bronze, bronze), (flow.rejects, rejects), (held, silver)):
-        sinks.append_layer(rows, table, root, merge_id, balanced=table is not bronze)
+@contextmanager
+def _appended(flow: AirFlow | WeatherFlow, tables: Sequence[contracts.TableContract], root: str,
+              merge_id: str, database: str | None) -> Iterator[DataFrame]:
+    """Appends bronze, rejects and silver; gives the silver rows, held until the end.
+
+    Nothing reads bronze and rejects here, so they are written beside what is made of silver. Both are
+    complete, or their error is raised, when the block ends.
+    """
+    def append(rows: DataFrame, table: contracts.TableContract) -> None:
+        sinks.append_layer(rows, table, root, merge_id)
         if database is not None:
             catalog.add_partitions(rows, table, database, merge_id)
-    return held
+
+    bronze, rejects, silver = tables
+    held = flow.silver.persist()
+    run = inheritable_thread_target(held.sparkSession)(append)
+    try:
+        with ThreadPoolExecutor(2) as beside:
+            others = [beside.submit(run, flow.bronze, bronze), beside.submit(run, flow.rejects, rejects)]
+            append(held, silver)
+            yield held
+        for other in others:
+            other.result()
+    finally:
+        held.unpersist()
 
 
 def write_air(raw: DataFrame, root: str, merge_id: str,
@@ -197,10 +215,10 @@ def write_air(raw: DataFrame, root: str, merge_id: str,
     Windows that are no peaks any more, or have no readings any more, leave their tables. New
     partitions are added to the tables of ``database``, if one is given.
     """
-    silver = _append(AirFlow(raw), (
-        contracts.BRONZE_AIR, contracts.REJECTS_AIR, contracts.SILVER_AIR), root, merge_id, database)
-    _write(silver, AIR, root, merge_id, durations, database)
-    silver.unpersist()
+    with _appended(AirFlow(raw), (
+            contracts.BRONZE_AIR, contracts.REJECTS_AIR, contracts.SILVER_AIR), root, merge_id,
+            database) as silver:
+        _write(silver, AIR, root, merge_id, durations, database)
 
 
 def write_weather(raw: DataFrame, root: str, merge_id: str,
@@ -209,8 +227,7 @@ def write_weather(raw: DataFrame, root: str, merge_id: str,
 
     Silver holds no duplicates within a batch.
     """
-    silver = _append(WeatherFlow(raw), (
-        contracts.BRONZE_WEATHER, contracts.REJECTS_WEATHER, contracts.SILVER_WEATHER), root, merge_id,
-        database)
-    _write(silver, WEATHER, root, merge_id, durations, database)
-    silver.unpersist()
+    with _appended(WeatherFlow(raw), (
+            contracts.BRONZE_WEATHER, contracts.REJECTS_WEATHER, contracts.SILVER_WEATHER), root, merge_id,
+            database) as silver:
+        _write(silver, WEATHER, root, merge_id, durations, database)

@@ -18,8 +18,8 @@ def append_layer(rows: DataFrame, table: contracts.TableContract, root: str, mer
 
     The id is the last partition column on disk, and the write replaces the partitions of its own id
     only. Rebalancing on the partition columns gives every partition few files, and still splits a
-    partition that is much larger than the rest. It costs a shuffle, so rows that already lie
-    together, such as raw records in arrival order, go without.
+    partition that is much larger than the rest. It costs a shuffle; without it every task writes a file
+    for each partition that it has rows of, which is dearer for records of many days.
     """
     path = f"{root}/{table.location}"
     rows = rows.select(*table.schema.fieldNames())

@@ -1,10 +1,13 @@
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks import feed
 from envstream import contracts
 from envstream.operators import serving, windows
+from envstream.plans import backfill
 from envstream.session import work_dir
 from envstream.sinks import catalog, jdbc, messages, tables
 from envstream.sources import files, streams
@@ -259,3 +262,19 @@ def test_weather_records(spark):
     rows = spark.createDataFrame([(None, "s", 1)], "city string, source string, humidity int")
     row = messages.weather_records(rows).first()
     assert (row["key"], row["value"]) == ("NA|s", '{"city":null,"source":"s","humidity":1}')
+
+
+def test_backfill_writes_few_files_from_many_tasks(spark):
+    root = work_dir(spark, "few-files")
+    raw = feed.raw_air(spark, "/root/testdata/sf0.001").repartition(16)
+    backfill.write_air(raw, root, "0")
+    days = list(Path(root).glob("bronze/air_quality/ingest_date=*/merge_id=*"))
+    assert days and all(len(list(day.glob("*.parquet"))) == 1 for day in days)
+
+
+def test_backfill_raises_what_fails_beside_gold(spark):
+    root = work_dir(spark, "failing-bronze")
+    raw = feed.raw_air(spark, "/root/testdata/sf0.001")
+    broken = raw.withColumn("topic", F.when(F.col("offset") >= 0, F.raise_error(F.lit("lost source"))))
+    with pytest.raises(Exception, match="lost source"):
+        backfill.write_air(broken, root, "0")

@@ -1,6 +1,6 @@
 """Keyed state in the engine: peaks of revised windows, and readings that bring something new.
 
-State lives in the state store, one entry per series or per content. A batch touches the entries of its
+State lives in the state store, one entry per series or per bucket of contents. A batch touches the entries of its
 own keys only, and what changed is all that is written when it commits. The state of a key travels with
 its rows in Arrow batches.
 """
@@ -11,10 +11,10 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import IntegralType, TimestampType
 
 from envstream import contracts, rules
 from envstream.functions import levels, times
@@ -52,6 +52,9 @@ def keyed_store(spark: SparkSession, data_only: bool = False) -> Iterator[None]:
 
 # Times are microseconds. The windows of a series lie side by side, in order.
 _WINDOWS = "starts array<long>, ends array<long>, averages array<double>"
+_CONTENT = ("_content_a", "_content_b")
+#: Buckets of contents; a stream keeps the number it began with.
+CONTENT_BUCKETS = 4096
 _COMPARED = ["start", "end", "rolling_avg", "status", "prev_rolling_avg"]
 
 
@@ -127,42 +130,69 @@ def peak_rows(revisions: DataFrame, delay: str = rules.WATERMARK_DELAY,
     return peaks.flag_peaks(timed).select(*contracts.PEAKS.fieldNames())
 
 
-def first_of_content(order: Sequence[str], ttl: int):
-    """Passes the first reading of a content, until nothing was passed for ``ttl`` milliseconds."""
-    def first(parts: list[pd.DataFrame]) -> pd.DataFrame:
-        rows = parts[0] if len(parts) == 1 else pd.concat(parts)
-        # A missing value sorts first, as in an aggregate.
-        return rows if len(rows) < 2 else rows.sort_values(list(order), na_position="first").head(1)
+def first_of_contents(columns: Sequence[str], order: Sequence[str], ttl: int):
+    """Passes the first reading of each content of a bucket, until it was passed ``ttl`` milliseconds ago.
+
+    The state holds the contents passed, by the two hashes in ``_CONTENT``, and when each was.
+    """
+    def first(rows: pd.DataFrame, held: dict[tuple[int, int], int]) -> pd.DataFrame:
+        new = rows[[pair not in held for pair in _pairs(rows)]]
+        return new if len(new) < 2 else new.sort_values(list(order)).drop_duplicates(list(_CONTENT))
 
     def update(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
         now = state.getCurrentProcessingTimeMs()
-        if state.exists and now - state.get[0] < ttl:
-            for _ in parts:
-                pass
+        held = {(a, b): at for a, b, at in zip(*state.get) if now - at < ttl} if state.exists else {}
+        if not state.hasTimedOut:
+            found = [first(part, held) for part in parts]
+            passed = found[0] if len(found) == 1 else first(pd.concat(found), held)
+            held.update(dict.fromkeys(_pairs(passed), now))
+            yield passed[list(columns)]
+        if not held:
+            state.remove()
             return
-        yield first([first([part]) for part in parts])
-        state.update((now,))
-        state.setTimeoutDuration(ttl)
+        state.update(([a for a, _ in held], [b for _, b in held], list(held.values())))
+        state.setTimeoutDuration(max(min(held.values()) + ttl - now, 1))
 
     return update
 
 
+def _pairs(rows: pd.DataFrame) -> list[tuple[int, int]]:
+    return list(zip(*[rows[name].tolist() for name in _CONTENT]))
+
+
+def _content_hash(columns: Sequence[str], salt: int) -> Column:
+    # A hash passes over missing values, so it takes in which ones are missing.
+    return F.xxhash64(F.lit(salt), *[part for c in columns for part in (F.col(c), F.col(c).isNull())])
+
+
 def changed_readings(readings: DataFrame, key: Sequence[str], time_column: str,
                      tie_break: Sequence[str], compared: Sequence[str],
                      ttl: str = rules.CHANGE_STATE_TTL) -> DataFrame:
     """The first reading of each content in its series, as the batch form has it, for streams.
 
     A content is known for ``ttl`` of processing time after it was passed on, whatever its event time;
-    it leaves the state then, and counts as new again. State is held per series and content, so a series
-    with a large share of the readings is dealt over all tasks. The stream's mode is append.
+    it leaves the state then, and counts as new again. Contents are told apart by 128 bits of hashes and
+    dealt by them into buckets: a call of Python takes a bucket, not a single content, and a series with
+    a large share of the readings is dealt over all tasks. The stream's mode is append.
     """
+    content = list(dict.fromkeys((*key, *compared)))
     stamps = [f.name for f in readings.schema.fields if isinstance(f.dataType, TimestampType)]
     numbered = readings.withColumns({c: F.unix_micros(c) for c in stamps}) if stamps else readings
+    hashed = numbered.withColumns(
+        {name: _content_hash(content, salt) for salt, name in enumerate(_CONTENT)})
+    # Whole numbers beside missing ones would become fractions in Python and lose digits, so what is
+    # missing travels as a mark of its own. False sorts first, as a missing value does in an aggregate.
+    whole = [f.name for f in numbered.schema.fields if isinstance(f.dataType, IntegralType)]
+    marked = hashed.withColumns({
+        **{f"_there_{c}": F.col(c).isNotNull() for c in whole},
+        **{c: F.coalesce(F.col(c), F.lit(0).cast(numbered.schema[c].dataType)) for c in whole}})
     order = [c for c in (time_column, *tie_break) if c not in compared] or list(key)[:1]
-    found = numbered.groupBy(*dict.fromkeys((*key, *compared))).applyInPandasWithState(
-        first_of_content(order, times.duration_seconds(ttl) * 1000), numbered.schema, "at long",
+    order = [name for c in order for name in ([f"_there_{c}", c] if c in whole else [c])]
+    columns = [c for c in marked.columns if c not in _CONTENT]
+    bucket = F.pmod(F.col(_CONTENT[0]), F.lit(CONTENT_BUCKETS))
+    found = marked.withColumn("_bucket", bucket).groupBy("_bucket").applyInPandasWithState(
+        first_of_contents(columns, order, times.duration_seconds(ttl) * 1000),
+        marked.select(*columns).schema, "a array<long>, b array<long>, at array<long>",
         "append", GroupStateTimeout.ProcessingTimeTimeout)
-    return found.withColumns({c: F.timestamp_micros(c) for c in stamps}) if stamps else found
+    filled = found.withColumns({c: F.when(F.col(f"_there_{c}"), F.col(c)) for c in whole})
+    return filled.withColumns({c: F.timestamp_micros(c) for c in stamps}).select(*readings.columns)

@@ -227,6 +227,24 @@ def test_known_readings_expire_by_the_clock(spark):
         time.sleep(1.5)
 
 
+def test_contents_share_entries_of_the_state(spark, monkeypatch):
+    from envstream.streaming import state
+
+    monkeypatch.setattr(state, "CONTENT_BUCKETS", 4)
+    root, kept, big = work_dir(spark, "t"), [], 2**53 + 1
+    rows = [("Paris", None if n % 3 == 0 else START, None if n % 5 == 0 else big + n, float(n))
+            for n in range(40)]
+    schema = READINGS.replace("n int", "n bigint")
+    spark.createDataFrame(rows + rows, schema).write.parquet(f"{root}/in")
+    query = queries.start_changes(
+        spark.readStream.schema(schema).parquet(f"{root}/in"),
+        lambda b, _: kept.extend((r["event_time"] is None, r["n"], r["value"]) for r in b.collect()),
+        "changes", settings(root), ["city"], "event_time", ["n"], ["event_time", "value"], "1 day")
+    query.awaitTermination()
+    assert sorted(kept, key=lambda r: r[2]) == [(t is None, n, v) for _, t, n, v in rows]
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 4
+
+
 def test_one_end_stops_all(spark):
     root = work_dir(spark, "t")
     send(spark, root, message(0))

@@ -13,6 +13,20 @@ from envstream import contracts, rules
 from envstream.functions import levels, times
 
 
+def steady_average(column: str) -> Column:
+    """Average of decimal readings that does not depend on the order in which tasks add them up.
+
+    Sums of doubles do, in their last digit, and it decides where a threshold is met exactly. So up to six
+    decimals are added as such, and what a reading has beyond them, mostly nothing, as doubles.
+    """
+    value = F.col(column)
+    # Too large or not a number: no decimal part, and all of it beyond.
+    decimal = F.when(value.isNotNull(), F.coalesce(
+        value.try_cast("decimal(18,6)"), F.lit(0).cast("decimal(18,6)")))
+    beyond = F.avg(value - decimal.cast("double"))
+    return F.sum(decimal).cast("double") / F.nullif(F.count(decimal), F.lit(0)) + beyond
+
+
 def _tumbling(rows: DataFrame, duration: str, keys: Sequence[str],
               measures: Sequence[Column]) -> DataFrame:
     return (
@@ -97,7 +111,7 @@ def air_averages(rows: DataFrame, durations: Sequence[str] = rules.WINDOW_DURATI
     one aggregation then, and with it one source and one deduplication.
     """
     averages = _rollup(
-        rows, durations, ["city", "parameter"], [F.avg("value").alias("rolling_avg")], together)
+        rows, durations, ["city", "parameter"], [steady_average("value").alias("rolling_avg")], together)
     return averages.select(
         "window_start", "window_end", "city", "parameter", "rolling_avg", "window_duration")
 

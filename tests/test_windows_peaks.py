@@ -148,3 +148,26 @@ def test_contract_columns(spark):
     assert peaks.detect_peaks(metrics(spark)).columns == contracts.PEAKS.fieldNames()
     assert contracts.PEAKS.fieldNames()[-1] == "is_peak"
     assert set(rules.PEAK_DELTAS) == set(rules.STATUS_THRESHOLDS) == set(rules.POLLUTANTS)
+
+
+@pytest.mark.parametrize("order", [(0.1, 0.2, 0.3, 1e15), (1e15, 0.3, 0.2, 0.1), (0.3, 1e15, 0.1, 0.2)])
+def test_average_does_not_depend_on_order(spark, order):
+    small = [v for v in order if v < 1]
+    rows = [(START, "Paris", "pm10", v) for v in small] + [
+        (START, "Rome", "pm10", v) for v in (*order, None)] + [(START, "Oslo", "pm10", None)]
+    frame = spark.createDataFrame(
+        rows, "event_time timestamp, city string, parameter string, value double").coalesce(1)
+    found = {r["city"]: r["rolling_avg"] for r in windows.air_averages(frame, ["5 minutes"]).collect()}
+    assert found["Paris"] == 0.6 / 3
+    assert found["Rome"] == pytest.approx((1e15 + 0.6) / 4, rel=1e-15)
+    assert found["Oslo"] is None
+
+
+def test_a_rise_of_exactly_the_threshold_is_a_peak(spark):
+    later = START + timedelta(minutes=5)
+    rows = [(START, v) for v in (6.9, 29.2, 3.3)] + [(later, v) for v in (36.9, 59.2, 33.3)]
+    for mixed in (rows, rows[::-1]):
+        frame = spark.createDataFrame(mixed, "event_time timestamp, value double").coalesce(1).withColumns(
+            {"city": F.lit("Paris"), "parameter": F.lit("pm10")})
+        met = windows.with_status(windows.air_averages(frame, ["5 minutes"]))
+        assert sum(r["is_peak"] for r in peaks.detect_peaks(met).collect()) == 1

@@ -19,6 +19,9 @@ from envstream.streaming.batches import (
     AirMetricsBatch, PeaksBatch, ServingWriter, WeatherMetricsBatch,
 )
 
+#: Tasks that share a partition of a layer within a batch, each with a file of its own.
+PARTITION_TASKS = 4
+
 
 @dataclass(frozen=True)
 class StreamSettings:
@@ -48,8 +51,15 @@ class StreamSettings:
 
 def start_layer(rows: DataFrame, table: contracts.TableContract,
                 settings: StreamSettings) -> StreamingQuery:
-    """Appends a stream to its layer; the engine's file sink writes every row exactly once."""
+    """Appends a stream to its layer; the engine's file sink writes every row exactly once.
+
+    Rows are dealt by partition first, each over ``PARTITION_TASKS`` tasks. Else every task would write a file
+    for each day that it has rows of, and a batch over many days tasks times days of them.
+    """
     rows = rows.select(*table.schema.fieldNames())
+    if table.partitions:
+        share = F.pmod(F.xxhash64(*rows.columns), F.lit(PARTITION_TASKS))
+        rows = rows.repartition(*table.partitions, share)
     if table.appended:
         rows = rows.withColumn(contracts.BATCH_COLUMN, F.lit("stream"))
     writer = (

@@ -1,6 +1,7 @@
 import json
 import time
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -228,8 +229,6 @@ def test_known_readings_expire_by_the_clock(spark):
 
 
 def test_contents_share_entries_of_the_state(spark, monkeypatch):
-    from envstream.streaming import state
-
     monkeypatch.setattr(state, "CONTENT_BUCKETS", 4)
     root, kept, big = work_dir(spark, "t"), [], 2**53 + 1
     rows = [("Paris", None if n % 3 == 0 else START, None if n % 5 == 0 else big + n, float(n))
@@ -245,6 +244,23 @@ def test_contents_share_entries_of_the_state(spark, monkeypatch):
     assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 4
 
 
+def test_a_day_of_a_batch_has_few_files(spark):
+    root = work_dir(spark, "t")
+    rows = [(message(n), START, "air_quality_raw", 0, n) for n in range(64)]
+    spark.createDataFrame(rows, contracts.SOURCE_RECORD).repartition(16).write.parquet(f"{root}/in")
+    name = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(128 << 20))  # a task for each file
+    try:
+        queries.start_layer(
+            AirFlow(raw(spark, root)).bronze, contracts.BRONZE_AIR, settings(root)).awaitTermination()
+    finally:
+        spark.conf.set(name, before)
+    files = list(Path(root).glob(f"{contracts.BRONZE_AIR.location}/*/*/*.parquet"))
+    assert 0 < len(files) <= queries.PARTITION_TASKS
+    assert table(spark, root, contracts.BRONZE_AIR).count() == 64
+
+
 def test_one_end_stops_all(spark):
     root = work_dir(spark, "t")
     send(spark, root, message(0))

@@ -84,6 +84,11 @@ def weather_rejects(parsed: DataFrame, rejected_at: datetime | None = None,
         rejected_at)
 
 
+def text_of_rejects(parsed: DataFrame, reason: Column) -> DataFrame:
+    """Parsed rows that carry their raw text only where there is a reason to reject them."""
+    return parsed.withColumn("raw_value", F.when(reason.isNotNull(), F.col("raw_value")))
+
+
 def usable(parsed: DataFrame, *required: str) -> DataFrame:
     """Rows that parsed and carry every required field, without the raw columns."""
     return (

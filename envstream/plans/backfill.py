@@ -43,7 +43,7 @@ class Kind:
     measured: tuple[str, ...]
     average: str
     dedup_key: Callable[[], Column]
-    averages: Callable[[DataFrame, Sequence[str]], DataFrame]
+    averages: Callable[[DataFrame, Sequence[str]], DataFrame]  # of readings without duplicates
 
     @property
     def key(self) -> list[str]:
@@ -59,11 +59,7 @@ class Kind:
 
 
 def _air_averages(rows: DataFrame, durations: Sequence[str]) -> DataFrame:
-    return windows.with_status(windows.air_averages(dedup.dedup_air(rows), durations))
-
-
-def _weather_averages(rows: DataFrame, durations: Sequence[str]) -> DataFrame:
-    return windows.weather_averages(dedup.dedup_weather(rows), durations)
+    return windows.with_status(windows.air_averages(rows, durations))
 
 
 AIR = Kind(
@@ -72,7 +68,7 @@ AIR = Kind(
 WEATHER = Kind(
     "weather", contracts.SILVER_WEATHER, contracts.GOLD_WEATHER, ("city",),
     ("source", "temperature_c", "humidity_pct", "wind_speed_ms"), "avg_temperature",
-    keys.weather_dedup_key, _weather_averages)
+    keys.weather_dedup_key, windows.weather_averages)
 
 
 def _around(days: Sequence[str], durations: Sequence[str]) -> list[str]:
@@ -86,29 +82,54 @@ def _values(rows: DataFrame, column: str) -> list[str]:
     return [row[0] for row in rows.select(F.col(column).cast("string")).distinct().collect()]
 
 
-def _changed_readings(batch: DataFrame, kind: Kind, root: str, merge_id: str) -> DataFrame:
-    """Time and series of all readings that the batch brings or displaces; updates index and notes.
+def _displaced_readings(batch: DataFrame, kind: Kind, root: str, merge_id: str) -> DataFrame | None:
+    """Time and series of readings that the batch displaces, held, if any; updates index and notes.
 
     ``batch`` has the named readings' ``dedup_key``, and null for others: these are told by their time,
-    so they displace nothing.
+    so they displace nothing. Times alone are compared over the whole index, by key. Readings are looked
+    up for keys of several times only, which are few or none, so that mostly no other shuffle is needed.
     """
     spark = batch.sparkSession
     place = ["event_time", *kind.series]
     bucket = F.pmod(F.xxhash64("dedup_key"), F.lit(BUCKETS)).cast("int")
-    named = batch.filter(F.col("dedup_key").isNotNull()).select("dedup_key", *place).distinct().withColumn(
-        "bucket", bucket)
-    first = dedup.earliest_by(named, ["dedup_key"], F.col("event_time"))
-    sinks.append_layer(first, kind.index, root, merge_id)
-    buckets = _values(first, "bucket")  # at most BUCKETS
+    named = batch.filter(F.col("dedup_key").isNotNull())
+    first = named.groupBy("dedup_key", *kind.series).agg(F.min("event_time").alias("event_time"))
+    sinks.append_layer(first.withColumn("bucket", bucket), kind.index, root, merge_id)
+    buckets = _values(named.select(bucket.alias("bucket")), "bucket")  # at most BUCKETS
     known = sources.read_folders(spark, f"{root}/{kind.index.location}", kind.index, buckets)
-    met = known.join(first.select("dedup_key"), "dedup_key", "left_semi").select("dedup_key", *place)
-    every = met.unionByName(named.select("dedup_key", *place)).distinct()
-    earliest = every.groupBy("dedup_key").agg(F.min("event_time").alias("earliest"))
-    lost = every.join(earliest, "dedup_key").filter(F.col("event_time") > F.col("earliest")).persist()
+    every = known.select("dedup_key", *place, F.lit(False).alias("_brought")).unionByName(
+        named.select("dedup_key", *place, F.lit(True).alias("_brought")))
+    earliest = every.groupBy("dedup_key").agg(
+        F.min("event_time").alias("earliest"), F.max("event_time").alias("_latest"),
+        F.max("_brought").alias("_brought"))
+    moved = earliest.filter(F.col("_brought") & (F.col("earliest") < F.col("_latest"))).select(
+        "dedup_key", "earliest").persist()
+    # Counted first, so that the size of what is held decides how the readings are looked up.
+    if moved.count() == 0:
+        moved.unpersist()
+        return None
+    lost = every.join(moved, "dedup_key").filter(F.col("event_time") > F.col("earliest")).select(
+        "dedup_key", *place).distinct().persist()
     sinks.append_layer(
         lost.select("dedup_key", "event_time", F.to_date("event_time").alias("event_date")).distinct(),
         kind.displaced, root, merge_id)
-    return batch.select(*place).unionByName(lost.select(*place))
+    moved.unpersist()
+    return lost
+
+
+def counting_readings(readings: DataFrame, gone: DataFrame, key: Column) -> DataFrame:
+    """The earliest of the readings of every key, unless it is among those that are gone.
+
+    All readings of a message but its earliest are gone, and all gone ones of a day lie among the readings
+    of the day. So when the earliest at hand is gone, the later ones are too, and one aggregate does
+    for both.
+    """
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in readings.schema.fields
+               if f.name != "event_time"]
+    both = readings.select("*", key.alias("_key"), F.lit(True).alias("_there")).unionByName(
+        gone.select("event_time", *nothing, F.col("dedup_key").alias("_key"), F.lit(False).alias("_there")))
+    first = dedup.earliest_by(both, ["_key"], F.col("event_time"), F.col("_there"))
+    return first.filter("_there").select(*readings.columns)
 
 
 def _touched_windows(readings: DataFrame, kind: Kind, durations: Sequence[str]) -> DataFrame:
@@ -123,16 +144,17 @@ def _write_gold(silver: DataFrame, kind: Kind, root: str, merge_id: str,
     spark = silver.sparkSession
     has_id = F.length(F.coalesce("message_id", F.lit(""))) > 0
     batch = silver.select("event_time", *kind.series, F.when(has_id, kind.dedup_key()).alias("dedup_key"))
-    touched = _touched_windows(
-        _changed_readings(batch, kind, root, merge_id), kind, durations).persist()
+    lost = _displaced_readings(batch, kind, root, merge_id)
+    changed = batch if lost is None else batch.unionByName(lost)
+    touched = _touched_windows(changed, kind, durations).persist()
     days = _values(touched, "window_date")
+    if lost is not None:
+        lost.unpersist()
     read = _around(days, durations)
     readings = sources.read_folders(spark, f"{root}/{kind.silver.location}", kind.silver, read)
-    gone = sources.read_folders(spark, f"{root}/{kind.displaced.location}", kind.displaced, read).select(
-        F.col("dedup_key").alias("_key"), F.col("event_time").alias("_time"))
-    count = readings.select("event_time", "message_id", *kind.series, *kind.measured).join(
-        gone.distinct(), (kind.dedup_key() == F.col("_key")) & (F.col("event_time") == F.col("_time")),
-        "left_anti")
+    gone = sources.read_folders(spark, f"{root}/{kind.displaced.location}", kind.displaced, read)
+    count = counting_readings(
+        readings.select("event_time", "message_id", *kind.series, *kind.measured), gone, kind.dedup_key())
     found = kind.averages(count, durations)
     # A window that lost its last reading has no averages, and leaves.
     revised = touched.join(found, kind.key, "left")
@@ -186,8 +208,9 @@ def _appended(flow: AirFlow | WeatherFlow, tables: Sequence[contracts.TableContr
               merge_id: str, database: str | None) -> Iterator[DataFrame]:
     """Appends bronze, rejects and silver; gives the silver rows, held until the end.
 
-    Nothing reads bronze and rejects here, so they are written beside what is made of silver. Both are
-    complete, or their error is raised, when the block ends.
+    Messages are parsed once, and held without the text of those that are no rejects. Nothing reads
+    bronze and rejects here, so they are written beside what is made of silver; rejects wait until silver
+    has filled what is held. Both are complete, or their error is raised, when the block ends.
     """
     def append(rows: DataFrame, table: contracts.TableContract) -> None:
         sinks.append_layer(rows, table, root, merge_id)
@@ -195,17 +218,21 @@ def _appended(flow: AirFlow | WeatherFlow, tables: Sequence[contracts.TableContr
             catalog.add_partitions(rows, table, database, merge_id)
 
     bronze, rejects, silver = tables
-    held = flow.silver.persist()
-    run = inheritable_thread_target(held.sparkSession)(append)
+    held = [flow.hold_parsed()]
+    if flow.silver_dedup:
+        held.append(flow.silver.persist())
+    run = inheritable_thread_target(flow.bronze.sparkSession)(append)
     try:
         with ThreadPoolExecutor(2) as beside:
-            others = [beside.submit(run, flow.bronze, bronze), beside.submit(run, flow.rejects, rejects)]
-            append(held, silver)
-            yield held
+            others = [beside.submit(run, flow.bronze, bronze)]
+            append(flow.silver, silver)
+            others.append(beside.submit(run, flow.rejects, rejects))
+            yield flow.silver
         for other in others:
             other.result()
     finally:
-        held.unpersist()
+        for rows in held:
+            rows.unpersist()
 
 
 def write_air(raw: DataFrame, root: str, merge_id: str,

@@ -41,6 +41,12 @@ class AirFlow:
     def parsed(self) -> DataFrame:
         return parse.parse_air(self.bronze)
 
+    def hold_parsed(self) -> DataFrame:
+        """Persists the parsed rows for the branches that are made from now on. Batch only."""
+        self.parsed = quality.text_of_rejects(
+            self.parsed, quality.air_reject_reason(self.strict)).persist()
+        return self.parsed
+
     @cached_property
     def usable(self) -> DataFrame:
         return quality.usable_air(self.parsed)
@@ -84,6 +90,12 @@ class WeatherFlow:
     def parsed(self) -> DataFrame:
         return parse.parse_weather(self.bronze)
 
+    def hold_parsed(self) -> DataFrame:
+        """Persists the parsed rows for the branches that are made from now on. Batch only."""
+        self.parsed = quality.text_of_rejects(
+            self.parsed, quality.weather_reject_reason(self.strict, self.strict_units)).persist()
+        return self.parsed
+
     @cached_property
     def usable(self) -> DataFrame:
         return quality.usable_weather(self.parsed, self.strict_units)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from envstream import contracts, rules
@@ -20,6 +21,12 @@ def read_columns(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     return spark.read.parquet(path).select(*columns)
 
 
+def empty(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows, and the optimizer knows it, unlike of an empty list, so joins with them are left out."""
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).filter(F.lit(False)).select(*nothing)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: StructType,
                   condition: Column | None = None) -> DataFrame:
     """Parquet table with a known schema; an empty one when nothing was written yet."""
@@ -30,7 +37,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType,
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return empty(spark, schema)
 
 
 def read_folders(spark: SparkSession, path: str, table: contracts.TableContract,
@@ -40,7 +47,7 @@ def read_folders(spark: SparkSession, path: str, table: contracts.TableContract,
     folders = [f"{path}/{partition}={value}" for value in values]
     there = [folder for folder in folders if files.exists(spark, folder)]
     if not there:
-        return spark.createDataFrame([], table.schema)
+        return empty(spark, table.schema)
     return spark.read.schema(table.schema).option("basePath", path).parquet(*there).select(
         *table.schema.fieldNames())
 

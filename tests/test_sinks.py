@@ -12,7 +12,7 @@ from envstream.session import work_dir
 from envstream.sinks import catalog, jdbc, messages, tables
 from envstream.sources import files, streams
 from envstream.sources.jdbc import JdbcSettings
-from envstream.sources.tables import read_or_empty
+from envstream.sources.tables import read_folders, read_or_empty
 
 DAY = datetime(2024, 1, 1)
 GOLD = contracts.GOLD_AIR
@@ -278,3 +278,48 @@ def test_backfill_raises_what_fails_beside_gold(spark):
     broken = raw.withColumn("topic", F.when(F.col("offset") >= 0, F.raise_error(F.lit("lost source"))))
     with pytest.raises(Exception, match="lost source"):
         backfill.write_air(broken, root, "0")
+
+
+def test_backfill_parses_a_message_once(spark):
+    root = work_dir(spark, "parsed-once")
+    made = spark.sparkContext.accumulator(0)
+    records = feed.raw_air(spark, "/root/testdata/sf0.001").limit(100).collect()
+
+    def count(text):
+        made.add(1)
+        return text
+
+    counted = F.udf(count, "string").asNondeterministic()
+    raw = spark.createDataFrame(records, contracts.RAW_ENVELOPE).withColumn(
+        "raw_value", counted("raw_value"))
+    backfill.write_air(raw, root, "0")
+    assert made.value == 2 * len(records)  # bronze, and the parsed rows that silver and rejects share
+    kept = spark.read.parquet(f"{root}/{contracts.REJECTS_AIR.location}")
+    assert kept.count() > 0 and kept.filter("raw_value IS NULL").count() == 0
+
+
+def test_missing_folders_leave_no_work(spark):
+    nothing = read_folders(spark, work_dir(spark, "missing"), contracts.GOLD_AIR, ["2024-01-01"])
+    assert nothing.schema == contracts.GOLD_AIR.schema
+    left = spark.createDataFrame([("Paris",)], "city string").join(nothing, "city", "left_anti")
+    plan = left._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_gone_readings_take_their_message_along(spark):
+    rows = spark.sql("""SELECT * FROM VALUES
+        (TIMESTAMP '2024-01-02 10:00:00', 'a', 1D), (TIMESTAMP '2024-01-02 09:00:00', 'a', 2D),
+        (TIMESTAMP '2024-01-02 10:00:00', 'b', 3D), (TIMESTAMP '2024-01-02 10:00:00', 'c', 4D)
+        AS t(event_time, message_id, value)""")
+    gone = spark.sql("""SELECT * FROM VALUES
+        ('a', TIMESTAMP '2024-01-02 10:00:00'), ('c', TIMESTAMP '2024-01-02 10:00:00')
+        AS t(dedup_key, event_time)""")
+    found = backfill.counting_readings(rows, gone, F.col("message_id"))
+    assert sorted((r.message_id, r.value) for r in found.collect()) == [("a", 2.0), ("b", 3.0)]
+
+
+def test_held_rows_are_merged_into_few_partitions(spark):
+    held = spark.range(1000).selectExpr("id % 10 AS a").distinct().persist()
+    held.count()
+    assert held.rdd.getNumPartitions() == 1
+    held.unpersist()

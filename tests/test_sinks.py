@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import feed
 from envstream import contracts
-from envstream.operators import serving, windows
+from envstream.operators import parse, serving, windows
 from envstream.plans import backfill
 from envstream.session import work_dir
 from envstream.sinks import catalog, jdbc, messages, tables
@@ -323,3 +323,16 @@ def test_held_rows_are_merged_into_few_partitions(spark):
     held.count()
     assert held.rdd.getNumPartitions() == 1
     held.unpersist()
+
+
+def test_backfill_leaves_nothing_held(spark):
+    root = work_dir(spark, "held")
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    again = F.col("offset") % 2 == 1
+    records = feed.air_records(spark, "/root/testdata/sf0.001")
+    moved = feed.air_records(spark, "/root/testdata/sf0.001", moved=True)
+    for merge_id, batch in (("0", records.filter(~again)), ("1", moved.filter(again))):
+        backfill.write_air(parse.raw_envelope(batch), root, merge_id)
+    gone = spark.read.parquet(f"{root}/{contracts.displaced_readings('air').location}")
+    assert gone.count() > 0
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before

@@ -23,11 +23,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from envstream.llm.common import written
+from envstream.llm.common import lean, written
 from envstream.llm.pieces import PieceEncoder, slices
 from envstream.llm.units import ragged
 
 
+RUN = ("run_length", "first_rank", "n", "first_sequence", "offset")
+
+
 @dataclass(frozen=True)
 class Rules:
     capacity: int = 2048
@@ -180,8 +183,8 @@ def pieces(docs: DataFrame, vocabulary: str, rules: Rules = Rules()) -> DataFram
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "task", "place"]
-    return rows.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, "
-                                "ids_crc32 long, task int, place long")
+    return rows.mapInArrow(lean(run), f"doc_id {kind}, piece int, start long, length long, "
+                                      "ids_crc32 long, task int, place long")
 
 
 def pack(docs: DataFrame, vocabulary_file: str, rules: Rules = Rules()) -> DataFrame:
@@ -199,8 +202,8 @@ def pack(docs: DataFrame, vocabulary_file: str, rules: Rules = Rules()) -> DataF
     before = by_task.select("task", "length", (F.sum("n").over(earlier) - F.col("n")).alias("before"))
     counts = found.groupBy("length").agg(F.count("*").alias("n"))  # a row per length: bounded
     plan = Plan({row.length: row.n for row in counts.collect()}, rules)
-    runs = docs.sparkSession.createDataFrame(
-        plan.runs, "run_length long, first_rank long, n long, first_sequence long, offset long")
+    columns = np.array(plan.runs, np.int64).reshape(-1, len(RUN)).T
+    runs = docs.sparkSession.createDataFrame(pa.table(dict(zip(RUN, columns))))
     ranked = found.join(before, ["task", "length"]).withColumn("rank", F.col("before") + F.col("place"))
     inside = (F.col("length") == F.col("run_length")) & (F.col("rank") >= F.col("first_rank")) & (
         F.col("rank") < F.col("first_rank") + F.col("n"))

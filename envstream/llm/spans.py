@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from envstream.llm.common import written
+from envstream.llm.common import lean, written
 from envstream.llm.units import chunks, offsets_of, ragged
 
 GRAM = 8
@@ -118,7 +118,7 @@ def _from_entries(texts: DataFrame, window: int, made, schema: str) -> DataFrame
                 sent.update(new)
                 yield made(list(new), *entries_of(list(new.values()), window))
 
-    return texts.mapInArrow(run, schema)
+    return texts.mapInArrow(lean(run), schema)
 
 
 def _index(texts: DataFrame, window: int) -> DataFrame:
@@ -201,7 +201,7 @@ def _parsed(index: DataFrame, window: int) -> DataFrame:
                 pa.array((start + last + window).astype(np.int32))], names=["key", "begin", "end"])
 
     rows = index.repartition("gram", "salt").sortWithinPartitions("gram", "salt")
-    return rows.mapInArrow(run, "key binary, begin int, end int").where(F.col("key").isNotNull())
+    return rows.mapInArrow(lean(run), "key binary, begin int, end int").where(F.col("key").isNotNull())
 
 
 def _hot_grams(texts: DataFrame, window: int) -> np.ndarray:
@@ -240,8 +240,7 @@ def _salted(texts: DataFrame, window: int) -> DataFrame:
     index, hot = _index(texts, window), _hot_grams(texts, window)
     if not len(hot):
         return index.withColumn("salt", F.lit(-1))
-    listed = texts.sparkSession.createDataFrame([(int(gram), True) for gram in hot],
-                                                "gram long, hot boolean")
+    listed = texts.sparkSession.createDataFrame(pa.table({"gram": hot, "hot": np.ones(len(hot), bool)}))
     salt = F.when(F.col("hot"), F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).otherwise(-1)
     entries = index.join(F.broadcast(listed), "gram", "left").select(
         "key", "gram", "first", "hashes", salt.alias("salt"))
@@ -283,10 +282,9 @@ def without_repeats(docs: DataFrame, carried: Sequence[str], window: int = 35,
     rows = rows.join(marked, "key", "left").select("own", "words", "copies", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part, texts in chunks(batches, 1):
             total, removed, kept = [], [], []
-            for text, copies, spans in zip(*(batch.column(i) for i in (1, 2, 3))):
-                text = text.as_py()
+            for text, copies, spans in zip(texts, part.column(2), part.column(3)):
                 words = split_words(text)
                 n = len(words)
                 gone = np.zeros(n, bool)
@@ -299,11 +297,11 @@ def without_repeats(docs: DataFrame, carried: Sequence[str], window: int = 35,
                 removed.append(n - len(left))
                 kept.append(b" ".join(left).decode("utf-8") if joined or len(left) < n else text)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
+                [part.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
                  pa.array(kept, pa.string())], names=["own", "n_words", "n_removed", "kept"])
 
     kind = rows.schema["own"].dataType.simpleString()
-    return rows.mapInArrow(run, f"own {kind}, n_words long, n_removed long, kept string")
+    return rows.mapInArrow(lean(run), f"own {kind}, n_words long, n_removed long, kept string")
 
 
 def digest(docs: DataFrame, window: int = 35) -> DataFrame:

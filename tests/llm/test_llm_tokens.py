@@ -6,10 +6,12 @@ import random
 import zlib
 
 import numpy as np
+import psutil
 import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from envstream.llm import bpe, packing, pieces, separators, units
@@ -196,3 +198,34 @@ def test_plan_size_does_not_follow_the_input():
     few = {n: 1 + n % 17 for n in range(1, 2049)}
     many = {n: 10_000 * c for n, c in few.items()}
     assert len(packing.Plan(many).runs) < 3 * len(packing.Plan(few).runs)
+
+
+def worker_memory():
+    """MB of each Python worker's own memory."""
+    found = {}
+    for process in psutil.Process().children(recursive=True):
+        try:
+            if "pyspark" in " ".join(process.cmdline()) and "python" in process.name():
+                found[process.pid] = process.memory_full_info().uss / 1e6
+        except psutil.Error:
+            pass
+    return found
+
+
+@pytest.mark.parametrize("encode", [
+    lambda docs: packing.pack(docs, LIBRARY)])
+def test_workers_give_back_their_memory(spark, documents, encode):
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(50)), lambda i: F.md5(
+        F.concat_ws("-", "id", i.cast("string")))), " ")
+    docs = spark.range(16_000, numPartitions=2).select(F.col("id").alias("doc_id"), text.alias("text"))
+    before = worker_memory()
+    assert encode(docs).count() >= 16_000
+    grown = [mb - before.get(pid, 0) for pid, mb in worker_memory().items()]
+    assert max(grown) < 110
+
+
+def test_small_tables_need_no_python_worker(spark, documents):
+    """Plans and ranks come from the driver as Arrow; rows of Python objects are made in workers."""
+    docs = documents([(1, "some words", "en", "a", 10), (2, None, None, None, None)])
+    for made in (packing.pack(docs, LIBRARY),):
+        assert "Scan ExistingRDD" not in made._jdf.queryExecution().toString()

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from envstream.llm.common import written
+from envstream.llm.common import lean, written
 from envstream.llm.pieces import PieceEncoder, slices
 
 BLOCK_IDS = 16_384
@@ -70,7 +70,7 @@ def flat_files(docs: DataFrame, vocabulary: str, separator: int,
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     name = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
-        run, f"file string, block long, content binary, doc_ids array<{name}>")
+        lean(run), f"file string, block long, content binary, doc_ids array<{name}>")
 
 
 def read_flat_files(spark: SparkSession, path: str, block_ids: int = BLOCK_IDS) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from envstream.llm.common import written
+from envstream.llm.common import lean, written
 from envstream.llm.pieces import PieceEncoder, slices
 from envstream.llm.units import offsets_of
 
@@ -89,7 +89,7 @@ def _tokenised(docs: DataFrame, vocabulary: str, end: int, raw: str) -> DataFram
     names = ["doc_id", "text_hash", "task", "place", "ids", "n_tokens"]
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
-        run, f"doc_id {kind}, text_hash long, task int, place long, ids binary, n_tokens long")
+        lean(run), f"doc_id {kind}, text_hash long, task int, place long, ids binary, n_tokens long")
 
 
 def _ranked_ids(tokens: DataFrame, size: int, raw: str) -> np.ndarray:
@@ -105,7 +105,8 @@ def _ranked_ids(tokens: DataFrame, size: int, raw: str) -> np.ndarray:
         yield pa.RecordBatch.from_arrays(
             [pa.array(used.astype(np.int64)), pa.array(counts[used])], names=["id", "n"])
 
-    found = tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    found = tokens.select("ids").mapInArrow(lean(run), "id long, n long").groupBy("id").agg(
+        F.sum("n").alias("n"))
     counts = np.zeros(size, np.int64)
     for row in found.collect():  # at most the vocabulary
         counts[row.id] = row.n
@@ -165,9 +166,9 @@ def write_tokens(docs: DataFrame, vocabulary_file: str, end: int) -> tuple[DataF
     names = ["file", "block", "first", "doc_ids", "n_ids",
              "size_control", "size_data", "control", "data"]
     blocks = written(ordered.mapInArrow(
-        run, f"file int, block long, first long, doc_ids array<{id_type}>, n_ids long, "
-             "size_control binary, size_data binary, control binary, data binary"), "token-blocks", **ROW_GROUP)
-    ranks = spark.createDataFrame([(i, int(x)) for i, x in enumerate(id_of)], "rank long, id long")
+        lean(run), f"file int, block long, first long, doc_ids array<{id_type}>, n_ids long, "
+                   "size_control binary, size_data binary, control binary, data binary"), "token-blocks", **ROW_GROUP)
+    ranks = spark.createDataFrame(pa.table({"rank": np.arange(size), "id": id_of.astype(np.int64)}))
     return written(ranks, "token-ranks"), blocks
 
 
@@ -210,7 +211,7 @@ def read_tokens(ranks: DataFrame, blocks: DataFrame, with_ids: bool = False) ->
 
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
     return blocks.select(*columns).mapInArrow(
-        run, f"doc_id {kind}, file int, start long, n_tokens long, ids_crc32 long"
+        lean(run), f"doc_id {kind}, file int, start long, n_tokens long, ids_crc32 long"
         + ", ids array<long>" * with_ids)
 
 

@@ -14,10 +14,11 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from envstream.llm import bpe, packing, pieces, separators, units
+from envstream.llm import bpe, packing, pieces, separators, tokenfiles, units
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 LIBRARY = public_tokenizers.path("byte_bpe_50k.json")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
 PATTERN = public_tokenizers.PATTERN
 
 
@@ -213,7 +214,7 @@ def worker_memory():
 
 
 @pytest.mark.parametrize("encode", [
-    lambda docs: packing.pack(docs, LIBRARY)])
+    lambda docs: tokenfiles.document_spans(docs, WORDS, 2), lambda docs: packing.pack(docs, LIBRARY)])
 def test_workers_give_back_their_memory(spark, documents, encode):
     text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(50)), lambda i: F.md5(
         F.concat_ws("-", "id", i.cast("string")))), " ")
@@ -227,5 +228,5 @@ def test_workers_give_back_their_memory(spark, documents, encode):
 def test_small_tables_need_no_python_worker(spark, documents):
     """Plans and ranks come from the driver as Arrow; rows of Python objects are made in workers."""
     docs = documents([(1, "some words", "en", "a", 10), (2, None, None, None, None)])
-    for made in (packing.pack(docs, LIBRARY),):
+    for made in (packing.pack(docs, LIBRARY), tokenfiles.write_tokens(docs, WORDS, 2)[0]):
         assert "Scan ExistingRDD" not in made._jdf.queryExecution().toString()

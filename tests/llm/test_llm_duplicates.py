@@ -133,6 +133,19 @@ def test_components(spark, edges):
     assert found == {n: r for n, r in wanted.items() if n != r}
 
 
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    """Every round is a table of links; none is made only to see that nothing changes."""
+    from envstream.llm import components as module
+
+    tables, written = [], module.written
+    monkeypatch.setattr(module, "written", lambda *args: tables.append(args) or written(*args))
+    for edges, rounds in ([(0, 3), (3, 0), (0, 4), (1, 5)], 0), ([(4, 3), (4, 1), (1, 2)], 1), ([], 0):
+        tables.clear()
+        found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+        assert found == ({3: 0, 4: 0, 5: 1} if len(edges) == 4 else {2: 1, 3: 1, 4: 1} if edges else {})
+        assert len(tables) == 1 + rounds
+
+
 # Near duplicates of the pipeline.
 
 def shingle_set(text):

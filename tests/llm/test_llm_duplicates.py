@@ -185,6 +185,59 @@ def test_near_duplicates_are_those_of_brute_force(documents, seed):
     assert {r.doc_id for r in near.first_rows(docs).collect()} == set(map(min, wanted.values()))
 
 
+def test_near_duplicates_need_no_shared_key(spark, documents):
+    """Of similarity 0.8, and by chance without a min-hash key in common: such pairs were left out."""
+    texts = ["w631 w747 w161 w242 w720 w148 w634 w891 w424", "w839 w887 w522 w789 w585 w996 w352 w280 w205"]
+    for text in texts:
+        a, b = (near.shingles(near.words_in(t)) for t in (text, text.rsplit(" ", 1)[0]))
+        assert near.near(a, b) and not set(near.band_keys(a)) & set(near.band_keys(b))
+    docs = documents([(10 * i + j, t, "en", "a", 1) for i, text in enumerate(texts)
+                      for j, t in enumerate([text, text.rsplit(" ", 1)[0], text.rsplit(" ", 2)[0]])])
+    # Without two words the similarity to the longest is 0.6, but 0.75 to the one between.
+    kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in kept) == [0, 2, 10, 12]
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_near_duplicates_are_those_of_brute_force_without_any_key(documents, monkeypatch, seed):
+    rng = random.Random(seed)
+
+    def band_keys(hashes):  # no two nodes share one
+        return hashes[0] ^ np.uint64(len(hashes)) ^ np.array(
+            [xxh64_intdigest(hashes.tobytes(), i) for i in range(near.BANDS)], np.uint64)
+
+    monkeypatch.setattr(near, "band_keys", band_keys)
+    passage = [f"p{i}" for i in range(30)]
+    texts = [t if rng.random() < .5 else " ".join([t, *passage]) for t in near_texts(seed)]
+    sets = list(map(shingle_set, texts))
+    root = groups_of(range(len(texts)), lambda a, b: 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]))
+    wanted = {}
+    for i, r in root.items():
+        wanted.setdefault(r, set()).add(i)
+    found = {}
+    docs = documents([(i, text, "en", "a", 1) for i, text in enumerate(texts)])
+    for row in near.groups(docs).collect():
+        found.setdefault(row.root, set()).add(row.doc_id)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, wanted.values()))
+    assert 10 < len(wanted) < len(set(texts)) - 5
+
+
+def test_first_hashes_of_near_sets_meet():
+    """Both bounds on nodes, where they are tight: sizes on both sides of each step, subsets and overlaps."""
+    rng = np.random.default_rng(6)
+    for size in [*range(1, 130), 1000]:
+        for lacking in {0, size // 5}:
+            pool = np.unique(rng.integers(0, 1 << 64, 3 * size, np.uint64))
+            rng.shuffle(pool)
+            a, shared = np.sort(pool[:size]), pool[lacking:size]
+            more = len(shared) * 5 // 4 - size  # as many as similarity 0.8 allows
+            b = np.sort(np.concatenate([shared, pool[size:size + more]]))
+            assert near.near(a, b)
+            met = len(np.intersect1d(near.first_hashes(a), near.first_hashes(b)))
+            for one in (a, b):
+                assert met >= 1 + near.NEAR * len(one) // (near.OF * near.MORE)
+
+
 def test_near_duplicates_leave_the_pipeline(spark, documents):
     rng = random.Random(8)
     words = [f"w{rng.randrange(900)}" for _ in range(400)]
